@@ -15,9 +15,16 @@ from pyspark.sql import functions as F
 class Market:
     """Lazy market relations over one data folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None, suppkeys: tuple[int, ...] = ()):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self.days = days
+        self.suppkeys = suppkeys
+
+    def sliced(self, first: str, last: str, suppkeys: tuple[int, ...] = ()) -> Market:
+        """The same relations over a date range (and symbols), filtered on the stored columns so that
+        the filter reaches the Parquet scan."""
+        return Market(self.spark, self.dir, (first, last), suppkeys)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -25,7 +32,13 @@ class Market:
     @cached_property
     def trades(self) -> DataFrame:
         """One row per trade; ``k`` totally orders the trades of a day."""
-        return self.table("lineitem").select(
+        rows = self.table("lineitem")
+        if self.days is not None:
+            first, last = (F.lit(d).cast("timestamp_ntz") for d in self.days)
+            rows = rows.filter((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last + F.expr("INTERVAL 1 DAY")))
+        if self.suppkeys:
+            rows = rows.filter(F.col("l_suppkey").isin(*self.suppkeys))
+        return rows.select(
             F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
             F.col("l_suppkey").alias("suppkey"),
             F.to_date("l_shipdate").alias("trade_date"),

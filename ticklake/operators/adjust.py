@@ -29,19 +29,13 @@ def _per_date(factors: DataFrame, mode: str) -> DataFrame:
     if mode == "product_of_cumulative":
         w = Window.partitionBy("symbol").orderBy(F.col("ex_date").desc()).rowsBetween(Window.unboundedPreceding, 0)
         daily = factors.groupBy("symbol", "ex_date").agg(F.product("cumulative_factor").alias("_f"))
-        last = Window.partitionBy("symbol")
-        return daily.select(
-            "symbol", "ex_date", F.product("_f").over(w).alias("factor"), F.max("ex_date").over(last).alias("stamp")
-        )
+        return daily.select("symbol", "ex_date", F.product("_f").over(w).alias("factor"))
     # events of one day compound, so the day's factor is the one furthest along the product
-    w = (
-        Window.partitionBy("symbol", "ex_date")
-        .orderBy(F.col("action_type").desc())
-    )
+    w = Window.partitionBy("symbol", "ex_date").orderBy(F.col("action_type").desc())
     return (
         factors.withColumn("_r", F.row_number().over(w))
         .filter("_r = 1")
-        .select("symbol", "ex_date", F.col("cumulative_factor").alias("factor"), F.col("ex_date").alias("stamp"))
+        .select("symbol", "ex_date", F.col("cumulative_factor").alias("factor"))
     )
 
 
@@ -52,15 +46,18 @@ def adjust_prices(
 
     ``next_cumulative`` divides by the cumulative factor of the next event; this is the default.
     ``product_of_cumulative`` multiplies the cumulative factors of all later events, as some
-    published histories do; its date is the symbol's last event.  ``inclusive`` also counts an event on
+    published histories do; its date is the symbol's last event, past or not.  ``inclusive`` also counts an event on
     the trade date itself.  Rows without a later event keep their price and get factor 1.
     """
     if mode not in ("next_cumulative", "product_of_cumulative"):
         raise ValueError(f"unknown mode {mode}")
+    per_date = _per_date(factors, mode).withColumn("stamp", F.col("ex_date"))
     found = asof_join(
-        prices, _per_date(factors, mode), ["symbol"], "trade_date", "ex_date", ["factor", "stamp"],
-        direction="forward", allow_exact=inclusive,
+        prices, per_date, ["symbol"], "trade_date", "ex_date", ["factor", "stamp"], direction="forward", allow_exact=inclusive
     )
+    if mode == "product_of_cumulative":
+        last = factors.groupBy("symbol").agg(F.max("ex_date").alias("stamp"))
+        found = found.drop("stamp").join(last, "symbol", "left")
     factor = F.coalesce(F.col("factor"), F.lit(1.0))
     touched = {c: F.col(c) / factor for c in PRICE_COLUMNS if c in prices.columns}
     out = found.withColumns({**touched, "adjustment_factor": factor, "adjustment_date": F.col("stamp")})

@@ -59,7 +59,7 @@ def _(m):
  FROM ohlc WHERE trade_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'"""),
 )
 def _(m):
-    bars = m.closes.filter(F.col("trade_date").between("1997-01-01", "1998-12-31"))
+    bars = m.sliced("1997-01-01", "1998-12-31").closes
     return ind.emas(bars, spans=(20,)).select("symbol", "trade_date", r4("ema_20").alias("ema_20"))
 
 
