@@ -12,6 +12,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: columns of bars with planted defects, in text both engines read; ``tag`` picks the defect
+DIRTY_COLUMNS = {
+    "event_id": "concat(symbol, ':', CAST(trade_date AS VARCHAR(10)))",
+    "event_time": "CASE WHEN tag = 8 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE CAST(trade_date AS TIMESTAMP) END",
+    "ingest_time": "CAST(trade_date AS TIMESTAMP) + CASE WHEN tag = 7 THEN INTERVAL '72' HOUR ELSE INTERVAL '18' HOUR END",
+    "source": "'feed'",
+    "schema_version": "CASE WHEN tag = 15 THEN '1' ELSE 'v1' END",
+    "entity_id": "concat(symbol, ':NSE')",
+    "instrument_id": "concat(symbol, ':NSE')",
+    "symbol": "CASE WHEN tag = 13 THEN '' ELSE symbol END",
+    "exchange": "CASE WHEN tag = 14 THEN 'XXX' ELSE 'NSE' END",
+    "isin": "CASE WHEN tag = 16 THEN 'bad' WHEN tag = 18 THEN NULL ELSE concat('INE', lpad(CAST(suppkey AS VARCHAR(20)), 8, '0'), '1') END",
+    "trade_date": "CASE WHEN tag = 12 THEN DATE '1985-01-01' ELSE trade_date END",
+    "prev_close": "CASE WHEN tag = 5 THEN close * CAST(0.5 AS DOUBLE) ELSE close END",
+    "open": "CASE WHEN tag = 2 THEN low * CAST(0.5 AS DOUBLE) ELSE open END",
+    "high": "CASE WHEN tag = 0 THEN low - 1 ELSE high END",
+    "low": "CASE WHEN tag = 10 THEN CAST(-1 AS DOUBLE) ELSE low END",
+    "close": "CASE WHEN tag = 1 THEN close * 3 WHEN tag = 9 THEN NULL ELSE close END",
+    "volume": "CASE WHEN tag = 3 THEN CAST(0 AS BIGINT) WHEN tag = 11 THEN CAST(-5 AS BIGINT) ELSE volume END",
+    "turnover": "CASE WHEN tag = 4 THEN turnover * 2 ELSE turnover END",
+    "trades": "trades",
+    "adjustment_factor": "CASE WHEN tag = 6 THEN CAST(-1 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END",
+    "adjustment_date": "CASE WHEN tag = 6 THEN trade_date END",
+    "is_trading_day": "TRUE",
+}
+DIRTY_TAG = "(suppkey * 7 + dayofyear(trade_date)) % 60"
+
+
 class Market:
     """Lazy market relations over one data folder."""
 
@@ -66,6 +94,14 @@ class Market:
         """Only what close-based indicators read."""
         return self.trades.groupBy("symbol", "trade_date").agg(F.max_by("px", "k").alias("close"))
 
+    @cached_property
+    def dirty(self) -> DataFrame:
+        """Bars with one planted defect per tag, and second copies of some rows."""
+        tagged = self.ohlc.withColumn("tag", F.expr(DIRTY_TAG))
+        rows = tagged.select(*[F.expr(e).alias(c) for c, e in DIRTY_COLUMNS.items()], "tag")
+        copies = rows.filter("tag = 17").withColumn("event_id", F.concat("event_id", F.lit("#2")))
+        return rows.unionByName(copies).drop("tag")
+
     @cached_property
     def ca(self) -> DataFrame:
         """Corporate actions: the first trading day of each symbol and year."""
@@ -296,6 +332,13 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT symbol, suppkey, trade_date, arg_min(px, k) AS open, max(px) AS high, min(px) AS low,
  arg_max(px, k) AS close, CAST(sum(qty) AS BIGINT) AS volume, round(sum(amount), 2) AS turnover,
  count(*) AS trades FROM trades GROUP BY ALL""",
+    ),
+    "dirty": (
+        ("ohlc",),
+        f"""SELECT * EXCLUDE (tag) FROM (SELECT {", ".join(f"{e} AS {c}" for c, e in DIRTY_COLUMNS.items())}, tag
+   FROM (SELECT *, {DIRTY_TAG} AS tag FROM ohlc)
+ UNION ALL SELECT {", ".join((f"concat({e}, '#2')" if c == "event_id" else e) + f" AS {c}" for c, e in DIRTY_COLUMNS.items())}, tag
+   FROM (SELECT *, {DIRTY_TAG} AS tag FROM ohlc) WHERE tag = 17)""",
     ),
     "ca": (
         ("trades",),
