@@ -69,10 +69,15 @@ def _(m):
     return rules.violations(m.dirty, rules.contract_checks(schemas.NORMALIZED_CONTRACT, m.dirty.columns)).drop("message", "severity")
 
 
-@query("dq01_contract_types", "SELECT * FROM (VALUES ('trades', 'bigint', 'string'), ('extra_column', 'absent', 'int')) t(field, agreed, actual) WHERE EXISTS (SELECT 1 FROM lineitem)")
+@query(
+    "dq01_contract_types",
+    with_sql("dirty", body="""SELECT 'trades' AS field, 'bigint' AS agreed, 'string' AS actual, CAST(count_if(trades = 2) AS BIGINT) AS n FROM dirty
+ UNION ALL SELECT 'extra_column', 'absent', 'double', count(close) FROM dirty"""),
+)
 def _(m):
-    odd = m.dirty.withColumns({"trades": F.col("trades").cast("string"), "extra_column": F.lit(1)})
-    return m.spark.createDataFrame(rules.contract_type_errors(schemas.NORMALIZED_CONTRACT, odd.schema), "field string, agreed string, actual string")
+    shown = F.when(F.col("trades") == 2, "two").otherwise(F.col("trades").cast("string"))
+    odd = m.dirty.withColumns({"trades": shown, "extra_column": F.col("close")})
+    return shape.type_report(odd, rules.contract_type_errors(schemas.NORMALIZED_CONTRACT, odd.schema))
 
 
 DUP_SQL = "SELECT min(event_id) AS event_id, 'duplicate_key' AS rule, 'critical' AS severity, 'entity_id,trade_date' AS field FROM dirty GROUP BY entity_id, trade_date HAVING count(*) > 1"
@@ -248,23 +253,27 @@ def _(m):
     return duplicate_keys(ids, ["event_id"])
 
 
-@query("dq29_column_diff", "SELECT * FROM (VALUES ('missing', 'TtlTrfVal'), ('unexpected', 'Surprise')) t(problem, column_name) WHERE EXISTS (SELECT 1 FROM lineitem)")
+@query(
+    "dq29_column_diff",
+    with_sql("ohlc", body="SELECT 'missing' AS problem, 'TtlTrfVal' AS column_name, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'unexpected', 'Surprise', CAST(count_if(suppkey % 2 = 0) AS BIGINT) FROM ohlc"),
+)
 def _(m):
     from ticklake.plans.rendering import price_cells
 
-    cells = price_cells(m).drop("TtlTrfVal").withColumn("Surprise", F.lit(1))
-    missing, extra = shape.column_diff(cells.columns, list(schemas.PRICE_FEED))
-    return m.spark.createDataFrame([("missing", c) for c in missing] + [("unexpected", c) for c in extra], "problem string, column_name string")
+    surprise = F.when(F.col("FinInstrmId").cast("int") % 2 == 0, 1)
+    return shape.column_report(price_cells(m).drop("TtlTrfVal").withColumn("Surprise", surprise), list(schemas.PRICE_FEED))
 
 
 @query(
     "dq30_schema_evolution",
-    """SELECT * FROM (VALUES ('trades', 'int -> bigint', true), ('turnover', 'removed', false), ('note', 'added', true), ('close', 'double -> string', false)) t(field, change, allowed) WHERE EXISTS (SELECT 1 FROM lineitem)""",
+    with_sql("ohlc", body="""SELECT 'trades' AS field, 'int -> bigint' AS change, true AS allowed, count(*) AS n FROM ohlc UNION ALL SELECT 'turnover', 'removed', false, 0
+ UNION ALL SELECT 'note', 'added', true, CAST(count_if(trades > 1) AS BIGINT) FROM ohlc UNION ALL SELECT 'close', 'double -> string', false, count(*) FROM ohlc"""),
 )
 def _(m):
     old = m.ohlc.withColumn("trades", F.col("trades").cast("int"))
-    new = m.ohlc.drop("turnover").withColumns({"note": F.lit(None).cast("string"), "close": F.col("close").cast("string")})
-    return shape.diff_frame(m.spark, old, new)
+    note = F.when(F.col("trades") > 1, F.lit("several trades"))
+    new = m.ohlc.drop("turnover").withColumns({"note": note, "close": F.col("close").cast("string")})
+    return shape.evolution_report(old, new)
 
 
 @query(

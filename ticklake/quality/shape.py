@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WIDENINGS = {("int", "bigint"), ("float", "double"), ("smallint", "int"), ("tinyint", "int")}
@@ -45,6 +46,36 @@ def schema_diff(old: T.StructType, new: T.StructType) -> list[tuple[str, str, bo
     return out
 
 
-def diff_frame(spark: SparkSession, old: DataFrame, new: DataFrame) -> DataFrame:
+def counted(df: DataFrame, labels: list[str], rows: list[tuple], counters: list[Column]) -> DataFrame:
+    """``rows`` labelled by ``labels``, each with its counter; all counters come from one pass over ``df``."""
+    spark = df.sparkSession
+    if not rows:
+        kinds = ", ".join(f"{c} string" for c in labels)
+        return spark.createDataFrame([], f"{kinds}, n bigint")
+    totals = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counters)])
+    entries = [F.struct(*[F.lit(v).alias(k) for k, v in zip(labels, row)], F.col(f"n{i}").alias("n")) for i, row in enumerate(rows)]
+    return totals.select(F.inline(F.array(*entries)))
+
+
+def column_report(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Missing and unexpected columns; for an unexpected one how many cells it fills."""
+    missing, extra = column_diff(df.columns, expected)
+    rows = [("missing", c) for c in missing] + [("unexpected", c) for c in extra]
+    counters = [F.count_if(F.lit(False)) for _ in missing] + [F.count(F.col(f"`{c}`")) for c in extra]
+    return counted(df, ["problem", "column_name"], rows, counters)
+
+
+def type_report(df: DataFrame, wrong: list[tuple[str, str, str]]) -> DataFrame:
+    """Fields of another type than agreed, with the number of cells that cannot be read as agreed."""
+    counters = []
+    for name, agreed, _ in wrong:
+        c = F.col(name)
+        counters.append(F.count(c) if agreed == "absent" else F.count_if(c.isNotNull() & c.try_cast(agreed).isNull()))
+    return counted(df, ["field", "agreed", "actual"], wrong, counters)
+
+
+def evolution_report(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Differences between two versions of a dataset, with the rows of the new one that fill the field."""
     rows = schema_diff(old.schema, new.schema)
-    return spark.createDataFrame(rows, "field string, change string, allowed boolean")
+    counters = [F.count(F.col(n)) if n in new.columns else F.count_if(F.lit(False)) for n, _, _ in rows]
+    return counted(new, ["field", "change", "allowed"], rows, counters)
