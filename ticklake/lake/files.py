@@ -53,14 +53,14 @@ def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128
     plan = spark.read.parquet(f"{staging}/plan")
     data = spark.read.parquet(path)
     keys = _partition_columns(spark, path)
-    if not keys:
-        marked = data.withColumn("partition", F.lit(""))
+    if keys:
+        # joining on the partition columns themselves lets the scan skip all other partitions
+        wanted = plan.select(*[_folder_value(k).cast(data.schema[k].dataType).alias(k) for k in keys], "target_files")
+        chosen = data.join(wanted, keys)
     else:
-        parts = [F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]
-        marked = data.withColumn("partition", F.concat_ws("/", *parts))
+        chosen = data.withColumn("target_files", plan.agg(F.max("target_files")).scalar()).filter("target_files IS NOT NULL")
     salt = F.pmod(F.xxhash64(*data.columns), F.col("target_files"))
-    chosen = marked.join(plan.select("partition", "target_files"), "partition").withColumn("_salt", salt)
-    rows = chosen.repartition("partition", "_salt").select(*data.columns)
+    rows = chosen.withColumn("_salt", salt).repartition(*keys, "_salt").select(*data.columns)
     writer = rows.write.mode("overwrite")
     (writer.partitionBy(*keys) if keys else writer).parquet(f"{staging}/data")
     staged = spark.read.schema(data.schema).parquet(f"{staging}/data")
@@ -69,6 +69,12 @@ def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128
     return plan
 
 
+def _folder_value(key: str) -> Column:
+    """Value of ``key`` in a folder path, with its escapes undone."""
+    raw = F.regexp_extract("partition", f"(?:^|/){key}=([^/]+)", 1)
+    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+
+
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns in folder order, read off one file's path."""
     one = list_files(spark, path).select("partition").limit(1).collect()

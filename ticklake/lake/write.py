@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticklake import schemas
@@ -55,21 +55,24 @@ class ValidationFailed(ValueError):
 def write_checked(
     df: DataFrame, path: str, partitions: list[str], checks: list[rules.Check], table: str, quarantine_path: str, audit_path: str,
     stamp: str, fail: bool = False, keep_bad_rows: bool = False,
-) -> DataFrame:
-    """Validate, quarantine, audit, then write the rows that pass; returns the one-row summary.
+) -> dict[str, int]:
+    """Validate, quarantine, audit, then write the rows that pass; returns the totals.
 
-    The verdict is written once to the quarantine and read back for the audit, so the rules run once
-    per output.  ``keep_bad_rows`` also writes failing rows to the table.
+    Totals are observed while the quarantine is written, so the table is read twice in all: once for
+    the quarantine and once for the write.  ``keep_bad_rows`` also writes failing rows to the table.
     """
     flagged = rules.flag(df, checks)
-    outcome.quarantine_rows(flagged, table, stamp).write.mode("append").parquet(quarantine_path)
-    result = outcome.summary(flagged)
+    seen = Observation()
+    watched = flagged.observe(seen, *outcome.summary_columns())
+    outcome.quarantine_rows(watched, table, stamp).write.mode("append").parquet(quarantine_path)
+    totals = seen.get
     names = tuple(dict.fromkeys(c.rule for c in checks))
+    result = df.sparkSession.createDataFrame([totals], outcome.SUMMARY_SCHEMA)
     outcome.audit_row(result, table, names, quarantine_path, stamp).write.mode("append").json(audit_path)
-    if fail and result.first()["failed_rows"]:
-        raise ValidationFailed(f"{table}: rows failed validation, see {quarantine_path}")
+    if fail and totals["failed_rows"]:
+        raise ValidationFailed(f"{table}: {totals['failed_rows']} rows failed validation, see {quarantine_path}")
     write_dataset(flagged.drop(rules.FLAGS) if keep_bad_rows else outcome.good_rows(flagged), path, partitions)
-    return result
+    return totals
 
 
 def write_csv(df: DataFrame, path: str) -> None:

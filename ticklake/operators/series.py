@@ -128,10 +128,13 @@ def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol",
 
 
 def ema_long(
-    df: DataFrame, columns: dict[str, tuple[str, int]], by: list[str], order: list[str], bucket: Column
+    df: DataFrame, columns: dict[str, tuple[str, int]], by: list[str], order: list[str], bucket: Column,
+    seeds: dict[str, str] | None = None,
 ) -> DataFrame:
     """``ema`` for keys of any length: block totals are aggregated map-side and joined back.
 
+    ``seeds`` names a column holding the value to continue from (null to start with the first row).
+
     The value a block starts from is a fold over the totals of the blocks before it.  It reads only
     as many of them as can still change a double: beyond that q^rows is exactly 0.0.
     """
@@ -141,9 +144,10 @@ def ema_long(
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
         gap = F.lit(BLOCK_ROWS - 1) - F.col("_i")
-        seed = F.when(F.col("_p") == 0, F.pow(F.lit(q), F.lit(float(BLOCK_ROWS))) * F.col(column)).otherwise(0.0)
+        start = F.coalesce(F.col(seeds[name]), F.col(column)) if seeds and name in seeds else F.col(column)
+        seed = F.when(F.col("_p") == 0, F.pow(F.lit(q), F.lit(float(BLOCK_ROWS))) * start).otherwise(0.0)
         totals.append(F.sum(F.lit(a) * F.pow(F.lit(q), gap.cast("double")) * F.col(column) + seed).alias(f"_t_{name}"))
-        totals.append(F.max(F.when(F.col("_p") == 0, F.col(column))).alias(f"_x0_{name}"))
+        totals.append(F.max(F.when(F.col("_p") == 0, start)).alias(f"_x0_{name}"))
     blocks = numbered.groupBy(*by, "_b").agg(*totals)
     carried = {}
     for name, (_, span) in columns.items():

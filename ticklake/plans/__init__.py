@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("windows", "joins", "aggregates", "sources", "projections", "quality", "lake")
+MODULES = ("windows", "joins", "aggregates", "sources", "projections", "quality", "lake", "streams")
 
 for _name in MODULES:
     importlib.import_module(f"ticklake.plans.{_name}")

@@ -27,17 +27,24 @@ def quarantine_rows(flagged: DataFrame, table: str, stamp: str, retry: Column |
     ).drop(FLAGS)
 
 
-def summary(flagged: DataFrame) -> DataFrame:
-    """Totals in one row.  Every finding counts as critical in ``critical_failures``, as published
-    totals do; ``warnings`` says how many of them are warnings."""
-    of = F.size(F.filter(FLAGS, lambda v: v["severity"] == "warning"))
-    return flagged.agg(
-        F.count("*").alias("total_rows"),
+SUMMARY_SCHEMA = "total_rows bigint, valid_rows bigint, failed_rows bigint, critical_failures bigint, warnings bigint"
+
+
+def summary_columns() -> list[Column]:
+    """Totals over flagged rows.  Every finding counts in ``critical_failures``, as published totals
+    do; ``warnings`` says how many of them are warnings."""
+    soft = F.size(F.filter(FLAGS, lambda v: v["severity"] == "warning"))
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.size(FLAGS) == 0).alias("valid_rows"),
         F.count_if(F.size(FLAGS) > 0).alias("failed_rows"),
         F.coalesce(F.sum(F.size(FLAGS)), F.lit(0)).cast("bigint").alias("critical_failures"),
-        F.coalesce(F.sum(of), F.lit(0)).cast("bigint").alias("warnings"),
-    )
+        F.coalesce(F.sum(soft), F.lit(0)).cast("bigint").alias("warnings"),
+    ]
+
+
+def summary(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(*summary_columns())
 
 
 def gate(result: DataFrame, max_rate: float = 0.05, any_error_fails: bool = False) -> DataFrame:
