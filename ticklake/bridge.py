@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklake.sources.lake import read_table
+
 
 #: columns of bars with planted defects, in text both engines read; ``tag`` picks the defect
 DIRTY_COLUMNS = {
@@ -55,7 +57,7 @@ class Market:
         return Market(self.spark, self.dir, (first, last), suppkeys)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return read_table(self.spark, f"{self.dir}/{name}.parquet")
 
     @cached_property
     def trades(self) -> DataFrame:
