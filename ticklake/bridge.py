@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.sources.lake import read_table
@@ -42,6 +42,21 @@ DIRTY_COLUMNS = {
 DIRTY_TAG = "(suppkey * 7 + dayofyear(trade_date)) % 60"
 
 
+def symbol_of(key: str) -> Column:
+    return F.concat(F.lit("S"), F.col(key)).alias("symbol")
+
+
+def packed_order() -> Column:
+    """(order, line, part, price, quantity) as one number that sorts the same way."""
+
+    def shifted(c: str, zeros: int) -> Column:
+        return F.col(c).cast("decimal(38,0)") * F.lit("1" + "0" * zeros).cast("decimal(38,0)")
+
+    price_and_quantity = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100 + F.col("l_quantity").cast("bigint")
+    whole = shifted("l_orderkey", 22) + shifted("l_linenumber", 21) + shifted("l_partkey", 10) + price_and_quantity
+    return whole.cast("decimal(38,0)")
+
+
 class Market:
     """Lazy market relations over one data folder."""
 
@@ -61,7 +76,11 @@ class Market:
 
     @cached_property
     def trades(self) -> DataFrame:
-        """One row per trade; ``k`` totally orders the trades of a day."""
+        """One row per trade; ``k`` totally orders the trades of a day.
+
+        It packs order, line, part, price and quantity into one decimal: being of fixed width it lets
+        first and last price be hash aggregates, where a struct would force a sort of all trades.
+        """
         rows = self.table("lineitem")
         if self.days is not None:
             first, last = (F.lit(d).cast("timestamp_ntz") for d in self.days)
@@ -69,11 +88,11 @@ class Market:
         if self.suppkeys:
             rows = rows.filter(F.col("l_suppkey").isin(*self.suppkeys))
         return rows.select(
-            F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
+            symbol_of("l_suppkey"),
             F.col("l_suppkey").alias("suppkey"),
             F.to_date("l_shipdate").alias("trade_date"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"),
-            F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity").alias("k"),
+            packed_order().alias("k"),
             F.col("l_quantity").alias("qty"),
             F.col("l_extendedprice").alias("amount"),
         )
@@ -81,7 +100,7 @@ class Market:
     @cached_property
     def ohlc(self) -> DataFrame:
         """Daily bars, unique per (symbol, trade_date); a busy symbol collapses map-side."""
-        return self.trades.groupBy("symbol", "suppkey", "trade_date").agg(
+        bars = self.trades.groupBy("suppkey", "trade_date").agg(
             F.min_by("px", "k").alias("open"),
             F.max("px").alias("high"),
             F.min("px").alias("low"),
@@ -90,11 +109,13 @@ class Market:
             F.round(F.sum("amount"), 2).alias("turnover"),
             F.count("*").alias("trades"),
         )
+        return bars.select(symbol_of("suppkey"), *bars.columns)
 
     @cached_property
     def closes(self) -> DataFrame:
         """Only what close-based indicators read."""
-        return self.trades.groupBy("symbol", "trade_date").agg(F.max_by("px", "k").alias("close"))
+        bars = self.trades.groupBy("suppkey", "trade_date").agg(F.max_by("px", "k").alias("close"))
+        return bars.select(symbol_of("suppkey"), "trade_date", "close")
 
     @cached_property
     def dirty(self) -> DataFrame:
@@ -157,9 +178,10 @@ class Market:
         )
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         customer = self.table("customer").select("c_custkey", "c_name")
+        # the two smaller tables meet first, so the line items are shuffled once
+        buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderdate", "c_name")
         return (
-            li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+            li.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.to_date("o_orderdate").alias("deal_date"),
                 F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),

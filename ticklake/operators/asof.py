@@ -68,10 +68,12 @@ def asof_join(
     # at equal times a right row must come before the left row exactly when equality counts
     side_r, side_l = (0, 1) if allow_exact else (1, 0)
     keys = [F.col(c).alias(f"_k_{c}") for c in by]
-    r = right.filter(F.col(right_on).isNotNull()).select(
+    # a null key or time matches nothing
+    r = right.dropna(subset=[*by, right_on]).select(
         *keys, F.col(right_on).alias("_t"), F.lit(side_r).alias("_side"), r_struct.alias("_r")
     )
-    l_struct = F.struct(*[F.col(c) for c in left.columns])
+    rest = [c for c in left.columns if c not in by and c != left_on]
+    l_struct = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(1).alias("_any"))
     lft = left.select(*keys, F.col(left_on).alias("_t"), F.lit(side_l).alias("_side"), l_struct.alias("_l"))
     rows = lft.unionByName(r, allowMissingColumns=True)
     part = [f"_k_{c}" for c in by]
@@ -99,7 +101,10 @@ def asof_join(
     if tolerance_days is not None:
         near_enough = F.abs(F.datediff(F.col("_t"), F.col("_m._rt"))) <= tolerance_days
         matched = matched.withColumn("_m", F.when(near_enough, F.col("_m")))
-    return matched.select("_l.*", *[F.col(f"_m._r_{c}").alias(c) for c in take])
+    # keys keep their own column, so that a following window or join on them needs no new shuffle
+    own = {left_on: F.col("_t"), **{c: F.col(f"_k_{c}") for c in by}}
+    kept = [own[c].alias(c) if c in own else F.col(f"_l.{c}").alias(c) for c in left.columns]
+    return matched.select(*kept, *[F.col(f"_m._r_{c}").alias(c) for c in take])
 
 
 def by_month(c: Column) -> Column:

@@ -22,6 +22,8 @@ def build_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:
 
     A holiday on a weekend counts as a holiday.  ``segments`` repeats the day's state per segment.
     """
+    # one row per day of the year, so at most 366 rows are broadcast
+    holidays = holidays.groupBy("mm", "dd").agg(F.max("holiday_name").alias("holiday_name"))
     start = F.make_date(F.year("first"), F.lit(1), F.lit(1))
     end = F.make_date(F.year("last"), F.lit(12), F.lit(31))
     days = span.select(F.explode(F.sequence(start, end)).alias("trade_date"))
@@ -43,7 +45,7 @@ def build_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:
 
 def with_trading_flag(rows: DataFrame, date_col: str, calendar: DataFrame) -> DataFrame:
     """Attach ``is_trading_day``; a date the calendar does not know counts Monday to Friday."""
-    flag = calendar.select(F.col("trade_date").alias(date_col), F.col("is_trading_day").alias("_flag"))
+    flag = calendar.groupBy(F.col("trade_date").alias(date_col)).agg(F.bool_or("is_trading_day").alias("_flag"))
     out = rows.join(F.broadcast(flag), date_col, "left")
     fallback = iso_weekday(F.col(date_col)) < 6
     return out.withColumn("is_trading_day", F.coalesce("_flag", fallback)).drop("_flag")

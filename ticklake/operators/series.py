@@ -101,18 +101,18 @@ def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol",
     into the value a block starts from.  All of it stays in one partitioning by ``by``.
     """
     w = daily(by, order)
-    out = df.withColumn("_p", F.row_number().over(w) - 1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = {"_p": F.row_number().over(w) - 1}
+    numbered |= {f"_x0_{name}": F.first(column).over(upto) for name, (column, _) in columns.items()}
+    out = df.withColumns(numbered)
     out = out.withColumns({"_b": F.floor(F.col("_p") / BLOCK_ROWS), "_i": F.col("_p") % BLOCK_ROWS})
-    block = Window.partitionBy(by, "_b").orderBy("_p")
-    run = block.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    first = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy(by, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     step = {}
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
         scaled = F.sum(F.col(column) * F.pow(F.lit(q), -F.col("_i"))).over(run)
         step[f"_in_{name}"] = F.lit(a) * F.pow(F.lit(q), F.col("_i").cast("double")) * scaled
-        step[f"_x0_{name}"] = F.first(column).over(first)
     out = out.withColumns(step)
     full = F.col("_i") == BLOCK_ROWS - 1
     out = out.withColumns(

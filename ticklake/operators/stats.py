@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,3 +32,34 @@ def drift(current: DataFrame, baseline: DataFrame, keys: list[str], limit: float
     base = baseline.select(*keys, F.col("mean").alias("base_mean"), F.col("std").alias("base_std"), F.col("null_rate").alias("base_null_rate"))
     shift: Column = F.try_divide(F.abs(F.col("mean") - F.col("base_mean")), F.col("base_std"))
     return current.join(base, keys).withColumn("shift", shift).withColumn("drifted", F.coalesce(F.col("shift") > limit, F.lit(False)))
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000) -> DataFrame:
+    """Median per group without holding a group's values in one buffer.
+
+    A quantile sketch, whose rank error is bounded by rows / accuracy, brackets the middle.  Rows
+    below the bracket are counted, and only the distinct values inside it are sorted, each with its
+    count.  The answer is exact: the bracket is wide enough for the sketch's error.
+    """
+    slack = 2.0 / accuracy
+    rows = df.filter(F.col(value).isNotNull())
+    ends = rows.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.percentile_approx(value, [0.5 - slack, 0.5 + slack], accuracy).alias("_q"),
+        F.min(value).alias("_min"), F.max(value).alias("_max"),
+    )
+    # a group smaller than the accuracy is bracketed whole
+    small = F.col("_n") <= accuracy
+    ends = ends.select(
+        *keys, "_n", F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"), F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi")
+    )
+    placed = rows.select(*keys, value).join(ends, keys)
+    below = placed.groupBy(*keys).agg(F.count_if(F.col(value) < F.col("_lo")).alias("_below"))
+    inside = placed.filter(F.col(value).between(F.col("_lo"), F.col("_hi"))).groupBy(*keys, "_n", value).agg(F.count("*").alias("_c"))
+    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.join(below, keys).withColumn("_end", F.col("_below") + F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c") + 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= rank) & (rank <= F.col("_end")), F.col(value)))
+
+    left, right = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    return ranked.groupBy(*keys).agg(((at(left) + at(right)) / 2).alias("median"))

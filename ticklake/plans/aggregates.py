@@ -209,11 +209,14 @@ def _(m):
  {sql4("median(value)")} AS median, {sql4("stddev_samp(value)")} AS std, {icount_if("client_name IS NULL")} AS missing_client FROM deals GROUP BY 1"""),
 )
 def _(m):
-    """The median is exact: values are rounded to two decimals upstream, so equal values share one counter."""
-    return m.deals.groupBy((F.year("deal_date") * 100 + F.month("deal_date")).cast("bigint").alias("ym")).agg(
-        F.count("*").alias("n"), r2(F.sum("value")).alias("total"), r4(F.avg("value")).alias("mean"), r4(F.median("value")).alias("median"),
-        r4(F.stddev_samp("value")).alias("std"), F.count_if(F.col("client_name").isNull()).alias("missing_client"),
+    month = (F.year("deal_date") * 100 + F.month("deal_date")).cast("bigint")
+    rows = m.deals.withColumn("ym", month)
+    moments = rows.groupBy("ym").agg(
+        F.count("*").alias("n"), r2(F.sum("value")).alias("total"), r4(F.avg("value")).alias("mean"), r4(F.stddev_samp("value")).alias("std"),
+        F.count_if(F.col("client_name").isNull()).alias("missing_client"),
     )
+    middle = stats.exact_median(rows, ["ym"], "value")
+    return moments.join(middle, "ym").withColumn("median", r4("median"))
 
 
 @query(

@@ -64,27 +64,23 @@ def corporate_actions(docs: DataFrame, effective: Column | None = None) -> DataF
 def deals(docs: DataFrame, deal_type: Column) -> DataFrame:
     """Each deal object gives a BUY row and a SELL row where that side has quantity."""
     m = F.col("m")
+    cells = docs.select(F.explode(F.from_json("doc", OBJECTS)).alias("m"), deal_type.alias("deal_type")).select(
+        F.trim(_first(m, "symbol", "Symbol", "SYMBOL")).alias("symbol"),
+        F.trim(_first(m, "clientName", "ClientName", "CLIENT_NAME")).alias("client_name"),
+        parse_date(_first(m, "dealDate", "DealDate"), ("d-MMM-yyyy", "yyyy-M-d")).alias("deal_date"),
+        "deal_type",
+        safe_long(_first(m, "buyQty", "BuyQty")).alias("bought"),
+        safe_double(_first(m, "buyAvgPrice", "BuyAvgPrice")).alias("bought_at"),
+        safe_long(_first(m, "sellQty", "SellQty")).alias("sold"),
+        safe_double(_first(m, "sellAvgPrice", "SellAvgPrice")).alias("sold_at"),
+    )
     sides = F.array(
         *[
-            F.struct(
-                F.lit(side).alias("transaction_type"),
-                safe_long(_first(m, f"{lower}Qty", f"{upper}Qty")).alias("quantity"),
-                safe_double(_first(m, f"{lower}AvgPrice", f"{upper}AvgPrice")).alias("avg_price"),
-            )
-            for side, lower, upper in (("BUY", "buy", "Buy"), ("SELL", "sell", "Sell"))
+            F.struct(F.lit(side).alias("transaction_type"), F.col(qty).alias("quantity"), F.col(price).alias("avg_price"))
+            for side, qty, price in (("BUY", "bought", "bought_at"), ("SELL", "sold", "sold_at"))
         ]
     )
-    return (
-        docs.select(F.explode(F.from_json("doc", OBJECTS)).alias("m"), deal_type.alias("deal_type"))
-        .select(
-            F.trim(_first(m, "symbol", "Symbol", "SYMBOL")).alias("symbol"),
-            F.trim(_first(m, "clientName", "ClientName", "CLIENT_NAME")).alias("client_name"),
-            parse_date(_first(m, "dealDate", "DealDate"), ("d-MMM-yyyy", "yyyy-M-d")).alias("deal_date"),
-            "deal_type",
-            F.inline(F.filter(sides, lambda x: x["quantity"] > 0)),
-        )
-        .filter("symbol IS NOT NULL")
-    )
+    return cells.select("symbol", "client_name", "deal_date", "deal_type", F.inline(sides)).filter("symbol IS NOT NULL AND quantity > 0")
 
 
 def constituents(docs: DataFrame, index_name: Column, effective: Column, action: Column) -> DataFrame:

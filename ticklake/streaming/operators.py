@@ -36,7 +36,12 @@ def sliding_counts(df: DataFrame, ts: str, width: str, slide: str, delay: str, b
 
 
 def sessions(df: DataFrame, ts: str, gap: str, delay: str, by: list[str]) -> DataFrame:
-    """Runs of activity separated by ``gap``."""
+    """Runs of activity separated by ``gap``.
+
+    Sessions are merged inside each input partition before the shuffle, so a busy key sends sessions
+    and not rows.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     out = df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("w"), *by).agg(F.count("*").alias("n"))
     return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "n")
 
