@@ -23,7 +23,7 @@ OBJECTS = "array<map<string,string>>"
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files below ``path`` as (doc_id, doc)."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("doc"))
 
 

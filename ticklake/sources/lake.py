@@ -14,14 +14,14 @@ def read_lake(spark: SparkSession, path: str, infer_partitions: bool = True) ->
     return reader.parquet(path)
 
 
-SMALL_INPUT_BYTES = 4 * 1024 * 1024
+SMALL_INPUT_BYTES = 1024 * 1024
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet table; one that lies in fewer files than there are cores is spread over the cores.
 
     A Parquet file with one row group is one task however many cores are idle.  Tables of many files,
-    as any large table is, and tables below 4 MB are read as they are, without the extra exchange.
+    as any large table is, and tables below 1 MB are read as they are, without the extra exchange.
     """
     df = spark.read.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
