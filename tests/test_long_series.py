@@ -17,13 +17,11 @@ START = dt.datetime(2024, 1, 1)
 def ticks(spark):
     rows = []
     for i in range(9000):
-        key = "hot" if i % 3 else f"k{i % 30}"
+        key = "hot" if i % 3 else (None if i % 30 == 9 else f"k{i % 30}")
         rows.append((i, key, START + dt.timedelta(seconds=(i * 613) % 500_000), float((i * 7919) % 997)))
     return spark.createDataFrame(rows, "event_id bigint, kind string, ts timestamp, price double").cache()
 
 
-HOUR = F.date_trunc
-
 
 def test_positions_match_one_window(ticks):
     got = series.positions(ticks, ["kind"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
@@ -51,7 +49,7 @@ def test_lag_matches_one_window(ticks):
 @pytest.mark.parametrize("span", [2, 12, 200])
 def test_ema_matches_recursion(ticks, span):
     got = series.ema_long(ticks, {"e": ("price", span)}, ["kind"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
-    pdf = got.toPandas().sort_values(["kind", "ts", "event_id"])
+    pdf = got.toPandas().fillna({"kind": "none"}).sort_values(["kind", "ts", "event_id"])
     want = pdf.groupby("kind")["price"].transform(lambda s: s.ewm(span=span, adjust=False).mean())
     assert list(pdf["e"]) == pytest.approx(list(want), rel=1e-9)
 

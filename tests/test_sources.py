@@ -189,3 +189,10 @@ def test_nest_then_flatten(spark):
     df = spark.createDataFrame([("e", "x", 1)], "event_id string, symbol string, n int")
     assert nest(df).columns == ["event_id", "payload"]
     assert flatten(nest(df)).collect() == df.collect() and flatten(df) is df
+
+
+def test_null_keys_count_as_duplicates(spark):
+    from ticklake.operators.dedupe import duplicate_members
+
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    assert sorted(r["v"] for r in duplicate_members(df, ["k"]).collect()) == [1, 2]

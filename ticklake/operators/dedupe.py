@@ -15,8 +15,10 @@ def duplicate_keys(df: DataFrame, keys: list[str], name: str = "copies") -> Data
 
 def duplicate_members(df: DataFrame, keys: list[str], name: str = "copies") -> DataFrame:
     """Every row of a duplicated key.  Counting and joining back lets one huge group of copies be
-    split by the adaptive skew join, which a window over the key could not."""
-    return df.join(duplicate_keys(df, keys, name), keys)
+    split by the adaptive skew join, which a window over the key could not.  The struct key lets
+    null keys count as equal, as grouping does."""
+    keyed = df.withColumn("_key", F.struct(*keys))
+    return keyed.join(duplicate_keys(keyed, ["_key"], name), "_key").drop("_key")
 
 
 def prefer_first_source(first: DataFrame | None, second: DataFrame | None, key: str) -> DataFrame:

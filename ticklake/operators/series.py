@@ -31,18 +31,20 @@ def daily(by: str = "symbol", order: str = "trade_date"):
 
 def positions(df: DataFrame, by: list[str], order: list[str], bucket: Column, name: str = "pos") -> DataFrame:
     """Number rows 0,1,2… per key in ``order`` (a total order whose first column sets ``bucket``)."""
-    rows = df.withColumn("_bucket", bucket)
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # one struct key keeps rows whose key is null: structs compare null fields as equal
+    rows = df.withColumn("_key", F.struct(*by, bucket.alias("_bucket")))
+    same = [F.col("_key")[c] for c in by]
+    earlier = Window.partitionBy(*same).orderBy(F.col("_key._bucket")).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy(*by, "_bucket")
+        rows.groupBy("_key")
         .agg(F.count("*").alias("_n"))
-        .select(*by, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+        .select("_key", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    inside = Window.partitionBy("_key").orderBy(*order)
     return (
-        rows.join(starts, [*by, "_bucket"])
+        rows.join(starts, "_key")
         .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
-        .drop("_bucket", "_start")
+        .drop("_key", "_start")
     )
 
 
@@ -148,23 +150,25 @@ def ema_long(
         seed = F.when(F.col("_p") == 0, F.pow(F.lit(q), F.lit(float(BLOCK_ROWS))) * start).otherwise(0.0)
         totals.append(F.sum(F.lit(a) * F.pow(F.lit(q), gap.cast("double")) * F.col(column) + seed).alias(f"_t_{name}"))
         totals.append(F.max(F.when(F.col("_p") == 0, start)).alias(f"_x0_{name}"))
-    blocks = numbered.groupBy(*by, "_b").agg(*totals)
+    numbered = numbered.withColumn("_key", F.struct(*by, "_b"))
+    blocks = numbered.groupBy("_key").agg(*totals)
+    same, block = [F.col("_key")[c] for c in by], F.col("_key._b")
     carried = {}
     for name, (_, span) in columns.items():
         _, q = _alpha(span)
         keep = q**BLOCK_ROWS
         reach = max(1, math.ceil(745.0 / (-math.log(q) * BLOCK_ROWS)) + 1)
-        before = Window.partitionBy(*by).orderBy("_b").rowsBetween(-reach, -1)
+        before = Window.partitionBy(*same).orderBy(block).rowsBetween(-reach, -1)
         fold = F.aggregate(
             F.collect_list(f"_t_{name}").over(before), F.lit(0.0), _decay(keep)
         )
-        carried[f"_c_{name}"] = F.when(F.col("_b") == 0, F.col(f"_x0_{name}")).otherwise(fold)
-    starts = blocks.withColumns(carried).select(*by, "_b", *carried)
-    run = Window.partitionBy(*by, "_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+        carried[f"_c_{name}"] = F.when(block == 0, F.col(f"_x0_{name}")).otherwise(fold)
+    starts = blocks.withColumns(carried).select("_key", *carried)
+    run = Window.partitionBy("_key").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
     final = {}
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
         scaled = F.sum(F.col(column) * F.pow(F.lit(q), -F.col("_i"))).over(run)
         inside = F.lit(a) * F.pow(F.lit(q), F.col("_i").cast("double")) * scaled
         final[name] = F.pow(F.lit(q), F.col("_i") + 1.0) * F.col(f"_c_{name}") + inside
-    return numbered.join(starts, [*by, "_b"]).withColumns(final).select(*df.columns, *columns)
+    return numbered.join(starts, "_key").withColumns(final).select(*df.columns, *columns)

@@ -42,24 +42,24 @@ def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_
     count.  The answer is exact: the bracket is wide enough for the sketch's error.
     """
     slack = 2.0 / accuracy
-    rows = df.filter(F.col(value).isNotNull())
-    ends = rows.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.percentile_approx(value, [0.5 - slack, 0.5 + slack], accuracy).alias("_q"),
-        F.min(value).alias("_min"), F.max(value).alias("_max"),
+    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_key"), F.col(value).alias("_v"))
+    ends = rows.groupBy("_key").agg(
+        F.count("*").alias("_n"), F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], accuracy).alias("_q"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
     # a group smaller than the accuracy is bracketed whole
     small = F.col("_n") <= accuracy
     ends = ends.select(
-        *keys, "_n", F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"), F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi")
+        "_key", "_n", F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"), F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi")
     )
-    placed = rows.select(*keys, value).join(ends, keys)
-    below = placed.groupBy(*keys).agg(F.count_if(F.col(value) < F.col("_lo")).alias("_below"))
-    inside = placed.filter(F.col(value).between(F.col("_lo"), F.col("_hi"))).groupBy(*keys, "_n", value).agg(F.count("*").alias("_c"))
-    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.join(below, keys).withColumn("_end", F.col("_below") + F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c") + 1)
+    placed = rows.join(ends, "_key")
+    below = placed.groupBy("_key").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
+    inside = placed.filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy("_key", "_n", "_v").agg(F.count("*").alias("_c"))
+    upto = Window.partitionBy("_key").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.join(below, "_key").withColumn("_end", F.col("_below") + F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c") + 1)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_start") <= rank) & (rank <= F.col("_end")), F.col(value)))
+        return F.max(F.when((F.col("_start") <= rank) & (rank <= F.col("_end")), F.col("_v")))
 
     left, right = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-    return ranked.groupBy(*keys).agg(((at(left) + at(right)) / 2).alias("median"))
+    return ranked.groupBy("_key").agg(((at(left) + at(right)) / 2).alias("median")).select("_key.*", "median")

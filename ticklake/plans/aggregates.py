@@ -411,16 +411,16 @@ def _(m):
 
 @query(
     "agg25_drift",
-    with_sql("deals", body=f""", p AS (SELECT deal_type, year(deal_date) AS y, count(*) AS n, avg(value) AS mean, stddev(value) AS std FROM deals WHERE year(deal_date) IN (1996, 1999) GROUP BY ALL)
- SELECT c.deal_type, c.n, {sql4("c.mean")} AS mean, {sql4("c.std")} AS std, {sql4("b.mean")} AS base_mean, {sql4("abs(c.mean - b.mean) / b.std")} AS shift,
- abs(c.mean - b.mean) / b.std > 0.01 AS drifted FROM p c JOIN p b ON c.deal_type = b.deal_type AND c.y = 1999 AND b.y = 1996"""),
+    with_sql("deals", body=f""", p AS (SELECT deal_type, CAST(year(deal_date) AS INTEGER) AS y, count(*) AS n, avg(value) AS mean, stddev(value) AS std FROM deals GROUP BY ALL)
+ SELECT c.deal_type, c.y, c.n, {sql4("c.mean")} AS mean, {sql4("c.std")} AS std, {sql4("b.mean")} AS base_mean, {sql4("abs(c.mean - b.mean) / b.std")} AS shift,
+ abs(c.mean - b.mean) / b.std > 0.01 AS drifted FROM p c JOIN p b ON c.deal_type = b.deal_type AND c.y = b.y + 1"""),
 )
 def _(m):
-    def year(y):
-        return stats.profile(m.deals.filter(F.year("deal_date") == y), ["deal_type"], "value")
-
-    return stats.drift(year(1999), year(1996), ["deal_type"], 0.01).select(
-        "deal_type", "n", r4("mean").alias("mean"), r4("std").alias("std"), r4("base_mean").alias("base_mean"), r4("shift").alias("shift"), "drifted"
+    """Every year against the year before."""
+    now = stats.profile(m.deals.withColumn("y", F.year("deal_date")), ["deal_type", "y"], "value")
+    before = now.withColumn("y", F.col("y") + 1)
+    return stats.drift(now, before, ["deal_type", "y"], 0.01).select(
+        "deal_type", "y", "n", r4("mean").alias("mean"), r4("std").alias("std"), r4("base_mean").alias("base_mean"), r4("shift").alias("shift"), "drifted"
     )
 
 

@@ -224,12 +224,12 @@ def _(m):
 @query(
     "join12_scd2_merge",
     with_sql("master_changes", body=f"""{SCD}, b AS (SELECT symbol, arg_max(status, as_of) AS status FROM master_changes
-   WHERE as_of BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' GROUP BY 1),
+   WHERE as_of >= DATE '1999-01-01' GROUP BY 1),
  h AS (SELECT symbol, status, as_of AS valid_from, lead(as_of) OVER (PARTITION BY symbol ORDER BY as_of) AS valid_to FROM
    (SELECT *, lag(status) OVER (PARTITION BY symbol ORDER BY as_of) AS p FROM master_changes WHERE as_of < DATE '1999-01-01') WHERE p IS NULL OR p <> status),
  r AS (SELECT h.symbol, h.status, h.valid_from, CASE WHEN h.valid_to IS NULL AND b.status IS NOT NULL AND b.status <> h.status
-     THEN DATE '2000-01-01' ELSE h.valid_to END AS valid_to FROM h LEFT JOIN b ON h.symbol = b.symbol
-   UNION ALL SELECT b.symbol, b.status, DATE '2000-01-01', NULL FROM b LEFT JOIN (SELECT * FROM h WHERE valid_to IS NULL) o ON b.symbol = o.symbol
+     THEN DATE '2002-01-01' ELSE h.valid_to END AS valid_to FROM h LEFT JOIN b ON h.symbol = b.symbol
+   UNION ALL SELECT b.symbol, b.status, DATE '2002-01-01', NULL FROM b LEFT JOIN (SELECT * FROM h WHERE valid_to IS NULL) o ON b.symbol = o.symbol
      WHERE o.symbol IS NULL OR o.status <> b.status)
  SELECT *, valid_to IS NULL AS is_current FROM r"""),
 )
@@ -237,10 +237,10 @@ def _(m):
     old = m.master_changes.filter("as_of < DATE'1999-01-01'")
     history = versions.scd2_build(old, "symbol", "as_of", ["status"])
     batch = (
-        m.master_changes.filter("as_of BETWEEN DATE'1999-01-01' AND DATE'1999-12-31'")
+        m.master_changes.filter("as_of >= DATE'1999-01-01'")
         .groupBy("symbol").agg(F.max_by("status", "as_of").alias("status"))
     )
-    return versions.scd2_merge(history, batch, "symbol", F.lit("2000-01-01").cast("date"), ["status"])
+    return versions.scd2_merge(history, batch, "symbol", F.lit("2002-01-01").cast("date"), ["status"])
 
 
 @query(

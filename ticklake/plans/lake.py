@@ -45,26 +45,26 @@ def _(m):
     return stored.unionByName(bad).groupBy("place").agg(F.count("*").alias("n"))
 
 
-@query("snk03_table_layout", with_sql("ohlc", body=f"SELECT symbol, {sql4('close')} AS close, CAST(year(trade_date) AS INTEGER) AS year, CAST(month(trade_date) AS INTEGER) AS month, CAST(day(trade_date) AS INTEGER) AS day FROM ohlc WHERE trade_date BETWEEN DATE '1997-01-01' AND DATE '1997-01-31'"))
+@query("snk03_table_layout", with_sql("ohlc", body=f"SELECT symbol, {sql4('close')} AS close, CAST(year(trade_date) AS INTEGER) AS year, CAST(month(trade_date) AS INTEGER) AS month, CAST(day(trade_date) AS INTEGER) AS day FROM ohlc"))
 def _(m):
+    """All days in one job, one folder per day."""
     path = fresh_path(m.spark, "daily")
-    lw.write_table(m.sliced("1997-01-01", "1997-01-31").closes, path, "normalized_equity_ohlc", sort_by=("symbol",))
-    return read_lake(m.spark, path).filter("year = 1997 AND month = 1").select("symbol", r4("close").alias("close"), "year", "month", "day")
+    lw.write_table(m.closes, path, "normalized_equity_ohlc", sort_by=("symbol",))
+    return read_lake(m.spark, path).select("symbol", r4("close").alias("close"), "year", "month", "day")
 
 
-@query("snk04_deal_layout", with_sql("deals", body="SELECT deal_type, CAST(year(deal_date) AS INTEGER) AS year, CAST(month(deal_date) AS INTEGER) AS month, count(*) AS n FROM deals WHERE deal_date BETWEEN DATE '1996-02-01' AND DATE '1996-03-31' GROUP BY 1, 2, 3"))
+@query("snk04_deal_layout", with_sql("deals", body="SELECT deal_type, CAST(year(deal_date) AS INTEGER) AS year, CAST(month(deal_date) AS INTEGER) AS month, count(*) AS n FROM deals GROUP BY 1, 2, 3"))
 def _(m):
     path = fresh_path(m.spark, "deals")
-    chosen = m.deals.filter("deal_date BETWEEN DATE'1996-02-01' AND DATE'1996-03-31'")
-    lw.write_table(chosen, path, "bulk_block_deals", sort_by=("symbol",))
+    lw.write_table(m.deals, path, "bulk_block_deals", sort_by=("symbol",))
     return read_lake(m.spark, path).groupBy("deal_type", "year", "month").agg(F.count("*").alias("n"))
 
 
-@query("snk04_symbol_layout", with_sql("financials", body="SELECT symbol, year, quarter, revenue FROM financials WHERE symbol IN ('S1', 'S2')"))
+@query("snk04_shareholding_layout", with_sql("shareholding", body="SELECT symbol, year, quarter, promoter FROM shareholding"))
 def _(m):
-    path = fresh_path(m.spark, "financials")
-    lw.write_table(m.financials.filter("symbol IN ('S1', 'S2')"), path, "quarterly_financials")
-    return read_lake(m.spark, path).select("symbol", "year", "quarter", "revenue")
+    path = fresh_path(m.spark, "shareholding")
+    lw.write_table(m.shareholding, path, "shareholding_pattern", sort_by=("symbol",))
+    return read_lake(m.spark, path).select("symbol", "year", "quarter", "promoter")
 
 
 @query("snk05_compaction", with_sql("ohlc", body="SELECT CAST(year(trade_date) AS INTEGER) AS year, count(*) AS n, true AS fewer_files FROM ohlc GROUP BY 1"))
@@ -138,7 +138,7 @@ def _(m):
     base = fresh_path(m.spark, "once")
     args = ("bars", "all-days", f"{base}/data", f"{base}/manifest")
     done = [manifest.write_once(bars(m), *args, "2024-01-01 00:00:00"), manifest.write_once(bars(m), *args, "2024-01-01 01:00:00")]
-    bars(m).limit(1).write.mode("append").parquet(f"{base}/data")
+    bars(m).filter("symbol = 'S1'").write.mode("append").parquet(f"{base}/data")
     done += [manifest.write_once(bars(m), *args, "2024-01-01 02:00:00"), manifest.write_once(bars(m), *args, "2024-01-01 03:00:00")]
     marks = manifest.read_manifest(m.spark, f"{base}/manifest").agg(F.count("*")).scalar()
     stored = read_lake(m.spark, f"{base}/data").agg(F.count("*").alias("n_rows"))
@@ -170,14 +170,13 @@ def _(m):
     return lw.verify_load(read_lake(m.spark, path), m.trades.select("symbol", "trade_date").distinct())
 
 
-@query("snk13_replace_day", with_sql("ohlc", body="SELECT trade_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM ohlc WHERE year(trade_date) = 1998 GROUP BY 1"))
+@query("snk13_replace_day", with_sql("ohlc", body="SELECT trade_date, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM ohlc GROUP BY 1"))
 def _(m):
-    """Loading the same days twice leaves each day once."""
+    """Loading the first quarter of every year again leaves each day once."""
     path = fresh_path(m.spark, "replaced")
-    year = m.sliced("1998-01-01", "1998-12-31").ohlc.select("symbol", "volume", "trade_date")
-    month = F.trunc("trade_date", "MM")
-    for rows in (year, year.filter("month(trade_date) <= 3")):
-        lw.write_dataset(rows.withColumn("month", month), path, ["month"])
+    rows = m.ohlc.select("symbol", "volume", "trade_date", F.trunc("trade_date", "MM").alias("month"))
+    for part in (rows, rows.filter("month(trade_date) <= 3")):
+        lw.write_dataset(part, path, ["month"])
     return read_lake(m.spark, path).groupBy("trade_date").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 
 

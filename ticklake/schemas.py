@@ -59,7 +59,7 @@ LAYOUTS = {
     "raw_equity_ohlc": ("trade_date", ("year", "month", "day")),
     "normalized_equity_ohlc": ("trade_date", ("year", "month", "day")),
     "corporate_actions": ("ex_date", ("year",)),
-    "bulk_block_deals": ("deal_date", ("deal_type", "year", "month", "day")),
+    "bulk_block_deals": ("deal_date", ("deal_type", "year", "month")),
     "index_constituent": ("effective_date", ("index_name", "year", "month", "day")),
     "option_chain": ("date", ("date", "symbol")),
     "quarterly_financials": ("period_end_date", ("symbol", "year", "quarter")),

@@ -22,6 +22,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
     A Parquet file with one row group is one task however many cores are idle.  Tables of many files,
     as any large table is, and tables below 1 MB are read as they are, without the extra exchange.
+    Rows are placed by a hash of the first column: unlike round robin that needs no sort.
     """
     df = spark.read.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,7 +30,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if stored.getLength() < SMALL_INPUT_BYTES or stored.getFileCount() >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, df.columns[0])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
