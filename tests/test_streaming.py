@@ -94,3 +94,19 @@ def test_messages_carry_json_values(spark):
     df = spark.createDataFrame([("a", '{"event_id": 7, "price": 1.5}')], "key string, value string")
     row = engine.from_topic(df.select(F.col("key").cast("binary"), F.col("value").cast("binary")), "event_id bigint, price double").first()
     assert (row["entity_id"], row["event_id"], row["price"]) == ("a", 7, 1.5)
+
+
+def test_interval_join_pairs_once_across_slots(spark):
+    base = fresh_path(spark, "interval")
+    rows = ticks(spark, *[(i, m, "a", 1) for i, m in enumerate((0, 29, 30, 31, 59, 60, 61, 200))])
+    rows.write.parquet(f"{base}/topic")
+
+    def side(p):
+        s = engine.read_stream(spark, f"{base}/topic", engine.TICK_SCHEMA)
+        return s.select(F.col("event_id").alias(f"{p}_id"), F.col("entity").alias(f"{p}_entity"), F.col("ts").alias(f"{p}_ts"))
+
+    pairs = ops.interval_join(side("l"), side("r"), "entity", 1800, "1 hour").select("l_id", "r_id")
+    engine.run_to_folder(pairs, base)
+    minutes = (0, 29, 30, 31, 59, 60, 61, 200)
+    want = sorted((i, j) for i, a in enumerate(minutes) for j, b in enumerate(minutes) if 0 <= b - a <= 30)
+    assert sorted((r["l_id"], r["r_id"]) for r in engine.output(spark, base, pairs).collect()) == want

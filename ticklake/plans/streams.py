@@ -199,7 +199,7 @@ def _(m):
     def side(kind, p):
         return tick_stream(m).filter(F.col("kind") == kind).select(F.col("event_id").alias(f"{p}_id"), F.col("entity").alias(f"{p}_entity"), F.col("ts").alias(f"{p}_ts"))
 
-    pairs = ops.interval_join(side("click", "l"), side("purchase", "r"), "entity", "1 HOUR", "2 hours")
+    pairs = ops.interval_join(side("click", "l"), side("purchase", "r"), "entity", 3600, "2 hours")
     pairs = pairs.select(F.col("l_id").alias("click_id"), F.col("r_id").alias("purchase_id"), F.col("l_entity").alias("entity"))
     engine.run_to_folder(pairs, base)
     return engine.output(m.spark, base, pairs)

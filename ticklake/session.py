@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="ticklake-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="ticklake-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

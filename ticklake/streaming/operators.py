@@ -46,12 +46,21 @@ def sessions(df: DataFrame, ts: str, gap: str, delay: str, by: list[str]) -> Dat
     return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "n")
 
 
-def interval_join(left: DataFrame, right: DataFrame, key: str, within: str, delay: str) -> DataFrame:
-    """Right rows at most ``within`` after a left row of the same key; both sides' state expires."""
-    a = left.withWatermark("l_ts", delay)
-    b = right.withWatermark("r_ts", delay)
-    on = (F.col(f"l_{key}") == F.col(f"r_{key}")) & (F.col("r_ts") >= F.col("l_ts")) & (F.col("r_ts") <= F.col("l_ts") + F.expr(f"INTERVAL {within}"))
-    return a.join(b, on)
+def interval_join(left: DataFrame, right: DataFrame, key: str, within_seconds: int, delay: str) -> DataFrame:
+    """Right rows at most ``within_seconds`` after a left row of the same key; both sides' state expires.
+
+    Rows meet on (key, time slot): a left row lives in its own slot, a right row is offered to its own
+    and the one before, so each pair meets once and a busy key spreads over its slots.
+    """
+
+    def slot(ts: str) -> Column:
+        return F.floor(F.unix_seconds(F.col(ts)) / within_seconds)
+
+    a = left.withWatermark("l_ts", delay).withColumn("l_slot", slot("l_ts"))
+    b = right.withWatermark("r_ts", delay).withColumn("r_slot", F.explode(F.array(slot("r_ts"), slot("r_ts") - 1)))
+    near = (F.col("r_ts") >= F.col("l_ts")) & (F.col("r_ts") <= F.col("l_ts") + F.expr(f"INTERVAL {within_seconds} SECONDS"))
+    same = (F.col(f"l_{key}") == F.col(f"r_{key}")) & (F.col("l_slot") == F.col("r_slot"))
+    return a.join(b, same & near).drop("l_slot", "r_slot")
 
 
 def split_step(checks_of, good_path: str, bad_path: str, table: str, stamp: str):
