@@ -24,7 +24,7 @@ def clean(c: Column, tokens=MASTER_NULLS) -> Column:
 
 def safe_double(c: Column, tokens=MASTER_NULLS) -> Column:
     """Number with optional thousands separators; null when it does not parse."""
-    return F.regexp_replace(clean(c, tokens), ",", "").try_cast("double")
+    return F.replace(clean(c, tokens), F.lit(","), F.lit("")).try_cast("double")
 
 
 def safe_long(c: Column, tokens=MASTER_NULLS) -> Column:

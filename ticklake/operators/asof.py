@@ -27,7 +27,7 @@ def asof_join(
     take: list[str],
     direction: str = "backward",
     allow_exact: bool = True,
-    tolerance_days: int | None = None,
+    tolerance_days: float | None = None,
     bucket: Bucket | None = None,
     collapse: bool = False,
 ) -> DataFrame:
@@ -55,8 +55,8 @@ def asof_join(
             back, right.withColumn("_at", F.col(right_on)), by, left_on, right_on, [*take, "_at"],
             "forward", True, tolerance_days, bucket,
         )
-        behind = F.abs(F.datediff(F.col(left_on), F.col("_b._at")))
-        ahead = F.abs(F.datediff(F.col("_at"), F.col(left_on)))
+        behind = _apart(F.col(left_on), F.col("_b._at"))
+        ahead = _apart(F.col("_at"), F.col(left_on))
         use_back = F.col("_at").isNull() | (F.col("_b._at").isNotNull() & (behind <= ahead))
         picked = [F.when(use_back, F.col(f"_b.{c}")).otherwise(F.col(c)).alias(c) for c in take]
         return both.select(*left.columns, *picked)
@@ -99,7 +99,7 @@ def asof_join(
     w = Window.partitionBy(*part).orderBy(when, "_side").rowsBetween(Window.unboundedPreceding, 0)
     matched = rows.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).filter(F.col("_l").isNotNull())
     if tolerance_days is not None:
-        near_enough = F.abs(F.datediff(F.col("_t"), F.col("_m._rt"))) <= tolerance_days
+        near_enough = _apart(F.col("_t"), F.col("_m._rt")) <= tolerance_days * 86_400
         matched = matched.withColumn("_m", F.when(near_enough, F.col("_m")))
     # keys keep their own column, so that a following window or join on them needs no new shuffle
     own = {left_on: F.col("_t"), **{c: F.col(f"_k_{c}") for c in by}}
@@ -107,6 +107,11 @@ def asof_join(
     return matched.select(*kept, *[F.col(f"_m._r_{c}").alias(c) for c in take])
 
 
+def _apart(a: Column, b: Column) -> Column:
+    """Seconds between two dates or timestamps."""
+    return F.abs(a.cast("timestamp").cast("double") - b.cast("timestamp").cast("double"))
+
+
 def by_month(c: Column) -> Column:
     return F.trunc(c, "MM")
 

@@ -104,6 +104,19 @@ def _(m):
     return out.withColumns({c: r4(c) for c in ("close", "sma_5", "sma_20", "ema_12", "ema_26", "rsi_14")})
 
 
+SMAS = (10, 50, 100, 200)
+
+
+@query(
+    "win08_wide_features",
+    with_sql("ohlc", body=f"""SELECT symbol, trade_date, {", ".join(f"CASE WHEN count(close) {W} ROWS {n - 1} PRECEDING) = {n} THEN {sql4(f'avg(close) {W} ROWS {n - 1} PRECEDING)')} END AS sma_{n}" for n in SMAS)},
+ {sql4(ema_fold_sql("close", 50, "ohlc", look=1000))} AS ema_50, {sql4(ema_fold_sql("close", 12, "ohlc") + " - " + ema_fold_sql("close", 26, "ohlc"))} AS macd, 'v2' AS feature_version FROM ohlc"""),
+)
+def _(m):
+    out = ind.features_wide(m.ohlc.drop("suppkey", "open", "turnover", "trades"), "v2", STAMP_MS)
+    return out.select("symbol", "trade_date", *[r4(f"sma_{n}").alias(f"sma_{n}") for n in SMAS], r4("ema_50").alias("ema_50"), r4("macd").alias("macd"), "feature_version")
+
+
 @query(
     "win08_macd",
     with_sql("ohlc", body=f""", m AS (SELECT symbol, trade_date, {ema_fold_sql("close", 12, "ohlc")} -
