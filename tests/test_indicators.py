@@ -71,3 +71,8 @@ def test_feature_columns_in_order(spark):
     out = ind.features(bars(spark, range(1, 40)), "v7", 12)
     assert out.columns == [*ind.FEATURE_COLUMNS, "feature_version", "feature_timestamp"]
     assert out.first()["feature_version"] == "v7"
+
+
+def test_serving_period_is_limited(spark):
+    with pytest.raises(ValueError):
+        ind.sma(bars(spark, [1]), windows=(201,), partial=True)

@@ -128,3 +128,19 @@ def test_audit_log_reports(spark, tmp_path):
     assert trend["failure_rate"]["change_pct"] == pytest.approx(100.0) and trend["failure_rate"]["is_anomaly"] and trend["validation_volume"]["trend"] == "stable"
     kinds = {(str(r["report_date"]), r["kind"], r["schema_name"]) for r in reports.anomalies(entries).collect()}
     assert ("2024-01-11", "schema_rate", "a") in kinds and ("2024-01-10", "high_rate", "") in kinds and ("2024-01-11", "volume_spike", "") in kinds
+
+
+def test_epoch_encodings_are_understood(spark):
+    df = spark.createDataFrame(
+        [("ok", 1705276800000, 1705341600000, 19737), ("bad", -1, 1705341600000, 5000)], "event_id string, event_time bigint, ingest_time bigint, trade_date int"
+    )
+    assert broken(df, rules.checks_for(df, SETTINGS)) == [
+        ("bad", "date_out_of_range", "trade_date"), ("bad", "impossible_time", "event_time"), ("bad", "stale", "ingest_time,event_time"),
+    ]
+
+
+def test_required_rows(spark):
+    df = rows(spark, {})
+    assert outcome.require_rows(df, "bars") is df
+    with pytest.raises(outcome.NoRows):
+        outcome.require_rows(df.filter("false"), "bars")

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from ticklake.operators.series import daily, ema
 
 
+MAX_SERVING_PERIOD = 200
+
+
 def sma(df: DataFrame, windows=(5, 20), column: str = "close", partial: bool = False) -> DataFrame:
-    """Simple means of the last n rows; null until n rows exist unless ``partial``."""
+    """Simple means of the last n rows; null until n rows exist unless ``partial``.
+
+    The serving variant (``partial``) accepts periods from 1 to 200.
+    """
+    if partial and any(not 1 <= n <= MAX_SERVING_PERIOD for n in windows):
+        raise ValueError(f"period must lie between 1 and {MAX_SERVING_PERIOD}")
     cols = {}
     for n in windows:
         w = daily().rowsBetween(-(n - 1), 0)

@@ -351,6 +351,6 @@ def _(m):
     return reports.anomalies(audit_log(m)).withColumn("value", r4("value"))
 
 
-@query("rpt05_daily_series", with_sql("deals", body=f"""{AUDIT_SQL} SELECT deal_date AS report_date, deal_type AS schema_name, failed_rows AS failures, total_rows AS "rows", {sql4("failed_rows / total_rows")} AS rate FROM log"""))
+@query("rpt05_daily_series", with_sql("deals", body=f"{AUDIT_SQL} SELECT report_date, rows_validated AS volume, failures, {sql4('failure_rate')} AS failure_rate FROM rep"))
 def _(m):
-    return reports.daily_series(audit_log(m)).withColumn("rate", r4("rate"))
+    return reports.daily_series(audit_log(m)).withColumn("failure_rate", r4("failure_rate"))

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from ticklake.quality.rules import FLAGS
 
 
+class NoRows(ValueError):
+    """A step that must yield rows yielded none."""
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df`` itself, after checking that it has a row (at most one row is read)."""
+    if df.isEmpty():
+        raise NoRows(f"{what}: no rows")
+    return df
+
+
 def good_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.size(FLAGS) == 0).drop(FLAGS)
 

@@ -90,8 +90,8 @@ def anomalies(entries: DataFrame) -> DataFrame:
 
 
 def daily_series(entries: DataFrame) -> DataFrame:
-    """Chart series: failures, rows and rate per day and schema."""
-    return entries.groupBy(F.to_date("at").alias("report_date"), "schema_name").agg(
-        F.sum("failed_rows").alias("failures"), F.sum("total_rows").alias("rows"),
-        F.coalesce(F.try_divide(F.sum("failed_rows").cast("double"), F.sum("total_rows")), F.lit(0.0)).alias("rate"),
+    """Chart series: rows validated, failures and failure rate per day."""
+    return entries.groupBy(F.to_date("at").alias("report_date")).agg(
+        F.sum("total_rows").alias("volume"), F.sum("failed_rows").alias("failures"),
+        F.coalesce(F.try_divide(F.sum("failed_rows").cast("double"), F.sum("total_rows")), F.lit(0.0)).alias("failure_rate"),
     )

@@ -80,6 +80,16 @@ class _Rules:
             found.append(F.col(hit))
         return found
 
+    def _millis(self, name: str) -> Column:
+        """Epoch milliseconds of a timestamp column, or the column itself where it already holds them."""
+        c = F.col(name)
+        return c if isinstance(self.schema[name].dataType, T.LongType) else F.unix_millis(c.cast("timestamp"))
+
+    def _date(self, name: str) -> Column:
+        """A date column, or whole days since 1970 as one."""
+        c = F.col(name)
+        return F.date_from_unix_date(c.cast("int")) if isinstance(self.schema[name].dataType, (T.LongType, T.IntegerType)) else c
+
     def high_below_low(self):
         if cols := self._pick("high", "low"):
             h, lo = cols
@@ -123,16 +133,15 @@ class _Rules:
             yield Check("bad_adjustment_factor", CRITICAL, "adjustment_factor", d.isNotNull() & (f <= 0), _say("factor ", _text(f)))
 
     def stale(self):
-        if cols := self._pick("event_time", "ingest_time"):
-            e, i = cols
-            hours = (F.unix_millis(i) - F.unix_millis(e)) / 3_600_000
+        if self._pick("event_time", "ingest_time"):
+            hours = (self._millis("ingest_time") - self._millis("event_time")) / 3_600_000
             yield Check("stale", WARNING, "ingest_time,event_time", hours > self.s.max_freshness_hours, _say("ingested after ", _text(F.round(hours, 1)), " h"))
 
     def impossible_time(self):
         limit = F.unix_millis(F.lit(self.s.as_of).cast("timestamp")) + 3_600_000
         for name in ("event_time", "ingest_time"):
             if name in self.cols:
-                ms = F.unix_millis(F.col(name))
+                ms = self._millis(name)
                 yield Check("impossible_time", CRITICAL, name, (ms < 0) | (ms > limit), _say(name, " ", _text(F.col(name))))
 
     def _negative(self, rule: str, words: tuple[str, ...]):
@@ -148,7 +157,7 @@ class _Rules:
 
     def date_out_of_range(self):
         if "trade_date" in self.cols:
-            d = F.col("trade_date")
+            d = self._date("trade_date")
             last = F.date_add(F.lit(self.s.as_of).cast("date"), 1)
             bad = (d < F.lit(self.s.first_date).cast("date")) | (d > last)
             yield Check("date_out_of_range", CRITICAL, "trade_date", bad, _say("date ", _text(d)))
