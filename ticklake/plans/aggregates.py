@@ -24,7 +24,7 @@ def isum(expr: str) -> str:
 
 
 def icount_if(expr: str) -> str:
-    return f"CAST(count_if({expr}) AS BIGINT)"
+    return f"count(*) FILTER (WHERE {expr})"
 
 
 @query(

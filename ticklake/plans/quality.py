@@ -233,8 +233,8 @@ def _(m):
 @query(
     "dq27_daily_quality",
     with_sql("dirty", body=f"""SELECT trade_date, count(*) AS "rows", {sql4("(1 - sum(CASE WHEN close IS NULL THEN 1 ELSE 0 END) / (count(*) * 4)) * 100")} AS completeness_pct,
- CAST(count_if(close <= 0 OR close > 1000000) AS BIGINT) AS invalid_prices, {sql4("(1 - count_if(close <= 0 OR close > 1000000) / count(*)) * 100")} AS validity_pct,
- CAST(count_if(turnover = 0 AND volume > 0) AS BIGINT) AS inconsistent, {sql4("(epoch(TIMESTAMP '2030-01-01 00:00:00') - epoch(CAST(trade_date AS TIMESTAMP))) / 3600")} AS freshness_hours FROM dirty GROUP BY 1"""),
+ count(*) FILTER (WHERE close <= 0 OR close > 1000000) AS invalid_prices, {sql4("(1 - count(*) FILTER (WHERE close <= 0 OR close > 1000000) / count(*)) * 100")} AS validity_pct,
+ count(*) FILTER (WHERE turnover = 0 AND volume > 0) AS inconsistent, {sql4("(epoch(TIMESTAMP '2030-01-01 00:00:00') - epoch(CAST(trade_date AS TIMESTAMP))) / 3600")} AS freshness_hours FROM dirty GROUP BY 1"""),
 )
 def _(m):
     out = outcome.daily_quality(m.dirty.select("trade_date", "close", "volume", "turnover"), "trade_date", AS_OF)
