@@ -196,3 +196,13 @@ def test_null_keys_count_as_duplicates(spark):
 
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     assert sorted(r["v"] for r in duplicate_members(df, ["k"]).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("tokens", [("-", "", "null"), ("", "-", "nan"), ("-", "null", "")])
+def test_missing_tokens_wherever_they_are_listed(spark, tokens):
+    from ticklake.functions.text import clean
+
+    texts = ["-", "", "  ", " null ", "nan", "a", "a,b", "-,", ",", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(clean(F.col("t"), tokens)).collect()
+    want = [None if t is None or t.strip(" ") in tokens else t.strip(" ") for t in texts]
+    assert [r[0] for r in got] == want

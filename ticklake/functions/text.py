@@ -17,9 +17,13 @@ HOLIDAY_DATES_WITHOUT_YEAR = ("d-MMM", "d-MMMM", "d/M", "d-M")
 
 
 def clean(c: Column, tokens=MASTER_NULLS) -> Column:
-    """Trimmed text, null where it is a missing token."""
+    """Trimmed text, null where it is a missing token (tokens hold no comma).
+
+    ``find_in_set`` looks all tokens up in one call; feeds have dozens of columns, and spelled-out
+    comparisons for each make the compiled row method too large to be optimised.
+    """
     t = F.trim(c)
-    return F.when(~t.isin(*tokens), t)
+    return F.when(F.find_in_set(t, F.lit(",".join(tokens))) == 0, t)
 
 
 def safe_double(c: Column, tokens=MASTER_NULLS) -> Column:
