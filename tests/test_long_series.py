@@ -65,11 +65,11 @@ def test_ema_continues_from_a_seed(spark):
     assert [r["e"] for r in got.orderBy("event_id").collect()] == pytest.approx(want, rel=1e-12)
 
 
-def test_time_bucket_gets_finer_with_density(ticks, spark):
-    coarse = time_bucket(ticks, ["kind"], "ts", max_rows=10**6)
-    fine = time_bucket(ticks, ["kind"], "ts", max_rows=40)
-    count = lambda b: ticks.groupBy("kind", b(F.col("ts"))).count().agg(F.max("count")).first()[0]
-    assert count(coarse) > 40 >= count(fine)
+def test_time_bucket_unit_does_not_change_results(ticks):
+    runs = [series.lag_long(ticks, ["kind"], ["ts", "event_id"], time_bucket(u)(F.col("ts")), "price", "prev") for u in ("month", "hour", "minute")]
+    assert all(runs[0].exceptAll(r).count() == 0 and r.exceptAll(runs[0]).count() == 0 for r in runs[1:])
+    with pytest.raises(ValueError):
+        time_bucket("week")
 
 
 def frames(spark):

@@ -43,7 +43,7 @@ def test_restart_does_not_repeat_output(spark):
 
 def test_momentum_over_batches_equals_one_pass(spark):
     base = fresh_path(spark, "momentum")
-    step = ops.momentum_step(f"{base}/rows", f"{base}/state", span=5, n=3)
+    step = ops.momentum_step(f"{base}/rows", f"{base}/state", f"{base}/late", span=5, n=3)
     prices = [100 + (i * 37 % 11) for i in range(40)]
     rows = [(i, i, "a" if i % 4 else "b", p) for i, p in enumerate(prices)]
     for number, part in enumerate((rows[:7], rows[7:8], rows[8:])):
@@ -60,10 +60,12 @@ def test_momentum_over_batches_equals_one_pass(spark):
 
 def test_momentum_rejects_old_rows(spark):
     base = fresh_path(spark, "momentum")
-    step = ops.momentum_step(f"{base}/rows", f"{base}/state")
-    step(ticks(spark, (1, 10, "a", 5)), 0)
-    step(ticks(spark, (2, 9, "a", 500), (3, 11, "a", 6), (4, 1, "new", 7)), 1)
-    assert sorted(r["event_id"] for r in spark.read.parquet(f"{base}/rows").collect()) == [1, 3, 4]
+    step = ops.momentum_step(f"{base}/rows", f"{base}/state", f"{base}/late")
+    step(ticks(spark, (2, 10, "a", 5)), 0)
+    # equal times are told apart by the id
+    step(ticks(spark, (1, 10, "a", 1), (5, 10, "a", 2), (6, 9, "a", 500), (3, 11, "a", 6), (4, 1, "new", 7)), 1)
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{base}/rows").collect()) == [2, 3, 4, 5]
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{base}/late").collect()) == [1, 6]
 
 
 def test_latest_state_survives_a_repeated_batch(spark):

@@ -35,9 +35,15 @@ def _number(purpose: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(F.lower(purpose), pattern, group).try_cast("double")
 
 
+def split_ratio(purpose: Column) -> Column:
+    """New shares per old one from "Rs X to Rs Y": the whole part of X / Y, below 1 (a reverse split) X / Y itself."""
+    ratio = F.try_divide(_number(purpose, SPLIT_PATTERN, 1), _number(purpose, SPLIT_PATTERN, 2))
+    return F.when(ratio >= 1, F.floor(ratio).cast("double")).otherwise(ratio)
+
+
 def split_shares(purpose: Column) -> Column:
-    """New shares per old one from "Rs X to Rs Y", whole part of X / Y."""
-    return F.try_divide(_number(purpose, SPLIT_PATTERN, 1), _number(purpose, SPLIT_PATTERN, 2)).cast("int")
+    """Whole new shares per old one; 0 for a reverse split."""
+    return split_ratio(purpose).cast("int")
 
 
 def bonus_new(purpose: Column) -> Column:
@@ -55,7 +61,7 @@ def dividend_amount(purpose: Column) -> Column:
 def text_factor(kind: Column, purpose: Column) -> Column:
     """Price factor the text implies; 1 where it implies none."""
     bonus = F.try_divide(bonus_held(purpose) + bonus_new(purpose), bonus_held(purpose))
-    split = split_shares(purpose).cast("double")
+    split = split_ratio(purpose)
     return F.coalesce(F.when(kind == "SPLIT", split).when(kind == "BONUS", bonus), F.lit(1.0))
 
 

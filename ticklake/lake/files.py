@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.functions.text import parse_date
 
 MB = 1024 * 1024
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -42,37 +44,39 @@ def compaction_plan(spark: SparkSession, path: str, target_mb: float, min_mb: fl
 
 
 def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128, min_mb: float = 32) -> DataFrame:
-    """Rewrite the planned partitions with fewer files; returns the plan that was carried out.
+    """Rewrite the planned partitions as the planned number of files; returns the plan that was carried out.
 
-    All partitions are rewritten by one job.  Rows go to (partition, salt) groups, as many salts as
-    the partition needs files, so a large partition is never one task.  The new files are complete
-    in ``staging`` before the old ones are replaced, so a job that dies loses nothing.
+    All partitions are rewritten by one job: every (partition, file) is one task, rows are dealt to the files of
+    their partition by hash.  Partitioned data is written once; the writer keeps new files apart until all are complete
+    and then replaces the old ones, so a job that dies loses nothing.  A folder without partitions is staged first.
     """
-    plan = compaction_plan(spark, path, target_mb, min_mb)
-    plan.write.mode("overwrite").parquet(f"{staging}/plan")
+    compaction_plan(spark, path, target_mb, min_mb).write.mode("overwrite").parquet(f"{staging}/plan")
     plan = spark.read.parquet(f"{staging}/plan")
     data = spark.read.parquet(path)
+    total = plan.agg(F.sum("target_files").alias("files")).first()["files"]
+    if not total:
+        return plan
     keys = _partition_columns(spark, path)
+    # one row per partition: its first file number
+    before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = plan.withColumn("_first", F.coalesce(F.sum("target_files").over(before), F.lit(0)))
+    wanted = wanted.select(*[_folder_value(k).try_cast(data.schema[k].dataType).alias(f"_k_{k}") for k in keys], "target_files", "_first")
+    same = reduce(lambda c, k: c & data[k].eqNullSafe(wanted[f"_k_{k}"]), keys, F.lit(True))
+    chosen = data.join(wanted, same) if keys else data.join(F.broadcast(wanted))  # without keys the plan is one row
+    file = F.col("_first") + F.pmod(F.xxhash64(*data.columns), F.col("target_files"))
+    rows = chosen.withColumn("_file", file.cast("int")).repartitionById(int(total), "_file").select(*data.columns)
     if keys:
-        # joining on the partition columns themselves lets the scan skip all other partitions
-        wanted = plan.select(*[_folder_value(k).cast(data.schema[k].dataType).alias(k) for k in keys], "target_files")
-        chosen = data.join(wanted, keys)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
     else:
-        chosen = data.withColumn("target_files", plan.agg(F.max("target_files")).scalar()).filter("target_files IS NOT NULL")
-    salt = F.pmod(F.xxhash64(*data.columns), F.col("target_files"))
-    rows = chosen.withColumn("_salt", salt).repartition(*keys, "_salt").select(*data.columns)
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy(*keys) if keys else writer).parquet(f"{staging}/data")
-    staged = spark.read.schema(data.schema).parquet(f"{staging}/data")
-    out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (out.partitionBy(*keys) if keys else out).parquet(path)
+        rows.write.mode("overwrite").parquet(f"{staging}/data")
+        spark.read.schema(data.schema).parquet(f"{staging}/data").write.mode("overwrite").parquet(path)
     return plan
 
 
 def _folder_value(key: str) -> Column:
     """Value of ``key`` in a folder path, with its escapes undone."""
     raw = F.regexp_extract("partition", f"(?:^|/){key}=([^/]+)", 1)
-    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.nullif(F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), F.lit(NULL_PARTITION))
 
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -98,12 +102,12 @@ def expired_partitions(ages: DataFrame, retention_days: int) -> DataFrame:
 def drop_expired(spark: SparkSession, path: str, key: str, as_of: Column, retention_days: int, dry_run: bool = True) -> DataFrame:
     """Expired folders; unless ``dry_run`` they are deleted through the Hadoop file system.
 
-    Folder names come to the driver one at a time: there is one per partition value, not per row.
+    Folder names come to the driver as a list: there is one per expired partition value, not per row or file.
     """
     old = expired_partitions(partition_ages(spark, path, key, as_of), retention_days)
     if dry_run:
         return old
-    names = [r["folder"] for r in old.select("folder").toLocalIterator()]
+    names = [r["folder"] for r in old.select("folder").collect()]
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for name in names:

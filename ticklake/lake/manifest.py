@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.lake.write import write_dataset
+from ticklake.session import path_exists
 
 MANIFEST_SCHEMA = "dataset string, key string, n_rows bigint, content_hash string, written_at timestamp"
 
@@ -19,10 +20,9 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
 def is_complete(spark: SparkSession, manifest_path: str, dataset: str, key: str, data_path: str) -> bool:

@@ -15,13 +15,22 @@ PRICE_COLUMNS = ("open", "high", "low", "close", "last_price", "prev_close")
 
 
 def cumulative_factors(ca: DataFrame) -> DataFrame:
-    """Product of a symbol's factors from its latest event back to each event."""
+    """Product of a symbol's factors from its latest event back to each event.
+
+    A factor that is missing, zero or negative is an error of that event alone (``factor_violations``): it counts
+    as 1 and the symbol's other events stay in force.
+    """
     w = (
         Window.partitionBy("symbol")
         .orderBy(F.col("ex_date").desc(), "action_type")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return ca.withColumn("cumulative_factor", F.product("adjustment_factor").over(w))
+    return ca.withColumn("cumulative_factor", F.coalesce(F.product(F.when(F.col("adjustment_factor") > 0, F.col("adjustment_factor"))).over(w), F.lit(1.0)))
+
+
+def factor_violations(ca: DataFrame) -> DataFrame:
+    """Events whose factor cannot adjust a price."""
+    return ca.filter(F.col("adjustment_factor").isNull() | (F.col("adjustment_factor") <= 0))
 
 
 def _per_date(factors: DataFrame, mode: str) -> DataFrame:
@@ -59,6 +68,6 @@ def adjust_prices(
         last = factors.groupBy("symbol").agg(F.max("ex_date").alias("stamp"))
         found = found.drop("stamp").join(last, "symbol", "left")
     factor = F.coalesce(F.col("factor"), F.lit(1.0))
-    touched = {c: F.col(c) / factor for c in PRICE_COLUMNS if c in prices.columns}
+    touched = {c: F.try_divide(F.col(c), factor) for c in PRICE_COLUMNS if c in prices.columns}
     out = found.withColumns({**touched, "adjustment_factor": factor, "adjustment_date": F.col("stamp")})
     return out.drop("factor", "stamp")

@@ -10,7 +10,6 @@ carried in as one extra row per bucket, found on map-side aggregated bucket summ
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,20 +116,14 @@ def by_month(c: Column) -> Column:
 
 
 TIME_UNITS = ("month", "day", "hour", "minute", "second")
-BUCKET_ROWS = 1_000_000
 
 
-def time_bucket(df: DataFrame, by: list[str], ts: str, max_rows: int = BUCKET_ROWS) -> Bucket:
-    """The coarsest time unit whose fullest (key, unit) bucket holds at most ``max_rows`` rows.
+def time_bucket(unit: str) -> Bucket:
+    """Buckets of one time unit.
 
-    One aggregation, combined map-side, decides it; a single row comes back to the driver.  The
-    finest unit is used where even that is fuller.
+    The unit is the caller's: the coarsest one in which the busiest key stays within what a task can sort, a
+    million rows or so.  Results do not depend on it.
     """
-    finest = df.groupBy(*by, F.date_trunc(TIME_UNITS[-1], ts).alias("_s")).agg(F.count("*").alias("_n"))
-    fullest = []
-    for unit in TIME_UNITS[:-1]:
-        per = finest.groupBy(*by, F.date_trunc(unit, "_s").alias("_u")).agg(F.sum("_n").alias("_n"))
-        fullest.append(per.agg(F.max("_n").alias("most")).withColumn("unit", F.lit(unit)))
-    most = {r["unit"]: r["most"] or 0 for r in reduce(DataFrame.unionByName, fullest).collect()}
-    unit = next((u for u in TIME_UNITS[:-1] if most[u] <= max_rows), TIME_UNITS[-1])
+    if unit not in TIME_UNITS:
+        raise ValueError(f"unit must be one of {TIME_UNITS}")
     return lambda c: F.date_trunc(unit, c)

@@ -31,12 +31,13 @@ def emas(df: DataFrame, spans=(12, 26), column: str = "close") -> DataFrame:
 
 
 def gains_losses(df: DataFrame, column: str = "close") -> DataFrame:
-    """Gain and loss against the previous row; the first row has neither."""
-    diff = F.col(column) - F.lag(column).over(daily())
+    """Gain and loss against the last value before; the first value has neither, a row without one has nulls."""
+    before = F.last(column, ignorenulls=True).over(daily().rowsBetween(Window.unboundedPreceding, -1))
+    diff = F.when(F.col(column).isNotNull(), F.coalesce(F.col(column) - before, F.lit(0.0)))
     return df.withColumn("_d", diff).withColumns(
         {
-            "gain": F.when(F.col("_d") > 0, F.col("_d")).otherwise(0.0),
-            "loss": F.when(F.col("_d") < 0, -F.col("_d")).otherwise(0.0),
+            "gain": F.when(F.col("_d") > 0, F.col("_d")).when(F.col("_d").isNotNull(), 0.0),
+            "loss": F.when(F.col("_d") < 0, -F.col("_d")).when(F.col("_d").isNotNull(), 0.0),
         }
     ).drop("_d")
 

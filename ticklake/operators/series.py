@@ -14,6 +14,7 @@ rows a frame reaches back to, so every task sorts a bounded block.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,21 +30,26 @@ def daily(by: str = "symbol", order: str = "trade_date"):
     return Window.partitionBy(by).orderBy(order)
 
 
-def positions(df: DataFrame, by: list[str], order: list[str], bucket: Column, name: str = "pos") -> DataFrame:
-    """Number rows 0,1,2… per key in ``order`` (a total order whose first column sets ``bucket``)."""
+def positions(df: DataFrame, by: list[str], order: list[str], bucket: Column, name: str = "pos", counted: Column | None = None) -> DataFrame:
+    """Number rows 0,1,2… per key in ``order`` (a total order whose first column sets ``bucket``).
+
+    With ``counted`` only rows where it holds are numbered; the others get the number of the last one before them,
+    -1 if there is none.
+    """
+    one = F.lit(1) if counted is None else counted.cast("int")
     # one struct key keeps rows whose key is null: structs compare null fields as equal
     rows = df.withColumn("_key", F.struct(*by, bucket.alias("_bucket")))
     same = [F.col("_key")[c] for c in by]
     earlier = Window.partitionBy(*same).orderBy(F.col("_key._bucket")).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("_key")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum(one).alias("_n"))
         .select("_key", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
     inside = Window.partitionBy("_key").orderBy(*order)
     return (
         rows.join(starts, "_key")
-        .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
+        .withColumn(name, F.col("_start") + (F.row_number().over(inside) if counted is None else F.sum(one).over(inside)) - 1)
         .drop("_key", "_start")
     )
 
@@ -90,13 +96,21 @@ def _alpha(span: int) -> tuple[float, float]:
     return alpha, 1.0 - alpha
 
 
+def _whole(columns: dict[str, tuple[str, int]]) -> Column:
+    """Rows that have a value in every column."""
+    return reduce(lambda a, c: a & F.col(c).isNotNull(), sorted({c for c, _ in columns.values()}), F.lit(True))
+
+
 def _decay(keep: float):
     """Fold step over block totals, oldest first."""
     return lambda acc, total: acc * F.lit(keep) + total
 
 
 def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol", order: str = "trade_date") -> DataFrame:
-    """Exponential means ``{name: (column, span)}`` over daily bars, seeded with the first row.
+    """Exponential means ``{name: (column, span)}`` over daily bars, seeded with the first value.
+
+    A row in which one of the columns is null is skipped: it moves no mean and shows the means so far, null
+    before the first value.
 
     e_t = q e_{t-1} + a x_t.  Inside a block of 256 rows e_t is a running sum of x_i q^-i scaled
     back by q^t, which cannot overflow at that length; the totals of earlier blocks are folded
@@ -104,8 +118,9 @@ def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol",
     """
     w = daily(by, order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = {"_p": F.row_number().over(w) - 1}
-    numbered |= {f"_x0_{name}": F.first(column).over(upto) for name, (column, _) in columns.items()}
+    whole = _whole(columns)
+    numbered = {"_p": F.sum(whole.cast("int")).over(upto) - 1}
+    numbered |= {f"_x0_{name}": F.first(F.when(whole, F.col(column)), ignorenulls=True).over(upto) for name, (column, _) in columns.items()}
     out = df.withColumns(numbered)
     out = out.withColumns({"_b": F.floor(F.col("_p") / BLOCK_ROWS), "_i": F.col("_p") % BLOCK_ROWS})
     run = Window.partitionBy(by, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -113,10 +128,10 @@ def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol",
     step = {}
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
-        scaled = F.sum(F.col(column) * F.pow(F.lit(q), -F.col("_i"))).over(run)
+        scaled = F.sum(F.when(whole, F.col(column) * F.pow(F.lit(q), -F.col("_i")))).over(run)
         step[f"_in_{name}"] = F.lit(a) * F.pow(F.lit(q), F.col("_i").cast("double")) * scaled
     out = out.withColumns(step)
-    full = F.col("_i") == BLOCK_ROWS - 1
+    full = whole & (F.col("_i") == BLOCK_ROWS - 1)
     out = out.withColumns(
         {f"_tot_{n}": F.collect_list(F.when(full, F.col(f"_in_{n}"))).over(earlier) for n in columns}
     )
@@ -135,12 +150,14 @@ def ema_long(
 ) -> DataFrame:
     """``ema`` for keys of any length: block totals are aggregated map-side and joined back.
 
-    ``seeds`` names a column holding the value to continue from (null to start with the first row).
+    ``seeds`` names a column holding the value to continue from (null to start with the first value).
+    Rows with a null are skipped as in ``ema``.
 
     The value a block starts from is a fold over the totals of the blocks before it.  It reads only
     as many of them as can still change a double: beyond that q^rows is exactly 0.0.
     """
-    numbered = positions(df, by, order, bucket, "_p")
+    whole = _whole(columns)
+    numbered = positions(df, by, order, bucket, "_p", whole)
     numbered = numbered.withColumns({"_b": F.floor(F.col("_p") / BLOCK_ROWS), "_i": F.col("_p") % BLOCK_ROWS})
     totals = []
     for name, (column, span) in columns.items():
@@ -148,8 +165,8 @@ def ema_long(
         gap = F.lit(BLOCK_ROWS - 1) - F.col("_i")
         start = F.coalesce(F.col(seeds[name]), F.col(column)) if seeds and name in seeds else F.col(column)
         seed = F.when(F.col("_p") == 0, F.pow(F.lit(q), F.lit(float(BLOCK_ROWS))) * start).otherwise(0.0)
-        totals.append(F.sum(F.lit(a) * F.pow(F.lit(q), gap.cast("double")) * F.col(column) + seed).alias(f"_t_{name}"))
-        totals.append(F.max(F.when(F.col("_p") == 0, start)).alias(f"_x0_{name}"))
+        totals.append(F.sum(F.when(whole, F.lit(a) * F.pow(F.lit(q), gap.cast("double")) * F.col(column) + seed)).alias(f"_t_{name}"))
+        totals.append(F.max(F.when(whole & (F.col("_p") == 0), start)).alias(f"_x0_{name}"))
     numbered = numbered.withColumn("_key", F.struct(*by, "_b"))
     blocks = numbered.groupBy("_key").agg(*totals)
     same, block = [F.col("_key")[c] for c in by], F.col("_key._b")
@@ -164,11 +181,12 @@ def ema_long(
         )
         carried[f"_c_{name}"] = F.when(block == 0, F.col(f"_x0_{name}")).otherwise(fold)
     starts = blocks.withColumns(carried).select("_key", *carried)
-    run = Window.partitionBy("_key").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    # a skipped row has the number of the row before it, so both must be in its frame
+    run = Window.partitionBy("_key").orderBy("_p").rangeBetween(Window.unboundedPreceding, 0)
     final = {}
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
-        scaled = F.sum(F.col(column) * F.pow(F.lit(q), -F.col("_i"))).over(run)
+        scaled = F.sum(F.when(whole, F.col(column) * F.pow(F.lit(q), -F.col("_i")))).over(run)
         inside = F.lit(a) * F.pow(F.lit(q), F.col("_i").cast("double")) * scaled
         final[name] = F.pow(F.lit(q), F.col("_i") + 1.0) * F.col(f"_c_{name}") + inside
     return numbered.join(starts, "_key").withColumns(final).select(*df.columns, *columns)

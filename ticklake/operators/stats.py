@@ -35,24 +35,18 @@ def drift(current: DataFrame, baseline: DataFrame, keys: list[str], limit: float
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000) -> DataFrame:
-    """Median per group without holding a group's values in one buffer.
+    """Median per group without holding a group's values in one buffer; null for a group without values.
 
     A quantile sketch, whose rank error is bounded by rows / accuracy, brackets the middle.  Rows
     below the bracket are counted, and only the distinct values inside it are sorted, each with its
-    count.  The answer is exact: the bracket is wide enough for the sketch's error.
+    count.  The answer is exact: the bracket is wide enough for the sketch's error, and the sketch of a
+    group smaller than the accuracy has none.
     """
     slack = 2.0 / accuracy
-    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_key"), F.col(value).alias("_v"))
-    ends = rows.groupBy("_key").agg(
-        F.count("*").alias("_n"), F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], accuracy).alias("_q"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-    )
-    # a group smaller than the accuracy is bracketed whole
-    small = F.col("_n") <= accuracy
-    ends = ends.select(
-        "_key", "_n", F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"), F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi")
-    )
-    placed = rows.join(ends, "_key")
+    rows = df.select(F.struct(*keys).alias("_key"), F.col(value).alias("_v"))
+    ends = rows.groupBy("_key").agg(F.count("_v").alias("_n"), F.percentile_approx("_v", [0.5 - slack, 0.5 + slack], accuracy).alias("_q"))
+    ends = ends.select("_key", "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    placed = rows.filter(F.col("_v").isNotNull()).join(ends, "_key")
     below = placed.groupBy("_key").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
     inside = placed.filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy("_key", "_n", "_v").agg(F.count("*").alias("_c"))
     upto = Window.partitionBy("_key").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
@@ -62,4 +56,5 @@ def exact_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_
         return F.max(F.when((F.col("_start") <= rank) & (rank <= F.col("_end")), F.col("_v")))
 
     left, right = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
-    return ranked.groupBy("_key").agg(((at(left) + at(right)) / 2).alias("median")).select("_key.*", "median")
+    found = ranked.groupBy("_key").agg(((at(left) + at(right)) / 2).alias("median"))
+    return ends.select("_key").join(found, "_key", "left").select("_key.*", "median")

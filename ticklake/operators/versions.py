@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators.asof import asof_join
+from ticklake.operators.asof import Bucket, asof_join
 
 
 def scd2_build(snapshots: DataFrame, key: str, as_of: str, attributes: list[str]) -> DataFrame:
@@ -50,9 +50,12 @@ def scd2_merge(history: DataFrame, batch: DataFrame, key: str, as_of: Column, at
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
-def point_in_time(facts: DataFrame, versions: DataFrame, key: str, fact_date: str, take: list[str]) -> DataFrame:
-    """Fact rows with the version valid on their date (valid_from <= date < valid_to)."""
-    found = asof_join(facts, versions, [key], fact_date, "valid_from", [*take, "valid_to"])
+def point_in_time(facts: DataFrame, versions: DataFrame, key: str, fact_date: str, take: list[str], bucket: Bucket | None = None) -> DataFrame:
+    """Fact rows with the version valid on their date (valid_from <= date < valid_to).
+
+    ``bucket`` splits keys with many facts by time.
+    """
+    found = asof_join(facts, versions, [key], fact_date, "valid_from", [*take, "valid_to"], bucket=bucket)
     open_then = F.col("valid_to").isNull() | (F.col(fact_date) < F.col("valid_to"))
     return found.withColumns({c: F.when(open_then, F.col(c)) for c in take}).drop("valid_to")
 

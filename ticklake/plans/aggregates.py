@@ -216,7 +216,7 @@ def _(m):
         F.count_if(F.col("client_name").isNull()).alias("missing_client"),
     )
     middle = stats.exact_median(rows, ["ym"], "value")
-    return moments.join(middle, "ym").withColumn("median", r4("median"))
+    return moments.join(middle, "ym", "left").withColumn("median", r4("median"))
 
 
 @query(

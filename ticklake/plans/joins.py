@@ -121,7 +121,7 @@ def _(m):
     clicks = m.ticks.filter("kind = 'click'").select("entity", F.col("ts").alias("at"), F.col("price").alias("last_click"))
     others = m.ticks.filter("kind <> 'click'").select("event_id", "entity", "ts")
     out = asof_join(others, clicks, ["entity"], "ts", "at", ["last_click"],
-        bucket=time_bucket(m.ticks, ["entity"], "ts"),
+        bucket=time_bucket("day"),
     )
     return out.select("event_id", "entity", r4("last_click").alias("last_click"))
 
@@ -209,7 +209,7 @@ def _(m):
         "o_orderkey", F.concat(F.lit("C"), F.col("o_custkey")).alias("symbol"),
         F.date_add(F.to_date("o_orderdate"), 10).alias("on_date"),
     )
-    out = versions.point_in_time(facts, v, "symbol", "on_date", ["status", "from_copy"])
+    out = versions.point_in_time(facts, v, "symbol", "on_date", ["status", "from_copy"], bucket=by_month)
     return out.withColumnRenamed("from_copy", "valid_from")
 
 
@@ -399,11 +399,11 @@ def _(m):
 @query(
     "join22_missing_dates",
     with_sql("calendar", "deals", body="""SELECT trade_date, 'Missing deals data' AS status FROM calendar c WHERE is_trading_day
- AND NOT EXISTS (SELECT 1 FROM deals d WHERE d.deal_date = c.trade_date AND d.deal_type = 'BULK' AND d.quantity > 45)"""),
+ AND NOT EXISTS (SELECT 1 FROM deals d WHERE d.deal_date = c.trade_date  AND d.deal_type = 'BULK')"""),
 )
 def _(m):
     days = calendar_of(m).filter("is_trading_day").select("trade_date")
-    have = m.deals.filter("deal_type = 'BULK' AND quantity > 45").select(F.col("deal_date").alias("trade_date")).distinct()
+    have = m.deals.filter("deal_type = 'BULK'").select(F.col("deal_date").alias("trade_date")).distinct()
     return days.join(have, "trade_date", "left_anti").withColumn("status", F.lit("Missing deals data"))
 
 

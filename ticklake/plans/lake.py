@@ -67,17 +67,17 @@ def _(m):
     return read_lake(m.spark, path).select("symbol", "year", "quarter", "promoter")
 
 
-@query("snk05_compaction", with_sql("ohlc", body="SELECT CAST(year(trade_date) AS INTEGER) AS year, count(*) AS n, true AS fewer_files FROM ohlc GROUP BY 1"))
+@query("snk05_compaction", with_sql("ohlc", body="SELECT CAST(year(trade_date) AS INTEGER) AS year, count(*) AS n, true AS as_planned FROM ohlc GROUP BY 1"))
 def _(m):
     path = fresh_path(m.spark, "fragmented")
     bars(m).repartition(6).write.partitionBy("year").parquet(path)
-    plan = files.compact(m.spark, path, fresh_path(m.spark, "compaction"))
+    plan = files.compact(m.spark, path, fresh_path(m.spark, "compaction"), target_mb=0.004)
     after = files.list_files(m.spark, path).groupBy("partition").agg(F.count("*").alias("after"))
     shrunk = plan.join(after, "partition").select(
-        F.regexp_extract("partition", r"year=(\d+)", 1).cast("int").alias("year"), (F.col("after") < F.col("files")).alias("fewer_files")
+        F.regexp_extract("partition", r"year=(\d+)", 1).cast("int").alias("year"), (F.col("after") == F.col("target_files")).alias("as_planned")
     )
     rows = read_lake(m.spark, path).groupBy("year").agg(F.count("*").alias("n"))
-    return rows.join(shrunk, "year", "left").select("year", "n", "fewer_files")
+    return rows.join(shrunk, "year", "left").select("year", "n", "as_planned")
 
 
 @query("snk05_compaction_dry_run", with_sql("ohlc", body="SELECT 'year=' || year(trade_date) AS partition, CAST(1 AS INTEGER) AS target_files, true AS many_small FROM ohlc GROUP BY 1"))

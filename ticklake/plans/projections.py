@@ -222,9 +222,9 @@ def _(m):
     )
 
 
-@query("prj16_deal_value", with_sql("deals", body=f"SELECT deal_no, deal_line, symbol, quantity, {sql2('quantity * avg_price')} AS total_value FROM deals WHERE deal_type = 'BLOCK'"))
+@query("prj16_deal_value", with_sql("deals", body=f"SELECT deal_no, deal_line, symbol, quantity, {sql2('quantity * avg_price')} AS total_value FROM deals"))
 def _(m):
-    return m.deals.filter("deal_type = 'BLOCK'").select("deal_no", "deal_line", "symbol", "quantity", r2(F.col("quantity") * F.col("avg_price")).alias("total_value"))
+    return m.deals.select("deal_no", "deal_line", "symbol", "quantity", r2(F.col("quantity") * F.col("avg_price")).alias("total_value"))
 
 
 RATIOS = ("roe", "roa", "debt_to_equity", "current_ratio", "operating_margin", "net_margin")

@@ -163,18 +163,20 @@ def _(m):
 
 @query(
     "src08_deal_feed",
-    with_sql("deals", body=f"""SELECT symbol, client_name, transaction_type, quantity * 1000 AS quantity,
- CASE WHEN quantity % 11 = 0 THEN CAST(0.0 AS DOUBLE) ELSE round(value, 2) END AS avg_price FROM deals WHERE deal_type = 'BULK' AND quantity <> 13"""),
+    with_sql("deals", body=f"""SELECT deal_type, symbol, client_name, transaction_type, quantity * 1000 AS quantity,
+ CASE WHEN quantity % 11 = 0 THEN CAST(0.0 AS DOUBLE) ELSE round(value, 2) END AS avg_price FROM deals WHERE quantity <> 13"""),
 )
 def _(m):
     q = F.col("quantity")
-    cells = m.deals.filter("deal_type = 'BULK'").select(
-        F.col("symbol").alias("Symbol"), F.col("client_name").alias("ClientName"), F.lower("transaction_type").alias("Buy/Sell"),
+    cells = m.deals.select(
+        "deal_type", F.col("symbol").alias("Symbol"), F.col("client_name").alias("ClientName"), F.lower("transaction_type").alias("Buy/Sell"),
         F.when(q == 13, F.lit("n/a")).otherwise(F.format_number(q * 1000, 0)).alias("QuantityTraded"),
         F.when(q % 11 == 0, F.lit("?")).otherwise(F.format_number("value", 2)).alias("TradePrice/Wght.Avg.Price"), F.lit("-").alias("Remarks"),
     )
-    out = feeds.read_deals(m.spark, rd.write_csv(m, cells, "deals"), "BULK")
-    return out.select("symbol", "client_name", "transaction_type", "quantity", "avg_price")
+    path = fresh_path(m.spark, "deals")
+    cells.write.partitionBy("deal_type").option("header", True).option("quoteAll", True).csv(path)
+    both = [feeds.read_deals(m.spark, f"{path}/deal_type={kind}", kind).withColumn("deal_type", F.lit(kind)) for kind in ("BULK", "BLOCK")]
+    return both[0].unionByName(both[1]).select("deal_type", "symbol", "client_name", "transaction_type", "quantity", "avg_price")
 
 
 @query(

@@ -147,23 +147,27 @@ EG = """, d AS (SELECT *, price - lag(price) OVER (PARTITION BY entity ORDER BY
 
 @query(
     "str07_stateful_momentum",
-    with_sql("ticks", body=f"""{EG}, e AS (SELECT event_id, entity, {ema_fold_sql("price", 12, "gl", by="entity", order="ts, event_id")} AS e,
-   {ema_fold_sql("gain", 14, "gl", by="entity", order="ts, event_id")} AS g, {ema_fold_sql("loss", 14, "gl", by="entity", order="ts, event_id")} AS l FROM gl)
- SELECT event_id, entity, {sql4("e")} AS ema, CASE WHEN l > 0 THEN {sql4("100 - 100 / (1 + g / l)")} END AS rsi FROM e"""),
+    with_sql("ticks", body=f"""{EG}, e AS (SELECT event_id, entity, ts, {ema_fold_sql("price", 12, "gl", by="entity", order="ts, event_id")} AS e,
+   {ema_fold_sql("gain", 14, "gl", by="entity", order="ts, event_id")} AS g, {ema_fold_sql("loss", 14, "gl", by="entity", order="ts, event_id")} AS l FROM gl),
+ kn AS (SELECT DISTINCT entity FROM ticks WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '{CUT}')
+ SELECT event_id, entity, {sql4("e")} AS ema, CASE WHEN l > 0 THEN {sql4("100 - 100 / (1 + g / l)")} END AS rsi, false AS late FROM e
+ UNION ALL SELECT -event_id - 1, entity, NULL, NULL, true FROM ticks SEMI JOIN kn USING (entity) WHERE ts < TIMESTAMP '2024-01-05 00:00:00'"""),
 )
 def _(m):
-    """Two phases, the second with rows that come too late and must not count."""
+    """Two phases, the second with rows that come too late: they are kept apart and do not count."""
     phases = Phases(m, "momentum")
     cut = F.lit(CUT).cast("timestamp")
-    step = ops.momentum_step(f"{phases.base}/rows", f"{phases.base}/state")
+    step = ops.momentum_step(f"{phases.base}/rows", f"{phases.base}/state", f"{phases.base}/late")
     phases.feed(m.ticks.filter(F.col("ts") < cut))
     engine.run_batches(phases.stream(), phases.base, step)
     late = m.ticks.filter("ts < TIMESTAMP'2024-01-05 00:00:00'").withColumn("event_id", -F.col("event_id") - 1)
     known = m.ticks.filter((F.col("ts") < cut) & (F.col("ts") >= F.lit("2024-01-05").cast("timestamp"))).select("entity").distinct()
     phases.feed(m.ticks.filter(F.col("ts") >= cut).unionByName(late.join(known, "entity", "left_semi")))
     engine.run_batches(phases.stream(), phases.base, step)
-    out = m.spark.read.parquet(f"{phases.base}/rows")
-    return out.select("event_id", "entity", r4("ema").alias("ema"), r4("rsi").alias("rsi"))
+    out = m.spark.read.parquet(f"{phases.base}/rows").select("event_id", "entity", r4("ema").alias("ema"), r4("rsi").alias("rsi"), F.lit(False).alias("late"))
+    none = F.lit(None).cast("double")
+    rejected = m.spark.read.parquet(f"{phases.base}/late").select("event_id", "entity", none.alias("ema"), none.alias("rsi"), F.lit(True).alias("late"))
+    return out.unionByName(rejected)
 
 
 @query("str08_latest_per_key", with_sql("ticks", body=f"SELECT entity, arg_max(event_id, row(ts, event_id)) AS event_id, {sql4('arg_max(price, row(ts, event_id))')} AS price FROM ticks GROUP BY 1"))

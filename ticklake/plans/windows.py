@@ -63,6 +63,18 @@ def _(m):
     return ind.emas(bars, spans=(20,)).select("symbol", "trade_date", r4("ema_20").alias("ema_20"))
 
 
+GAPS = f""", g AS (SELECT symbol, trade_date, CASE WHEN (dayofyear(trade_date) + suppkey) % 7 <> 0 THEN close END AS close FROM ohlc),
+ v AS (SELECT symbol, trade_date, close, count(close) {W}) AS k FROM g), f AS (SELECT symbol, k, trade_date, close FROM v WHERE close IS NOT NULL),
+ e AS (SELECT symbol, k, {ema_fold_sql("close", 12, "f")} AS e FROM f)"""
+
+
+@query("win03_ema_with_gaps", with_sql("ohlc", body=f"{GAPS} SELECT v.symbol, v.trade_date, {sql4('e')} AS ema_12 FROM v LEFT JOIN e ON v.symbol = e.symbol AND v.k = e.k"))
+def _(m):
+    """Closes with planted nulls: a day without a close shows the mean so far."""
+    bars = m.ohlc.withColumn("close", F.when((F.dayofyear("trade_date") + F.col("suppkey")) % 7 != 0, F.col("close")))
+    return ind.emas(bars, spans=(12,)).select("symbol", "trade_date", r4("ema_12").alias("ema_12"))
+
+
 GL = f""", gl AS (SELECT symbol, trade_date, close, greatest(coalesce(d, 0), 0) AS gain, greatest(coalesce(-d, 0), 0) AS loss
  FROM (SELECT *, close - lag(close) {W}) AS d FROM ohlc))"""
 RSI_EMA = f""", g AS (SELECT symbol, trade_date, close, {ema_fold_sql("gain", 14, "gl")} AS g,
@@ -299,7 +311,7 @@ TW = "OVER (PARTITION BY kind ORDER BY ts, event_id"
 def _(m):
     t = m.ticks.select("event_id", "kind", "ts", "price")
     out = rolling_long(
-        t, ["kind"], ["ts", "event_id"], time_bucket(t, ["kind"], "ts")(F.col("ts")), 20,
+        t, ["kind"], ["ts", "event_id"], time_bucket("day")(F.col("ts")), 20,
         {"_n": F.count("price"), "_a": F.avg("price")},
     )
     return out.select("event_id", "kind", F.when(F.col("_n") == 20, r4("_a")).alias("sma_20"))
@@ -312,7 +324,7 @@ def _(m):
 )
 def _(m):
     t = m.ticks.select("event_id", "kind", "ts", "price")
-    out = ema_long(t, {"ema_12": ("price", 12)}, ["kind"], ["ts", "event_id"], time_bucket(t, ["kind"], "ts")(F.col("ts")))
+    out = ema_long(t, {"ema_12": ("price", 12)}, ["kind"], ["ts", "event_id"], time_bucket("day")(F.col("ts")))
     return out.select("event_id", "kind", r4("ema_12").alias("ema_12"))
 
 
@@ -322,5 +334,5 @@ def _(m):
 )
 def _(m):
     t = m.ticks.select("event_id", "kind", "ts", "price")
-    out = lag_long(t, ["kind"], ["ts", "event_id"], time_bucket(t, ["kind"], "ts")(F.col("ts")), "price", "prev")
+    out = lag_long(t, ["kind"], ["ts", "event_id"], time_bucket("day")(F.col("ts")), "price", "prev")
     return out.select("event_id", "kind", r4(F.col("price") - F.col("prev")).alias("change"))

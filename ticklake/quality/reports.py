@@ -16,9 +16,12 @@ MAX_RATE, MAX_SCHEMA_RATE, SPIKE_FACTOR = 0.05, 0.10, 2.0
 
 
 def load_audit(spark: SparkSession, path: str, as_of: Column, days: int = 30) -> DataFrame:
-    """Entries of the last ``days`` days before ``as_of``; malformed lines are left out."""
+    """Entries of the last ``days`` days before ``as_of``; malformed lines are left out.
+
+    Stamps may be in any ISO form: with ``T`` or a blank, fractions of a second, or an offset.
+    """
     rows = spark.read.schema(AUDIT_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    at = F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    at = F.try_to_timestamp("timestamp")
     return (
         rows.withColumn("at", at)
         .filter(F.col("_corrupt_record").isNull() & F.col("at").isNotNull())

@@ -23,6 +23,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", "16g")
     )
     for key, value in extra.items():
@@ -48,3 +49,9 @@ def _local_dir() -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/ticklake/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored there; a damaged folder exists and raises when it is read."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

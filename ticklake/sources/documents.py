@@ -232,16 +232,24 @@ HOLDER_CAPTIONS = (
 )
 
 
+# Character entities of HTML cells; the ampersand comes last, so that nothing is decoded twice.
+ENTITIES = (("&nbsp;", " "), ("&#160;", " "), ("&#xa0;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#37;", "%"), ("&percnt;", "%"), ("&amp;", "&"))
+
+
 def shareholding_tables(docs: DataFrame) -> DataFrame:
     """One record per HTML document that has at least one holder row in a table; later rows win."""
-    tables = F.regexp_extract_all("doc", F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), 1)
-    rows = docs.select("doc_id", F.posexplode(F.flatten(F.transform(
-        tables, lambda t: F.regexp_extract_all(t, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
-    ))).alias("pos", "tr"))
+    # innermost rows, however tables are nested: what follows a row's opening tag up to its end, without another opening tag
+    opened = F.slice(F.split("doc", r"(?i)<tr\b[^>]*>"), 2, F.length("doc"))
+    closed = F.filter(opened, lambda x: x.rlike(r"(?i)</tr\s*>"))
+    inner = F.transform(closed, lambda x: F.split(x, r"(?i)</tr\s*>", 2)[0])
+    rows = docs.filter(F.col("doc").rlike(r"(?i)<table\b")).select("doc_id", F.posexplode(inner).alias("pos", "tr"))
     cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)
 
     def text(cell: Column) -> Column:
-        return F.trim(F.replace(F.regexp_replace(cell, "<[^>]+>", ""), F.lit("&nbsp;"), F.lit(" ")))
+        out = F.regexp_replace(cell, "<[^>]+>", "")
+        for entity, plain in ENTITIES:
+            out = F.replace(out, F.lit(entity), F.lit(plain))
+        return F.trim(out)
 
     caption = F.lower(text(F.get("c", 0)))
     field = F.lit(None).cast("string")
@@ -401,21 +409,26 @@ def xbrl_records(facts: DataFrame) -> DataFrame:
     )
     used = F.col("field").isNotNull() & (is_exact | ~F.col("field").isin(*guarded) | ~filled)
     rows = rows.withColumn("used", used)
-    twin = Window.partitionBy("doc_id", "tag", "used").orderBy("pos")
-    rows = rows.withColumn("_n", F.row_number().over(twin) - 1)
-    key = F.when(F.col("_n") == 0, F.col("tag")).otherwise(F.concat_ws("_", "tag", F.col("_n")))
 
     def pick(name: str) -> Column:
         mine = F.col("used") & (F.col("field") == name)
         return F.max_by(F.when(mine, F.col("value")), F.when(mine, F.col("pos"))).alias(name)
 
-    extra = F.collect_list(F.when(~F.col("used"), F.struct(key.alias("k"), F.coalesce("text", F.lit("")).alias("v"))))
+    extra = F.sort_array(F.collect_list(F.when(~F.col("used"), F.struct("pos", F.col("tag").alias("k"), F.coalesce("text", F.lit("")).alias("v")))))
+
+    def add(known: Column, fact: Column) -> Column:
+        # the tag itself or the first suffix that is free
+        suffixed = F.transform(F.sequence(F.lit(1), F.size(known) + 1), lambda i: F.concat_ws("_", fact["k"], i.cast("string")))
+        free = F.filter(suffixed, lambda k: ~F.map_contains_key(known, k))
+        name = F.when(F.map_contains_key(known, fact["k"]), free[0]).otherwise(fact["k"])
+        return F.map_concat(known, F.create_map(name, fact["v"]))
+
     first_owner = F.min_by("entity", F.when(F.col("entity").isNotNull(), F.col("pos")))
     first_end = F.min_by("period_end", F.when(F.col("period_end").isNotNull(), F.col("pos")))
     return rows.groupBy("doc_id").agg(
         first_owner.alias("entity_id"),
         F.try_to_date(first_end, "yyyy-MM-dd").alias("period_end_date"),
         *[pick(f) for f in XBRL_FIELDS],
-        F.map_from_entries(extra).alias("metadata"),
+        F.aggregate(extra, F.create_map().cast("map<string,string>"), add).alias("metadata"),
     ).withColumn("symbol", last_segment(F.col("entity_id")))
 

@@ -6,6 +6,8 @@ tokens become null before any cast.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +15,39 @@ from ticklake import schemas
 from ticklake.functions.actions import action_type, dividend_amount, text_factor
 from ticklake.functions.envelope import with_envelope
 from ticklake.functions.text import MASTER_NULLS, PRICE_NULLS, clean, parse_date, safe_double, safe_long
-from ticklake.quality.shape import check_columns
+from ticklake.quality.shape import SchemaMismatch, check_columns, column_diff
+
+
+# Formats of the trade date.
+TRADE_DATES = ("yyyy-M-d", "yyyyMMdd")
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, header names trimmed, nameless columns dropped."""
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Every column as text, header names trimmed, nameless columns dropped.
+
+    Each file is read by its own header: files are grouped by their first line, a group is one read, and groups meet
+    by column name.  Files whose columns differ as a set end the read with their names.
+    """
+    groups = _header_groups(spark, path)
+    parts = {files[0]: _trimmed(spark.read.option("header", True).option("mode", "PERMISSIVE").csv(files)) for files in groups}
+    if not parts:
+        return _trimmed(spark.read.option("header", True).csv(path))
+    first_file, first = next(iter(parts.items()))
+    for file, part in parts.items():
+        if set(part.columns) != set(first.columns):
+            missing, extra = column_diff(part.columns, first.columns)
+            raise SchemaMismatch(f"{file} and {first_file} differ: missing columns {missing}, unexpected columns {extra}")
+    return reduce(DataFrame.unionByName, parts.values())
+
+
+def _header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files below ``path`` by equal first line; one entry per file, the lines themselves stay distributed."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return [r["files"] for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()]
+
+
+def _trimmed(df: DataFrame) -> DataFrame:
     trimmed = df.toDF(*[c.strip() for c in df.columns])
     return trimmed.select(*[F.col(f"`{c}`") for c in trimmed.columns if c and not c.startswith("_c")])
 
@@ -84,7 +113,7 @@ def price_events(df: DataFrame, source: str, exchange: str, ingest_time: str) ->
     Ids name source, day, symbol and instrument (the second exchange: source, day and code), so the
     same row gets the same id in every run.
     """
-    day = parse_date(F.col("TradDt"), ("yyyy-M-d",))
+    day = parse_date(F.col("TradDt"), TRADE_DATES)
     known = ["FinInstrmId"] if exchange == "BSE" else ["TckrSymb", "FinInstrmId"]
     parts = [F.concat(F.lit(":"), F.coalesce(F.col(c), F.lit("None"))) for c in known]
     name = F.concat(F.lit(f"{source}:"), F.date_format(day, "yyyy-MM-dd"), *parts)
@@ -103,7 +132,7 @@ def normalize_prices(events: DataFrame, exchange: str = "NSE") -> DataFrame:
         F.col("ISIN").alias("isin"),
         F.col("FinInstrmTp").alias("instrument_type"),
         F.col("SctySrs").alias("series"),
-        parse_date(F.col("TradDt"), ("yyyy-M-d", "yyyyMMdd")).alias("trade_date"),
+        parse_date(F.col("TradDt"), TRADE_DATES).alias("trade_date"),
         F.col("PrvsClsgPric").alias("prev_close"),
         F.col("OpnPric").alias("open"),
         F.col("HghPric").alias("high"),

@@ -14,23 +14,9 @@ def read_lake(spark: SparkSession, path: str, infer_partitions: bool = True) ->
     return reader.parquet(path)
 
 
-SMALL_INPUT_BYTES = 1024 * 1024
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table; one that lies in fewer files than there are cores is spread over the cores.
-
-    A Parquet file with one row group is one task however many cores are idle.  Tables of many files,
-    as any large table is, and tables below 1 MB are read as they are, without the extra exchange.
-    Rows are placed by a hash of the first column: unlike round robin that needs no sort.
-    """
-    df = spark.read.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stored = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path)
-    cores = spark.sparkContext.defaultParallelism
-    if stored.getLength() < SMALL_INPUT_BYTES or stored.getFileCount() >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
+    """Parquet table as it lies; Spark splits its files by itself."""
+    return spark.read.parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

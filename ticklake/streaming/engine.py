@@ -46,15 +46,26 @@ def run_to_folder(df: DataFrame, base: str, mode: str = "append") -> StreamingQu
         df.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True).start()
     )
-    query.awaitTermination()
-    return query
+    return _finished(query)
+
+
+def _finished(query: StreamingQuery) -> StreamingQuery:
+    """Wait for the end, noting the rejected rows of every micro-batch as it is reported."""
+    query.late = {}
+    while True:
+        active = query.isActive
+        for p in query.recentProgress:
+            query.late[p["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+        if not active:
+            query.awaitTermination()  # raises what ended the query
+            return query
+        query.awaitTermination(1)
 
 
 def run_batches(df: DataFrame, base: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Hand each micro-batch to ``step`` and stop when nothing is left."""
     query = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").foreachBatch(step).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    return _finished(query)
 
 
 def output(spark: SparkSession, base: str, like: DataFrame) -> DataFrame:
@@ -62,5 +73,12 @@ def output(spark: SparkSession, base: str, like: DataFrame) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark rejected, over all micro-batches the query still reports."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    """Rows the watermark rejected, over all micro-batches of a run.
+
+    A query keeps its last 100 reports only; they are read every second.  A gap in the batch numbers means that
+    some went by unread, and is an error.
+    """
+    batches = sorted(query.late)
+    if batches and batches != list(range(batches[0], batches[-1] + 1)):
+        raise RuntimeError("some micro-batches went by unread")
+    return sum(query.late.values())

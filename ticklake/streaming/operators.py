@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.operators.asof import time_bucket
 from ticklake.operators.series import ema_long, lag_long
 from ticklake.quality import outcome, rules
+from ticklake.session import path_exists
 
 
 def dedupe(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
@@ -39,9 +39,9 @@ def sessions(df: DataFrame, ts: str, gap: str, delay: str, by: list[str]) -> Dat
     """Runs of activity separated by ``gap``.
 
     Sessions are merged inside each input partition before the shuffle, so a busy key sends sessions
-    and not rows.
+    and not rows, where the session has ``sessionWindow.merge.sessions.in.local.partition`` on, as
+    ``build_session`` sets it.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     out = df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("w"), *by).agg(F.count("*").alias("n"))
     return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "n")
 
@@ -79,10 +79,9 @@ def split_step(checks_of, good_path: str, bad_path: str, table: str, stamp: str)
 
 def _state_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     """Newest state version older than this batch; a repeated batch sees what it saw before."""
-    try:
-        found = spark.read.schema(f"{schema}, version bigint").parquet(path).filter(F.col("version") < batch_id)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    found = spark.read.schema(f"{schema}, version bigint").parquet(path).filter(F.col("version") < batch_id)
     newest = found.agg(F.max("version")).scalar()
     return found.filter(F.col("version") == newest).drop("version")
 
@@ -100,23 +99,27 @@ def latest_step(keys: list[str], version: str, path: str, schema: str):
     return step
 
 
-MOMENTUM_STATE = "entity string, last_ts timestamp, last_price double, ema double, gain double, loss double"
+MOMENTUM_STATE = "entity string, last_ts timestamp, last_id bigint, last_price double, ema double, gain double, loss double"
 
 
-def momentum_step(out_path: str, state_path: str, span: int = 12, n: int = 14):
+def momentum_step(out_path: str, state_path: str, late_path: str, span: int = 12, n: int = 14, unit: str = "hour"):
     """Micro-batch step for exponential means and relative strength per entity.
 
-    State is the last price and means per entity, one version per batch.  A batch continues from the
-    version before it; rows not newer than an entity's last row are rejected.  The recursion inside
-    the batch is the block-wise one, so an entity with most of the rows is not one task.
+    State is the last price and means per entity, one version per batch.  A batch continues from the version
+    before it.  Rows are ordered by (``ts``, ``event_id``); those that do not come after an entity's last row go to
+    ``late_path``.  The recursion inside the batch is the block-wise one, numbered by ``unit`` of time, so an entity
+    with most of the rows is not one task.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         known = _state_before(spark, state_path, batch_id, MOMENTUM_STATE)
-        fresh = batch.join(known, "entity", "left").filter(F.col("last_ts").isNull() | (F.col("ts") > F.col("last_ts")))
+        both = batch.join(known, "entity", "left")
+        after = F.col("last_ts").isNull() | (F.col("ts") > F.col("last_ts")) | ((F.col("ts") == F.col("last_ts")) & (F.col("event_id") > F.col("last_id")))
+        both.filter(~F.coalesce(after, F.lit(False))).select(*batch.columns).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
+        fresh = both.filter(after)
         order, by = ["ts", "event_id"], ["entity"]
-        bucket = time_bucket(batch, by, "ts")(F.col("ts"))
+        bucket = time_bucket(unit)(F.col("ts"))
         moved = lag_long(fresh, by, order, bucket, "price", "_prev")
         diff = F.col("price") - F.coalesce("_prev", "last_price")
         # an entity's very first row has neither gain nor loss
@@ -131,8 +134,8 @@ def momentum_step(out_path: str, state_path: str, span: int = 12, n: int = 14):
         )
         rows.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         done = spark.read.parquet(f"{out_path}/batch={batch_id}")
-        newest = done.groupBy("entity").agg(F.max_by(F.struct("ts", "price", "ema", "gain", "loss"), F.struct("ts", "event_id")).alias("s"))
-        touched = newest.select("entity", F.col("s.ts").alias("last_ts"), F.col("s.price").alias("last_price"), "s.ema", "s.gain", "s.loss")
+        newest = done.groupBy("entity").agg(F.max_by(F.struct("ts", "event_id", "price", "ema", "gain", "loss"), F.struct("ts", "event_id")).alias("s"))
+        touched = newest.select("entity", F.col("s.ts").alias("last_ts"), F.col("s.event_id").alias("last_id"), F.col("s.price").alias("last_price"), "s.ema", "s.gain", "s.loss")
         kept = known.join(touched.select("entity"), "entity", "left_anti")
         kept.unionByName(touched).write.mode("overwrite").parquet(f"{state_path}/version={batch_id}")
 
