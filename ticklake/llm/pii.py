@@ -32,7 +32,7 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "masked_email": r"[A-Za-z0-9._%+-]{1,64}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}+(?:\x20?[\[(](?:dot|DOT)[\])]\x20?|\.)[A-Za-z]{2,24}+",
-    "local_phone": r"(?<![0-9+)(\x20-])(?<!\+[0-9]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
+    "local_phone": r"(?<![0-9+(-])(?<!\+[0-9]{1,3}\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "person": r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra|Sr)\.? |(?:Name|name|Nom|Nombre): )[A-Z][a-z]{1,30}+(?: [A-Z][a-z]{1,30}+){0,2}+",
