@@ -1,3 +1,4 @@
+import math
 import zlib
 
 from helpers import CLASHING, frame
@@ -37,8 +38,9 @@ def test_penalty_evens_out_group_terms(spark):
     rows, own = group_table()
     examples = training_rows(frame(spark, rows), labels(spark, own))
     free, held = fit(examples, penalty=0.0), fit(examples, penalty=50.0)
-    gap = lambda m: abs(m.score("the women were present") - m.score("the men were present"))
-    assert gap(free) > 0.02 and gap(held) < 0.25 * gap(free)
+    odds = lambda p: math.log(p / (1 - p))
+    gap = lambda m: abs(odds(m.score("the women were present")) - odds(m.score("the men were present")))
+    assert gap(free) > 0.3 and gap(held) < 0.25 * gap(free)
     assert held.score("the women were present") < 0.5 < held.score("the men were called scum idiots")
 
 
