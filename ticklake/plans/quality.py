@@ -200,33 +200,60 @@ def _(m):
     "dq26_reference_rules",
     with_sql("master_changes", "ca", "calendar", body=""", v AS (SELECT symbol, status, as_of AS valid_from, lead(as_of) OVER (PARTITION BY symbol ORDER BY as_of) AS valid_to FROM
    (SELECT *, lag(status) OVER (PARTITION BY symbol ORDER BY as_of) AS p FROM master_changes) WHERE p IS NULL OR p <> status),
- c AS (SELECT *, CASE WHEN day(ex_date) % 5 = 0 THEN ex_date - 1 ELSE ex_date + 1 END AS record_date FROM ca)
+ c AS (SELECT *, CASE WHEN day(ex_date) % 5 = 0 THEN ex_date - 1 ELSE ex_date + 1 END AS record_date, day(ex_date) AS d FROM ca)
  SELECT rule, count(*) AS n FROM (
   SELECT 'status_unknown' AS rule FROM v WHERE status NOT IN ('F', 'O') UNION ALL
   SELECT 'valid_range' FROM v WHERE valid_from > CASE WHEN length(symbol) = 2 THEN valid_from - 1 ELSE valid_to END UNION ALL
+  SELECT 'isin_format' FROM v WHERE length(symbol) = 3 UNION ALL
+  SELECT 'lot_not_positive' FROM v WHERE length(symbol) = 4 UNION ALL
   SELECT 'record_before_ex' FROM c WHERE record_date < ex_date UNION ALL
-  SELECT 'factor_not_positive' FROM c WHERE adjustment_factor - 0.98 <= 0 UNION ALL
+  SELECT 'ex_before_announcement' FROM c WHERE d % 7 = 0 UNION ALL
+  SELECT 'closure_order' FROM c WHERE d % 6 = 0 UNION ALL
+  SELECT 'factor_not_positive' FROM c WHERE action_type = 'SPLIT' OR (d % 3 = 0 AND action_type <> 'DIVIDEND') UNION ALL
+  SELECT 'purpose_empty' FROM c WHERE d % 4 = 0 UNION ALL
+  SELECT 'clearing_before_trade' FROM calendar WHERE weekday = 1 UNION ALL
+  SELECT 'settlement_before_clearing' FROM calendar WHERE weekday = 2 UNION ALL
+  SELECT 'session_order' FROM calendar WHERE weekday = 3 UNION ALL
   SELECT 'open_day_without_segment' FROM calendar WHERE is_trading_day AND weekday = 5) GROUP BY 1"""),
 )
 def _(m):
-    say = F.lit("")
+    """Every rule of the reference tables, each over rows with a planted defect."""
+
+    def broken(df, checks, key):
+        return rules.violations(df, checks(df.columns), key).select("rule")
+
     v = scd2_build(m.master_changes, "symbol", "as_of", ["status"])
-    v = v.withColumn("valid_to", F.when(F.length("symbol") == 2, F.date_sub("valid_from", 1)).otherwise(F.col("valid_to")))
-    master = [
-        rules.Check("status_unknown", "critical", "status", ~F.col("status").isin("F", "O"), say),
-        rules.Check("valid_range", "critical", "valid_from", F.col("valid_from") > F.col("valid_to"), say),
-    ]
-    c = m.ca.withColumn("record_date", F.when(F.day("ex_date") % 5 == 0, F.date_sub("ex_date", 1)).otherwise(F.date_add("ex_date", 1)))
-    action = [
-        rules.Check("record_before_ex", "critical", "record_date", F.col("record_date") < F.col("ex_date"), say),
-        rules.Check("factor_not_positive", "critical", "adjustment_factor", F.col("adjustment_factor") - 0.98 <= 0, say),
-    ]
+    length = F.length("symbol")
+    v = v.withColumns(
+        {
+            "valid_to": F.when(length == 2, F.date_sub("valid_from", 1)).otherwise(F.col("valid_to")),
+            "isin": F.when(length == 3, "INE-1").otherwise(F.concat(F.lit("INE"), F.lpad(F.substring("symbol", 2, 9), 9, "0"))),
+            "lot_size": F.when(length == 4, 0).otherwise(25),
+        }
+    )
+    d = F.day("ex_date")
+    c = m.ca.withColumns(
+        {
+            "record_date": F.when(d % 5 == 0, F.date_sub("ex_date", 1)).otherwise(F.date_add("ex_date", 1)),
+            "announcement_date": F.when(d % 7 == 0, F.date_add("ex_date", 1)),
+            "book_closure_start_date": F.col("ex_date"),
+            "book_closure_end_date": F.when(d % 6 == 0, F.date_sub("ex_date", 1)).otherwise(F.date_add("ex_date", 3)),
+            "adjustment_factor": F.when(F.col("action_type") == "SPLIT", -F.col("adjustment_factor")).when(d % 3 == 0, 0.0).otherwise(F.col("adjustment_factor")),
+            "purpose": F.when(d % 4 == 0, " ").otherwise(F.col("action_type")),
+        }
+    )
     closed_friday = F.transform("segments", lambda s: F.struct(s["segment"].alias("segment"), (s["is_open"] & (F.col("weekday") != 5)).alias("is_open")))
-    day = calendar_of(m).withColumn("segments", closed_friday)
-    none_open = ~F.exists("segments", lambda s: s["is_open"])
-    calendar = [rules.Check("open_day_without_segment", "critical", "segments", F.col("is_trading_day") & none_open, say)]
-    found = rules.violations(v, master, "symbol").select("rule").unionByName(rules.violations(c, action, "symbol").select("rule"))
-    found = found.unionByName(rules.violations(day, calendar, "trade_date").select("rule"))
+    weekday = F.col("weekday")
+    day = calendar_of(m).withColumns(
+        {
+            "segments": closed_friday,
+            "clearing_date": F.when(weekday == 1, F.date_sub("trade_date", 1)).otherwise(F.date_add("trade_date", 1)),
+            "settlement_date": F.when(weekday == 2, F.col("trade_date")).otherwise(F.date_add("trade_date", 2)),
+            "pre_open_start": F.lit(540), "pre_open_end": F.when(weekday == 3, 540).otherwise(548), "normal_open": F.lit(555), "normal_close": F.lit(930),
+        }
+    )
+    found = broken(v, lambda cols: rules.master_checks(cols, ("F", "O")), "symbol")
+    found = found.unionByName(broken(c, rules.action_checks, "symbol")).unionByName(broken(day, rules.calendar_checks, "trade_date"))
     return found.groupBy("rule").agg(F.count("*").alias("n"))
 
 

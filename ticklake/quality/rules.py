@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -302,3 +303,66 @@ def null_violations(df: DataFrame, fields: Iterable[str], row_id: str = "event_i
         .filter("n > 0")
         .select(row_id, F.lit("null_field").alias("rule"), F.lit(CRITICAL).alias("severity"), "field", F.concat_ws(" ", "n", F.lit("nulls")).alias("message"))
     )
+
+
+# States of an instrument, and the form of its international number.
+INSTRUMENT_STATES = ("ACTIVE", "SUSPENDED", "DELISTED")
+ISIN_PATTERN = "^[A-Z0-9]{12}$"
+
+
+def _present(columns: Iterable[str], checks: Iterable[tuple[tuple[str, ...], Check]]) -> list[Check]:
+    """The checks whose columns are all there."""
+    have = set(columns)
+    return [check for needed, check in checks if have.issuperset(needed)]
+
+
+def _order_check(rule: str, field: str, later: str, earlier: str) -> tuple[tuple[str, ...], Check]:
+    """``later`` must not lie before ``earlier``; nulls pass."""
+    return (later, earlier), Check(rule, CRITICAL, field, F.col(later) < F.col(earlier), _say(later, " ", _text(F.col(later)), " before ", earlier, " ", _text(F.col(earlier))))
+
+
+def master_checks(columns: Iterable[str], states: tuple[str, ...] = INSTRUMENT_STATES) -> list[Check]:
+    """Symbol master: known state, ordered validity, form of the ISIN, positive lot.  Nulls pass."""
+    return _present(
+        columns,
+        [
+            (("status",), Check("status_unknown", CRITICAL, "status", ~F.col("status").isin(*states), _say("status ", _text(F.col("status"))))),
+            (("valid_from", "valid_to"), Check("valid_range", CRITICAL, "valid_from", F.col("valid_from") > F.col("valid_to"), _say("valid from ", _text(F.col("valid_from"))))),
+            (("isin",), Check("isin_format", WARNING, "isin", ~F.col("isin").rlike(ISIN_PATTERN), _say("isin ", _text(F.col("isin"))))),
+            (("lot_size",), Check("lot_not_positive", CRITICAL, "lot_size", F.col("lot_size") <= 0, _say("lot ", _text(F.col("lot_size"))))),
+        ],
+    )
+
+
+def action_checks(columns: Iterable[str]) -> list[Check]:
+    """Corporate actions: order of their dates, positive factor (0 for dividends too), a purpose.  Null dates pass."""
+    factor = F.col("adjustment_factor")
+    return _present(
+        columns,
+        [
+            _order_check("record_before_ex", "record_date", "record_date", "ex_date"),
+            _order_check("ex_before_announcement", "ex_date", "ex_date", "announcement_date"),
+            _order_check("closure_order", "book_closure_end_date", "book_closure_end_date", "book_closure_start_date"),
+            (
+                ("adjustment_factor", "action_type"),
+                Check("factor_not_positive", CRITICAL, "adjustment_factor", (factor < 0) | ((factor == 0) & (F.col("action_type") != "DIVIDEND")), _say("factor ", _text(factor))),
+            ),
+            (("purpose",), Check("purpose_empty", CRITICAL, "purpose", F.trim(F.coalesce("purpose", F.lit(""))) == "", _say("no purpose"))),
+        ],
+    )
+
+
+def calendar_checks(columns: Iterable[str]) -> list[Check]:
+    """Trading calendar: an open segment on open days, sessions in order, clearing and settlement not too early."""
+    none_open = ~F.exists("segments", lambda s: s["is_open"])
+    times = ("pre_open_start", "pre_open_end", "normal_open", "normal_close")
+    out_of_order = reduce(lambda a, b: a | b, [F.coalesce(F.col(x) >= F.col(y), F.lit(False)) for x, y in zip(times, times[1:], strict=False)])
+    return _present(
+        columns,
+        [
+            (("is_trading_day", "segments"), Check("open_day_without_segment", CRITICAL, "segments", F.col("is_trading_day") & none_open, _say("no open segment"))),
+            (times, Check("session_order", CRITICAL, "pre_open_start", out_of_order, _say("session times out of order"))),
+            _order_check("clearing_before_trade", "clearing_date", "clearing_date", "trade_date"),
+            _order_check("settlement_before_clearing", "settlement_date", "settlement_date", "clearing_date"),
+        ],
+    )
