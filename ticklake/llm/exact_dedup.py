@@ -65,7 +65,7 @@ def exact_groups(
     # the survivor's bytes, one row per group even where its row is repeated
     survivors = (
         hashed.select("id", F.col("hash").alias("h"), "bytes")
-        .join(groups, (F.col("h") == F.col("hash")) & (F.col("id") == F.col("keep_id")))
+        .join(groups.hint("merge"), (F.col("h") == F.col("hash")) & (F.col("id") == F.col("keep_id")))
         .select("hash", "n", "keep_id", F.col("bytes").alias("kept_bytes"))
     )
     # dropDuplicates over the hash alone suffices, as any row of the surviving id may stand for the group
@@ -73,7 +73,8 @@ def exact_groups(
     survivors = groups.select("hash", "n", "keep_id").join(survivors.select("hash", "kept_bytes"), "hash", "left")
     survivors = cut(survivors, "exact-compare")
 
-    compared = hashed.join(survivors, "hash", "left")
+    # both joins shuffle whatever the size: the groups grow with the corpus and are never broadcast
+    compared = hashed.join(survivors.hint("merge"), "hash", "left")
     same = F.col("n").isNull() | F.col("kept_bytes").isNull() | (F.col("bytes") == F.col("kept_bytes"))
     compared = compared.select(
         "id", "hash", "sha", F.coalesce("n", F.lit(1)).alias("n"),
