@@ -13,6 +13,8 @@ import __spark_entry__ as entry_module  # noqa: E402
 
 QUERIES = entry_module.queries()
 ORACLES = entry_module.oracle_sql()
+#: a page that lies behind the end of the smallest tables
+EMPTY_ON_SMALLEST = {"sort02_keyset_page"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def con(sf):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(name, spark, con, sf):
     text, _ = compare.check(name, spark, con, sf, QUERIES, ORACLES)
-    assert text.startswith(("ok", "EMPTY")), text
+    assert text.startswith("ok") or (name in EMPTY_ON_SMALLEST and text.startswith("EMPTY")), text
     assert "  types [" not in text, text
 
 
