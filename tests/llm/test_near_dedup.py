@@ -55,9 +55,21 @@ def test_given_documents_like_all_pairs(spark, sf):
     check(near_groups(docs, percent=85).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 85)
 
 
-def test_stars_alone_are_not_relied_on(spark):
+def test_every_step_finds_its_links(spark):
+    """Without families all pairs go by the lists; with loose ones nearly all go by differences."""
     rows = table()
-    check(near_groups(frame(spark, rows), percent=80, stars=0).collect(), rows, 80)
+    for family in (2.0, 0.01):
+        check(near_groups(frame(spark, rows), percent=80, family=family).collect(), rows, 80)
+
+
+def test_many_copies_of_one_original(spark):
+    """A third of the table: copies at all distances, most of them too far from each other."""
+    rng = random.Random(11)
+    base = words(rng, 150)
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(14)))) for i in range(220)]
+    rows += [(1000 + i, " ".join(words(rng, 80))) for i in range(60)]
+    for percent in (80, 85):
+        check(near_groups(frame(spark, rows), percent=percent).collect(), rows, percent)
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):

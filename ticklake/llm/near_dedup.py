@@ -8,13 +8,19 @@ shingle hashes.  Equal word sequences are one node, so copies cost nothing furth
    sketch a pair has to share: with K = 32 and a Jaccard of 0.8 fewer than 11 common values have a probability
    of 3e-9, at 0.85 of 1e-11.  So it is enough to list a node under its ``K - 11 + 1`` values with the
    shortest lists; frequent passages fall out of the lists by themselves, with no cap on a list's length.
-2. Stars.  Each list compares its members with one leader, the node whose values are the most frequent, that is
-   the one closest to the common original of a group.  The work is linear in the list, however long.
-3. Union sketches.  The ``K`` smallest hashes of both sketches estimate the Jaccard and reject most pairs.
-4. Exact check on full sets of shingle hashes.
-5. Components, by large-star and small-star rounds.  Lists that still hold several components get another
-   star, and at last every pair between different components of a list is compared, so no link is lost
-   while pairs inside a component, which cannot change the result, are never written out.
+2. Families.  Each list compares its members with one leader, the node whose values are the most frequent, by union
+   sketches.  A node follows the leader it is closest to, and that leader's own, up to the pivot of a family: the
+   node closest to the common original.  This is linear in the lists, however long they are.
+3. Exact check against the pivot, on full sets.  Only the difference ``D`` to the pivot is kept.
+4. Inside a family, nodes that are in different components after step 3 can only be linked if their differences
+   overlap: |x ^ y| = |D_x| + |D_y| - 2 |D_x & D_y|, and one of the two is too far from the pivot by itself.  The
+   bound on that overlap gives prefixes of the differences to list and a test by counts alone, so the many copies of
+   one original that differ each in their own way are not compared with each other.
+5. Pairs of a list that belong to different families and components are filtered by their union sketches
+   and checked on full sets.
+
+Every pair that shares a list is covered by step 3, 4 or 5, so no link is lost, and pairs inside a component, which
+cannot change the result, are never written out.  Components come from large-star and small-star rounds.
 """
 
 from __future__ import annotations
@@ -24,14 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, documents, keep_rows, text_or_empty
 
 K = 32
 SHARE = 0.36
-STARS = 2
+FAMILY = 0.2  # least estimated Jaccard to a leader that a node follows
 ROWS = 256  # rows handled at once in a task
 
 
@@ -84,7 +90,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = 5, k: int
 
 
 def inverted_lists(nodes: DataFrame, k: int, share: float) -> DataFrame:
-    """(v, node, weight): each node under its values with the shortest lists; lists of one are left out."""
+    """(v, node, n, weight): each node under its values with the shortest lists; lists of one are left out."""
     entries = nodes.select("node", "n", F.explode("hashes").alias("v"))
     shared = entries.join(entries.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "v")
     held = F.least(F.lit(k), F.col("n"))
@@ -96,32 +102,126 @@ def inverted_lists(nodes: DataFrame, k: int, share: float) -> DataFrame:
         .withColumn("take", (held - needed + 1) - (held - F.size("by_length")))
         .where("take > 0")
     )
-    return listed.select("node", "weight", F.explode(F.expr("slice(by_length, 1, cast(take as int))")).alias("e")).select(
-        F.col("e.v").alias("v"), "node", "weight"
+    return listed.select("node", "n", "weight", F.explode(F.expr("slice(by_length, 1, cast(take as int))")).alias("e")).select(
+        F.col("e.v").alias("v"), "node", "n", "weight"
     )
 
 
-def estimated_close(pairs: DataFrame, nodes: DataFrame, k: int, share: float, percent: int) -> DataFrame:
-    """Pairs whose sizes and union sketch allow the similarity."""
+def estimates(pairs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``pairs`` (a, b) with n_a, n_b, ``width`` of the union sketch and ``common``, how much of it both hold."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"h_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    union = F.slice(F.array_sort(F.array_union("h_a", "h_b")), 1, k)
-    both = both.withColumn("union_sketch", union)
+    both = both.withColumn("union_sketch", F.slice(F.array_sort(F.array_union("h_a", "h_b")), 1, k))
     common = F.size(F.array_intersect(F.array_intersect("h_a", "h_b"), F.col("union_sketch")))
-    return both.where(common >= F.floor(F.lit(share) * F.size("union_sketch"))).select("a", "b", "n_a", "n_b")
+    return both.select("a", "b", "n_a", "n_b", F.size("union_sketch").alias("width"), common.alias("common"))
 
 
-def exact_links(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs that reach the similarity on their full shingle sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(wanted, "node", "left_semi")
+def estimated_close(pairs: DataFrame, nodes: DataFrame, k: int, share: float) -> DataFrame:
+    """Pairs whose union sketch allows the similarity."""
+    return estimates(pairs, nodes, k).where(F.col("common") >= F.floor(F.lit(share) * F.col("width"))).select("a", "b", "n_a", "n_b")
+
+
+def full_sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, n, hashes) with all hashes of the wanted nodes."""
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(wanted.select("node").distinct(), "node", "left_semi")
     sets = sketches(texts, "node", "text", width, whole=True).join(nodes.select(F.col("node").alias("id"), "digest"), ["id", "digest"])
-    sets = cut(sets.select(F.col("id").alias("node"), "hashes").dropDuplicates(["node"]), "near-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("s_a")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("s_b")), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.select("a", "b", common.alias("c"), "n_a", "n_b").where(100 * F.col("c") >= percent * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b")
+    return cut(sets.select(F.col("id").alias("node"), "n", "hashes").dropDuplicates(["node"]), "near-sets")
+
+
+def linked(n_a: Column | str, n_b: Column | str, common: Column | str, percent: int) -> Column:
+    n_a, n_b, common = (F.col(x) if isinstance(x, str) else x for x in (n_a, n_b, common))
+    return 100 * common >= percent * (n_a + n_b - common)
+
+
+def sizes_allow(n_a: Column, n_b: Column, percent: int) -> Column:
+    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+
+
+def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that reach the similarity on their full shingle sets."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"s_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("c"))
+    return both.where(linked("n_a", "n_b", "c", percent)).select("a", "b")
+
+
+def families(lists: DataFrame, nodes: DataFrame, k: int, least: float) -> DataFrame:
+    """(node, pivot): the pivot each node is compared with; nodes that lead themselves are their own pivot.
+
+    A leader outranks the other members of its list by (weight, smaller id), so following leaders ends.
+    """
+    top = F.max(F.struct("weight", F.negative("node").alias("negative")))
+    lead = lists.groupBy("v").agg(F.count("*").alias("m"), top.alias("top")).where("m > 1").select("v", F.negative("top.negative").alias("a"))
+    stars = lists.select("v", F.col("node").alias("b")).join(lead, "v").where("a <> b").select("a", "b").distinct()
+    close = estimates(stars, nodes, k).where(F.col("common") >= F.lit(least) * F.col("width"))
+    best = F.max(F.struct((F.col("common") / F.col("width")).alias("near"), F.negative("a").alias("negative")))
+    follows = cut(close.groupBy(F.col("b").alias("node")).agg(best.alias("best")).select("node", F.negative("best.negative").alias("parent")), "near-parents")
+    tops = follows.select("node", F.col("parent").alias("top"))
+    while True:
+        up = tops.select(F.col("node").alias("top"), F.col("top").alias("higher"))
+        tops = cut(tops.join(up, "top", "left").select("node", F.coalesce("higher", "top").alias("top"), F.col("higher").isNotNull().alias("moved")), "near-tops")
+        if tops.where("moved").isEmpty():
+            break
+        tops = tops.select("node", "top")
+    far = estimates(tops.select(F.col("top").alias("a"), F.col("node").alias("b")), nodes, k)
+    near_top = far.where(F.col("common") >= F.lit(least) * F.col("width")).select(F.col("b").alias("node"), F.col("a").alias("top"))
+    pivots = follows.join(near_top, "node", "left").select("node", F.coalesce("top", "parent").alias("pivot"))
+    leading = pivots.select(F.col("pivot").alias("node")).distinct().join(follows.select("node"), "node", "left_anti")
+    return pivots.unionByName(leading.select("node", F.col("node").alias("pivot")))
+
+
+def differences(pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, pivot, n, pivot_n, d): elements that only one of the node and its pivot has."""
+    mine = sets.select("node", "n", F.col("hashes").alias("own"))
+    theirs = sets.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hashes").alias("other"))
+    both = pivots.join(mine, "node").join(theirs, "pivot")
+    return both.select("node", "pivot", "n", "pivot_n", F.concat(F.array_except("own", "other"), F.array_except("other", "own")).alias("d"))
+
+
+def family_pairs(diffs: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a family in different components whose differences may overlap enough for a link."""
+    t = percent / 100
+    c = (1 - t) / (1 + t)  # linked: |x ^ y| <= c (|x| + |y|)
+    rows = diffs.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("pivot")
+    rows = rows.join(mixed, "pivot", "left_semi").where(F.size("d") > 0)
+    each = rows.select("pivot", "node", "n", "component", F.size("d").alias("dn"), F.explode("d").alias("e"))
+    shared = each.join(each.groupBy("pivot", "e").agg(F.count("*").alias("f")).where("f > 1"), ["pivot", "e"])
+    # least overlap with any partner; elements that no one else has come first in the order by frequency
+    least = F.greatest(F.lit(1), F.ceil(F.col("dn") - c * (F.col("n") + F.floor(F.col("n") / t)) - 1e-6))
+    listed = (
+        shared.groupBy("pivot", "node", "n", "component", "dn").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("by_length"))
+        .withColumn("s", F.size("by_length")).withColumn("take", F.col("s") - least + 1).where("take > 0")
+        .select("pivot", "node", "n", "component", "dn", "s", F.explode(F.expr("slice(by_length, 1, cast(take as int))")).alias("x"))
+        .select("pivot", F.col("x.e").alias("e"), F.struct("node", "n", "component", "dn", "s").alias("m"))
+    )
+    x, y = F.col("x"), F.col("y")
+    needed = (x["dn"] + y["dn"] - c * (x["n"] + y["n"])) / 2
+    may = (x["node"] < y["node"]) & (x["component"] != y["component"]) & sizes_allow(x["n"], y["n"], percent) & (needed <= F.least(x["s"], y["s"]) + 1e-6)
+    left, right = listed.withColumnRenamed("m", "x"), listed.withColumnRenamed("m", "y")
+    joined = left.join(right, (left["pivot"] == right["pivot"]) & (left["e"] == right["e"]) & may)
+    return joined.select(x["node"].alias("a"), y["node"].alias("b")).distinct()
+
+
+def family_links(pairs: DataFrame, diffs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a family that reach the similarity, counted on their differences."""
+    side = lambda x: diffs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("d").alias(f"d_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = F.size("d_a") + F.size("d_b") - 2 * F.size(F.array_intersect("d_a", "d_b"))
+    common = (F.col("n_a") + F.col("n_b") - apart) / 2
+    return both.where(linked("n_a", "n_b", common, percent)).select("a", "b")
+
+
+def other_pairs(lists: DataFrame, pivots: DataFrame, of_node: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a list in different components and families that were not compared yet."""
+    rows = lists.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node")).join(pivots, "node", "left")
+    mixed = rows.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("v")
+    rows = rows.join(mixed, "v", "left_semi").select("v", F.struct("node", "n", "component", "pivot").alias("m"))
+    x, y = F.col("x"), F.col("y")
+    same = F.coalesce(x["pivot"] == y["pivot"], F.lit(False)) | F.coalesce(x["pivot"] == y["node"], F.lit(False)) | F.coalesce(y["pivot"] == x["node"], F.lit(False))
+    may = (x["node"] < y["node"]) & (x["component"] != y["component"]) & sizes_allow(x["n"], y["n"], percent) & ~same
+    left, right = rows.withColumnRenamed("m", "x"), rows.withColumnRenamed("m", "y")
+    return left.join(right, (left["v"] == right["v"]) & may).select(x["node"].alias("a"), y["node"].alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -147,7 +247,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, k: int = K, share: float = SHARE, stars: int = STARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, k: int = K, share: float = SHARE, family: float = FAMILY
 ) -> DataFrame:
     """One row per input row: ``id_col``, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``.
 
@@ -164,32 +264,22 @@ def near_groups(
     nodes = cut(nodes.select("node", copies["digest"], "n", "hashes").dropDuplicates(["node", "digest"]), "near-nodes")
     lists = cut(inverted_lists(nodes, k, share), "near-lists")
 
-    links, checked, of_node = None, None, None
-    for turn in range(stars + 1):
-        if turn == 0:
-            open_lists = lists.withColumn("component", F.col("node"))
-        else:
-            grouped = lists.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            spread = grouped.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-            open_lists = grouped.join(spread.where("lo < hi and m > 2").select("v"), "v", "left_semi")
-        pairs = _between(open_lists) if turn == stars else _star(open_lists, turn)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "near-pairs")
-        if pairs.isEmpty():
-            break
-        checked = pairs if checked is None else checked.union(pairs)
-        close = cut(estimated_close(pairs, nodes, k, share, percent), "near-close")
-        found = cut(exact_links(close, docs, id_col, text_col, nodes, width, percent), "near-links")
-        links = found if links is None else links.union(found)
-        of_node = cut(components(links), "near-components")
-
-    groups = copies
-    if of_node is None:
-        groups = groups.withColumn("component", F.col("node"))
-    else:
-        groups = groups.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = groups.select(F.col("digest").alias("d"), "component")
+    pivots = cut(families(lists, nodes, k, family), "near-pivots")
+    sets = full_sets(pivots, docs, id_col, text_col, nodes, width)
+    diffs = cut(differences(pivots, sets), "near-differences")
+    common = (F.col("n") + F.col("pivot_n") - F.size("d")) / 2
+    links = cut(diffs.where((F.col("node") != F.col("pivot")) & linked("n", "pivot_n", common, percent)).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "near-links")
+    of_node = cut(components(links), "near-components")
+
+    inside = cut(family_links(family_pairs(diffs, of_node, percent), diffs, percent), "near-links")
+    others = cut(estimated_close(other_pairs(lists, pivots, of_node, percent), nodes, k, share), "near-close")
+    if not others.isEmpty():
+        wanted = others.select(F.explode(F.array("a", "b")).alias("node"))
+        inside = inside.union(cut(exact_links(others, full_sets(wanted, docs, id_col, text_col, nodes, width), percent), "near-links"))
+    if not inside.isEmpty():
+        of_node = cut(components(links.union(inside)), "near-components")
+
+    groups = copies.join(of_node, "node", "left").select(F.col("digest").alias("d"), F.coalesce("component", "node").alias("component"))
     out = rows.join(groups, (F.col("digest") == F.col("d")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(
@@ -197,25 +287,6 @@ def near_groups(
     )
 
 
-def _star(lists: DataFrame, turn: int) -> DataFrame:
-    """Members of a list beside its leader: the most typical node, in later turns another one."""
-    rank = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    top = F.max(F.struct(rank.alias("rank"), F.negative("node").alias("negative"), "component"))
-    lead = lists.groupBy("v").agg(F.count("*").alias("m"), top.alias("top")).where("m > 1")
-    lead = lead.select("v", F.negative("top.negative").alias("leader"), F.col("top.component").alias("led"))
-    return (
-        lists.join(lead, "v").where("component <> led")
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    )
-
-
-def _between(lists: DataFrame) -> DataFrame:
-    """Every pair between different components of a list."""
-    left = lists.select("v", F.col("node").alias("a"), F.col("component").alias("c_a"))
-    right = lists.select("v", F.col("node").alias("b"), F.col("component").alias("c_b"))
-    return left.join(right, "v").where("a < b and c_a <> c_b").select("a", "b").distinct()
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """Rows of ``docs`` without near copies: the smallest id of each group stays, all columns as they are."""
     kept = near_groups(docs, id_col, text_col, percent=percent).where("kept").select(id_col)
