@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,20 @@ PATTERNS = {
     "person": r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra|Sr)\.? |(?:Name|name|Nom|Nombre): )[A-Z][a-z]{1,30}+(?: [A-Z][a-z]{1,30}+){0,2}+",
 }
 
+#: What every text with a match of the kind holds: a literal, or a pattern that fails at once where it is not there.
+TITLES = ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Name: ", "name: ", "Nom: ", "Nombre: ")
+NEEDS = {
+    "email": ("@",),
+    "ip": r"[0-9]\.[0-9]",
+    "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]",
+    "phone": ("+",),
+    "masked_email": r"[\[(](?:at|AT)[\])]",
+    "local_phone": r"[0-9]{3}[.-][0-9]{4}",
+    "national_id": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "iban": r"[A-Z]{2}[0-9]{2}",
+    "person": TITLES,
+}
+
 CUES = {
     "email": r"(?i)(e-?mail|mail|contact|write to|kontakt|correo)[^A-Za-z]*$",
     "ip": r"(?i)(ip|host|server|address|client|from)[^A-Za-z]*$",
@@ -95,8 +110,13 @@ def votes(s: Column) -> list[Column]:
 def candidates(text: Column) -> Column:
     """All candidate spans of a text: base kinds as listed, by start, then the further kinds; without those base
     matches that fail their checks."""
-    base = [F.filter(matches(text, PATTERNS[k], k), strict) for k in BASE]
-    return F.concat(*base, *[matches(text, p, k) for k, p in PATTERNS.items() if k not in BASE])
+
+    def found(kind: str) -> Column:
+        needs = NEEDS[kind]
+        there = text.rlike(needs) if isinstance(needs, str) else reduce(lambda a, b: a | b, [text.contains(x) for x in needs])
+        return matches(text, PATTERNS[kind], kind, there)
+
+    return F.concat(*[F.filter(found(k), strict) for k in BASE], *[found(k) for k in PATTERNS if k not in BASE])
 
 
 @dataclass(frozen=True)

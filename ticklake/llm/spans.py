@@ -17,9 +17,10 @@ def no_spans() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
-def matches(text: Column, pattern: str, kind: str) -> Column:
+def matches(text: Column, pattern: str, kind: str, needs: Column | None = None) -> Column:
     """Array of the leftmost non-overlapping matches: kind, start, end, value, and the text before (at most ``CONTEXT``
-    code points, back to the previous match) and the one after.  Empty for a null text."""
+    code points, back to the previous match) and the one after.  Empty for a null text.  ``needs`` is a cheap test that
+    every text with a match passes; the others are not scanned."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     pairs = F.zip_with(
@@ -36,7 +37,8 @@ def matches(text: Column, pattern: str, kind: str) -> Column:
         return F.struct(end.alias("at"), F.array_append(a["out"], span).alias("out"))
 
     spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), no_spans().alias("out")), step, lambda a: a["out"])
-    return F.when(text.isNull() | ~text.rlike(pattern), no_spans()).otherwise(spans)
+    there = text.rlike(pattern) if needs is None else needs & text.rlike(pattern)
+    return F.when(text.isNotNull() & there, spans).otherwise(no_spans())
 
 
 def digits(value: Column) -> Column:
