@@ -47,3 +47,33 @@ def test_edges(spark):
     left = sample_documents(docs)
     assert left.columns == docs.columns and left.count() == sum(r["copies"] for r in out)
     assert mix(labelled(frame(spark, []))).collect() == [] and sample_documents(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("rare", [("xx", "rare"), (None, None)])
+def test_a_rare_value_does_not_set_the_rate(spark, rare):
+    rows = [(i, "word " * 400, "en" if i % 3 else "de", f"s{min(i % 7, 2)}") for i in range(4000)]
+    clean = {r["doc_id"]: r["probability"] for r in mix(labelled(frame(spark, rows))).collect()}
+    docs = frame(spark, [*rows, (9999, "one two three", *rare)])
+    out = mix(labelled(docs)).collect()
+    mean = lambda p: sum(p) / len(rows)
+    assert mean(clean.values()) > 0.95
+    assert mean(r["probability"] for r in out if r["doc_id"] != 9999) == pytest.approx(mean(clean.values()), abs=0.01)
+    assert max(r["probability"] for r in out) <= 1 and [r["copies"] for r in out if r["doc_id"] == 9999] == [1]
+    # what has more than its target goes down to the same shares of what is left
+    for dimension, value in (("source", "s2"), ("lang", "en")):
+        was = shares(out, dimension, lambda r: r["tokens"])
+        got = shares(out, dimension, lambda r: r["tokens"] * r["probability"])
+        assert got[value] < was[value]
+    kept = {r["doc_id"] for r in sample_documents(docs).collect()}
+    assert kept == {r["doc_id"] for r in out if r["copies"]}
+
+
+def test_scarce_values_stay_whole_and_the_others_meet_their_targets(spark):
+    rows = [(i, "one two three", "en" if i % 2 else "de", "a" if i < 700 else "b" if i < 950 else "c") for i in range(1000)]
+    out = mix(labelled(frame(spark, rows)), {"source": {"a": 0.4, "b": 0.2, "c": 0.4}, "lang": 1.0}).collect()
+    got = defaultdict(float)
+    for r in out:
+        got[r["source"]] += r["probability"]
+        got[r["lang"]] += r["probability"]
+    assert got["a"] == pytest.approx(400, rel=0.01) and got["b"] == pytest.approx(200, rel=0.01) and got["c"] == pytest.approx(50)
+    assert got["en"] == pytest.approx(325, rel=0.01) and got["de"] == pytest.approx(325, rel=0.01)

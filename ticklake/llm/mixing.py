@@ -18,6 +18,10 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Targets of the query: the observed share to this power, made to sum to 1.  1 keeps a dimension as it is.
 EXPONENTS = {"source": 0.9, "lang": 0.9, "topic": 1.0}
 SWEEPS = 12
+#: The documents of a value go down to this times its target share of all tokens; values that hold less stay whole.
+RATE = 1.0
+#: As ``rate`` of ``mix``: the largest at which no document is expected twice.  The scarcest cell sets it.
+LARGEST = "largest"
 CUT_EVERY = 4
 NONE = "(none)"
 
@@ -65,39 +69,68 @@ def stated(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFr
     return own.join(F.broadcast(total)).select(dimension, F.coalesce(F.try_divide("share", "total"), F.lit(0.0)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, whole: bool = False) -> DataFrame:
     """``cells`` with ``fitted``: shares that meet the targets of every dimension, one dimension after the other.
+    With ``whole`` no cell is fitted above what it holds, and the others make up for it.
 
     The windows run over cells, not documents: a source has as many rows as languages times topics, however many
     documents it holds.  The last dimension is met exactly, the others up to what the sweeps leave.
     """
     total = cells.agg(F.sum("tokens").cast("double").alias("total"))
-    state = cells.join(F.broadcast(total)).withColumn("fitted", F.col("tokens") / F.col("total")).drop("total")
+    state = cells.join(F.broadcast(total)).withColumn("held", F.col("tokens") / F.col("total")).withColumn("fitted", F.col("held")).drop("total")
     for dimension, target in targets.items():
         state = state.join(target.withColumnRenamed("target", f"target_{dimension}"), dimension)
     state = cut(state, "cells")
     for sweep in range(1, sweeps + 1):
         for dimension in targets:
             mass = F.sum("fitted").over(Window.partitionBy(dimension))
-            state = state.withColumn("fitted", F.col("fitted") * F.coalesce(F.try_divide(f"target_{dimension}", mass), F.lit(0.0)))
+            scaled = F.col("fitted") * F.coalesce(F.try_divide(f"target_{dimension}", mass), F.lit(0.0))
+            state = state.withColumn("fitted", F.least("held", scaled) if whole else scaled)
         if sweep % CUT_EVERY == 0 or sweep == sweeps:
             state = cut(state, "cells")
     return state
 
 
+def reachable(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE) -> tuple[dict[str, DataFrame], float]:
+    """Masses per dimension, as shares of all tokens, that documents kept at most once can fill, and their common sum.
+
+    A value gets the smaller of what it holds and a multiple of its target.  The multiple is at most ``rate``, and
+    such that all dimensions sum to the same.  A scarce value stays whole and moves the sum by no more than its own
+    target.  The window runs over the values of a dimension.
+    """
+    total = F.broadcast(cells.agg(F.sum("tokens").cast("double").alias("total")))
+    held = {}
+    for d, target in targets.items():
+        own = cells.groupBy(d).agg(F.sum("tokens").alias("mass")).join(total).select(d, (F.col("mass") / F.col("total")).alias("mass"))
+        held[d] = cut(own.join(target, d), "masses")
+    sums = [held[d].agg(F.sum(F.least("mass", F.lit(rate) * F.col("target")))).first()[0] or 0.0 for d in targets]
+    common = min(sums, default=0.0)
+    out = {}
+    for d, own in held.items():
+        order = Window.orderBy(F.try_divide("mass", "target").asc_nulls_last(), d)
+        below = F.coalesce(F.sum("mass").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+        rest = F.sum("target").over(order.rowsBetween(0, Window.unboundedFollowing))
+        # sum(least(mass, k * target)) is the least over the values of below + k * rest, so k is the largest solution
+        k = own.select(F.try_divide(F.lit(common) - below, rest).alias("k")).agg(F.coalesce(F.max("k"), F.lit(0.0)).alias("k"))
+        out[d] = own.join(F.broadcast(k)).select(d, F.least("mass", F.col("k") * F.col("target")).alias("target"))
+    return out, common
+
+
 def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     text = text_or_empty(text_col)
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c)
     return docs.select(F.col(id_col).alias("doc_id"), none("source"), none("lang"), topic(text).alias("topic"), tokens(text).alias("tokens"))
 
 
-def mix(rows: DataFrame, targets: dict[str, float | dict[str, float]] | None = None, sweeps: int = SWEEPS, rate: float | None = None) -> DataFrame:
+def mix(rows: DataFrame, targets: dict[str, float | dict[str, float]] | None = None, sweeps: int = SWEEPS, rate: float | str | None = None) -> DataFrame:
     """``rows`` (doc_id, source, lang, topic, tokens) with ``factor``, ``probability`` and ``copies``.
 
     ``targets`` gives per dimension an exponent for the observed shares, or shares by value.  ``factor`` is the
     fitted share of the cell over its observed share.  ``probability`` is the expected number of copies, rate x
-    factor; the default rate is the largest at which no document is expected more than once, so that samples of
-    all cells are in the fitted proportions.  With a larger ``rate`` documents of scarce cells are repeated.
+    factor.  By default no document is repeated and the masses of ``reachable`` are fitted: values with more than
+    their target go down to it, scarce ones stay whole, and a rare value does not change what is kept of the others.
+    With a number as ``rate`` documents of scarce cells are repeated; with ``LARGEST`` samples of all cells are in
+    the fitted proportions, which the scarcest cell pays for with documents of all others.
     ``copies`` is the drawn number, 0 for documents that go.
 
     Null sources and languages form the value ``(none)``.  Rows with the same id get the same draw; null ids
@@ -107,11 +140,17 @@ def mix(rows: DataFrame, targets: dict[str, float | dict[str, float]] | None = N
     cells = cut(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     wanted = {d: tempered(cells, d, t) if isinstance(t, (int, float)) else stated(cells, d, t) for d, t in targets.items()}
     observed = cells.agg(F.sum("tokens").cast("double").alias("total"))
-    fitted = rake(cells, wanted, sweeps).join(F.broadcast(observed))
+    once = rate is None
+    if once:
+        wanted, rate = reachable(cells, wanted)
+    fitted = rake(cells, wanted, sweeps, whole=once).join(F.broadcast(observed))
+    if once:
+        fitted = fitted.withColumn("fitted", F.coalesce(F.try_divide("fitted", F.lit(rate)), F.lit(0.0)))
     fitted = cut(fitted.select(*DIMENSIONS, (F.col("fitted") * F.col("total") / F.col("tokens")).alias("factor")), "factors")
-    if rate is None:
+    if rate == LARGEST:
         rate = 1 / (fitted.agg(F.max("factor")).first()[0] or 1.0)
     expected = F.round(F.lit(rate) * F.col("factor"), 9)
+    expected = F.least(F.lit(1.0), expected) if once else expected
     whole = F.floor(expected)
     copies = whole + F.when(draw(F.col("doc_id")) < expected - whole, 1).otherwise(0)
     return rows.join(fitted, list(DIMENSIONS)).select(
@@ -120,7 +159,8 @@ def mix(rows: DataFrame, targets: dict[str, float | dict[str, float]] | None = N
 
 
 def sample_documents(docs: DataFrame, targets: dict | None = None) -> DataFrame:
-    """Rows of ``docs`` drawn to the targets, at most once each, with all their columns as they are."""
+    """Rows of ``docs`` drawn to the targets, at most once each, with all their columns as they are.  Cells that fall
+    short of their targets stay whole."""
     base = labelled(docs)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     keyed = whole.select(
@@ -133,7 +173,8 @@ def sample_documents(docs: DataFrame, targets: dict | None = None) -> DataFrame:
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(labelled(documents(spark, sf_dir)))
+    """At the rate that ``OP5_SQL`` states."""
+    return mix(labelled(documents(spark, sf_dir)), rate=LARGEST)
 
 
 def _sql() -> str:
