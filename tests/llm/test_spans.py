@@ -1,5 +1,6 @@
 """Personal data and secrets against plain scans."""
 
+import base64
 import hashlib
 import re
 
@@ -121,6 +122,26 @@ def test_copied_examples_and_live_keys(spark):
     assert got[1] == [("hub", "live")] and got[10] == [] and got[2] == [("assign", "weak")]
 
 
+def pem(seed, end="\n-----END RSA PRIVATE KEY-----", blank="\n"):
+    body = base64.b64encode(hashlib.sha512(str(seed).encode()).digest() * 3).decode()
+    return "-----BEGIN RSA PRIVATE KEY-----" + blank + blank.join(body[i : i + 64] for i in range(0, len(body), 64)) + end
+
+
+def test_private_keys_are_counted_by_their_bodies(spark):
+    own = [(i, f"key:\n{pem(i)}\nend", "en", f"o{i}") for i in range(20)]
+    bare = [(100 + i, f"key: {pem(100 + i, end='')}\nand more words", "en", f"o{i}") for i in range(20)]
+    line = [(200 + i, f"-----BEGIN PRIVATE KEY----- {hashlib.sha256(str(i).encode()).hexdigest()}\nwords", "en", f"o{i}") for i in range(20)]
+    copied = [(300 + i, f"see {pem('doc', blank=chr(10) if i % 2 else chr(13) + chr(10))}", "en", f"o{i}") for i in range(4)]
+    rows = [*own, *bare, *line, *copied]
+    texts = {r[0]: r[1] for r in rows}
+    got = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "private_key"] for r in secrets.scanned(frame(spark, rows)).collect()}
+    for i, text, *_ in [*own, *bare, *line]:
+        assert [(s["class"], s["owners"]) for s in got[i]] == [("live", 1)], i
+    assert all(texts[i][s["start"] : s["end"]] == pem(i) for i in range(20) for s in got[i])
+    assert all(texts[i][s["start"] : s["end"]] == pem(i, end="") for i in range(100, 120) for s in got[i])
+    assert all(got[i] == [] for i, *_ in copied)
+
+
 @pytest.mark.parametrize("scan", [pii.detected, secrets.scanned])
 def test_edges(spark, scan):
     assert scan(frame(spark, [])).collect() == []

@@ -19,11 +19,16 @@ from ticklake.llm.spans import joined, matches
 
 BASE = ("assign", "access", "hex")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
+# with its body: all up to the footer, or without one the rest of the line and the base64 lines below
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]*+(?:-[^-]++){0,40}+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    r"|[^\r\n-]*+(?:\r?\n[\x20\t]*+[A-Za-z0-9+/=]{16,}+(?=[\x20\t]*(?:[\r\n]|$))){0,500}+)"
+)
 PATTERNS = {
     "assign": ASSIGN,
     "access": r"AKIA[A-Z0-9]++",
     "hex": r"[0-9a-f]{16,}+",
-    "private_key": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
+    "private_key": PRIVATE_KEY,
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
     "hub": r"gh[pousr]_[A-Za-z0-9]{30,}+",
     "service": r"(?<![A-Za-z0-9])(?:sk|pk|rk)[-_][A-Za-z0-9_-]{20,}+",
@@ -46,8 +51,20 @@ def valid(s: Column) -> Column:
 
 
 def secret(s: Column) -> Column:
-    """The value itself: what is assigned, or the whole match."""
-    return F.when(s["kind"] == "assign", F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"])
+    """The value itself: what is assigned, a private key without white space, or the whole match."""
+    key = F.regexp_replace(s["value"], r"\s+|\\[nrt]", "")
+    return F.when(s["kind"] == "assign", F.regexp_extract(s["value"], ASSIGN, 2)).when(s["kind"] == "private_key", key).otherwise(s["value"])
+
+
+def telling(s: Column) -> Column:
+    """What is tested for placeholders: of a private key all but its long base64 runs, where any word can come up."""
+    return F.when(s["kind"] == "private_key", F.regexp_replace(secret(s), "-----(BEGIN|END)[A-Z]*-----|[A-Za-z0-9+/=]{40,}", "")).otherwise(secret(s))
+
+
+def varied(s: Column) -> Column:
+    """What entropy is computed on: the body of a private key, or its header where it has none; else the value."""
+    body = F.regexp_replace(secret(s), "-----(BEGIN|END)[A-Z]*-----", "")
+    return F.when((s["kind"] == "private_key") & (body != ""), body).otherwise(secret(s))
 
 
 def entropy(value: Column) -> Column:
