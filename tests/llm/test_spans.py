@@ -142,6 +142,18 @@ def test_private_keys_are_counted_by_their_bodies(spark):
     assert all(got[i] == [] for i, *_ in copied)
 
 
+def test_copies_and_files_of_one_owner_do_not_vote(spark):
+    copied, filed, shared = "ghp_aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bD0fG3hJ6", "ghp_qW2eR4tY6uI8oP0aS1dF3gH5jK7lZ9xC2vB4", "ghp_mN8bV6cX4zL2kJ0hG9fD7sA5pO3iU1yT6rE4"
+    rows = [
+        *[(i, f"x {copied} y", "en", "a" if i % 2 else "b") for i in range(30)], *[(100 + i, f"file {i} {filed}", "en", "a") for i in range(30)],
+        *[(200 + i, f"file {i} {shared}", "en", "a" if i % 2 else "b") for i in range(10)],
+    ]
+    got = {r["doc_id"]: [(s["class"], s["documents"], s["owners"]) for s in r["spans"]] for r in secrets.scanned(frame(spark, rows)).collect()}
+    assert all(got[i] == [("live", 1, 2)] for i in range(30))
+    assert all(got[100 + i] == [("live", 30, 1)] for i in range(30))
+    assert all(got[200 + i] == [] for i in range(10))
+
+
 @pytest.mark.parametrize("scan", [pii.detected, secrets.scanned])
 def test_edges(spark, scan):
     assert scan(frame(spark, [])).collect() == []

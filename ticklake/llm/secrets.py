@@ -5,8 +5,9 @@ distinct documents (a document stands for a repository) and distinct owners (the
 hold is a copied example; one that a single owner or two hold, of high entropy and no placeholder, looks live.
 Candidates of the further kinds are added where they look live; base spans always stay and carry their class.
 
-Counting is by distinct (hash, owner, document) first and by hash afterwards, both combined map-side, so a key that a
-third of all documents quote is no hot group.  Texts are not shuffled.
+Owners decide: however many documents a single owner holds a value in, it stays that owner's.  Equal texts count as one
+document.  Counting is by distinct (hash, text) and (hash, owner) first and by hash afterwards, all combined map-side,
+so a key that a third of all documents quote is no hot group.  Texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ PATTERNS = {
 }
 PLACEHOLDER = r"(?i)(example|changeme|placeholder|dummy|sample|test|your|xxxx|1234567|abcdef|(.)\2{5})"
 OWNERS = 3
+SEVERAL = 2
 DOCUMENTS = 10
 ENTROPY = 2.5
 
@@ -98,24 +100,23 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> D
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, documents, owners, occurrences) of every secret value of the corpus."""
-    each = found.select("doc_id", "text_key", "owner", F.explode("spans.hash").alias("hash"))
-    per_document = each.groupBy("hash", "owner", "doc_id", "text_key").agg(F.count("*").alias("c"))
-    per_owner = per_document.groupBy("hash", "owner").agg(F.count("*").alias("documents"), F.sum("c").alias("c"))
-    return per_owner.groupBy("hash").agg(F.sum("documents").alias("documents"), F.count("*").alias("owners"), F.sum("c").alias("occurrences"))
+    """(hash, documents, owners) of every secret value of the corpus; equal texts are one document."""
+    each = found.select("text_key", "owner", F.explode("spans.hash").alias("hash"))
+    documents = each.select("hash", "text_key").distinct().groupBy("hash").agg(F.count("*").alias("documents"))
+    owners = each.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
+    return documents.join(owners, "hash")
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
     """``id_col`` and ``spans`` of every row: kind, start, end, hash, class (``live``, ``example`` or ``weak``), documents, owners.
 
-    ``example``: held by at least ``OWNERS`` owners or ``DOCUMENTS`` documents; ``weak``: owner-specific, but of little
-    entropy or a placeholder; ``live``: the others.  Null and empty texts have no spans; null owners count as one owner.
-    Rows repeated with the same id and text count as one document.  An empty table gives an empty result; further
-    columns are not read.
+    ``example``: held by at least ``OWNERS`` owners, or by ``SEVERAL`` in ``DOCUMENTS`` different texts; ``weak``:
+    owner-specific, but of little entropy or a placeholder; ``live``: the others.  Null and empty texts have no spans;
+    null owners count as one owner.  An empty table gives an empty result; further columns are not read.
     """
     found = cut(candidates(docs, id_col, text_col, owner_col), "secret-candidates")
     held = ownership(found)
-    spread = (F.col("owners") >= OWNERS) | (F.col("documents") >= DOCUMENTS)
+    spread = (F.col("owners") >= OWNERS) | ((F.col("owners") >= SEVERAL) & (F.col("documents") >= DOCUMENTS))
     each = found.where(F.size("spans") > 0).select("doc_id", "text_key", F.explode("spans").alias("s")).withColumn("hash", F.col("s.hash"))
     each = each.join(held, "hash").withColumn("class", F.when(spread, "example").when(F.col("s.strong"), "live").otherwise("weak"))
     each = each.where(F.col("s.kind").isin(*BASE) | (F.col("class") == "live"))
