@@ -70,11 +70,10 @@ def varied(s: Column) -> Column:
 
 
 def entropy(value: Column) -> Column:
-    """Bits per character."""
-    letters = F.split(value, "")
-    n = F.size(letters)
-    counts = F.transform(F.array_distinct(letters), lambda c: F.size(F.filter(letters, lambda x: x == c)) / n)
-    return F.aggregate(counts, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+    """Bits per character, over the whole value: a character counts by the length lost without it."""
+    n = F.length(value)
+    shares = F.transform(F.array_distinct(F.split(value, "")), lambda c: (n - F.length(F.replace(value, c, F.lit("")))) / n)
+    return F.aggregate(F.filter(shares, lambda p: p > 0), F.lit(0.0), lambda a, p: a - p * F.log2(p))
 
 
 def by_place(spans: Column) -> Column:
@@ -93,7 +92,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> D
         "found",
         lambda s: F.struct(
             s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.sha2(secret(s).cast("binary"), 256).alias("hash"),
-            ((entropy(F.substr(secret(s), F.lit(1), F.lit(256))) >= ENTROPY) & ~secret(s).rlike(PLACEHOLDER)).alias("strong"),
+            ((entropy(varied(s)) >= ENTROPY) & ~telling(s).rlike(PLACEHOLDER)).alias("strong"),
         ),
     )
     return rows.select("doc_id", "text_key", "owner", by_place(slim).alias("spans"))
