@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 import struct
+from collections import defaultdict
 
 import xxhash
 
 from helpers import CLASHING, frame, plan
+from ticklake.llm.common import cut as winnowing_cut
 from ticklake.llm.winnowing import GRAM, POSITION_BITS, RUN, WINDOW, fingerprints, op10_winnowing
 
 
@@ -82,3 +84,31 @@ def test_next_rows_over_ranges(spark, monkeypatch, tmp_path):
     got = {(r["text"], r["next_text"]) for r in winnowing.with_next(odd, "doc_id", ["text"], ["text"]).collect()}
     assert got == {("z", "a"), ("a", "b"), ("b", "n"), ("n", "z")}
     assert winnowing.with_next(frame(spark, []).select("doc_id", "text"), "doc_id", ["text"], ["text"]).collect() == []
+
+
+def test_ranges_are_cut_by_rank(spark, monkeypatch):
+    from ticklake.llm import winnowing
+
+    monkeypatch.setattr(winnowing, "RANGE_ROWS", 50)
+    made = {}
+    monkeypatch.setattr(winnowing, "cut", lambda df, label: made.setdefault(label, winnowing_cut(df, label)))
+    rng = random.Random(1)
+    lone = [(i, f"t{rng.random()}") for i in [*range(1000), 10**12, -(10**15), (1 << 63) - 1, -(1 << 63)]]
+    rows = [*lone, *[(None, f"n{rng.random()}") for _ in range(500)], *[(7000, "same") for _ in range(500)]]
+    got = winnowing.with_next(frame(spark, rows).select("doc_id", "text"), "doc_id", ["text"], ["text"]).collect()
+    sizes = [r["count"] for r in made["ranges"].groupBy("_range").count().collect()]
+    assert sum(sizes) == len(rows) == len(got) and max(sizes) <= 100 and len(sizes) == 41
+    # one cycle through all rows by descending id, null ids last
+    ids = {t: i for i, t in rows}
+    after = defaultdict(list)
+    for r in got:
+        after[r["text"]].append(r["next_text"])
+    down = [t for i, t in sorted(lone, reverse=True)]
+    down.insert([ids[t] for t in down].index(999), "same")
+    assert sorted(after["same"]) == sorted(["same"] * 499 + [down[down.index("same") + 1]])
+    assert all(after[a] == [b] for a, b in zip(down, down[1:]) if a != "same")
+    at, seen = after[down[-1]][0], set()
+    while ids[at] is None:
+        seen.add(at)
+        (at,) = after[at]
+    assert len(seen) == 500 and at == down[0]

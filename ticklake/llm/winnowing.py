@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticklake.llm.common import documents, text_or_empty
+from ticklake.llm.common import cut, documents, text_or_empty
 
 GRAM = 4
 WINDOW = 8
@@ -69,39 +69,72 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 RANGE_ROWS = 2048
-MOST_RANGES = 100_000
+MOST_RANGES = 16_384
+DRAWN = 20  # sampled rows for each range
+
+
+def place(id_col: str, order: list[str]) -> Column:
+    """A text that sorts like the rows and differs between any two: by descending id, null ids last, then by the first
+    bytes of the first column of ``order``, a hash of all of them, and the row."""
+    key = F.col(id_col).cast("long")
+    wide = lambda x: F.lpad(F.hex(x), 16, "0")
+    down = F.coalesce(F.bitwise_not(key).bitwiseXOR(F.lit(-(1 << 63))), F.lit(0).cast("long"))  # the lowest id has the highest digits
+    begins = F.rpad(F.hex(F.substring(F.coalesce(F.col(order[0]).cast("string"), F.lit("")).cast("binary"), 1, 8)), 16, "0")
+    return F.concat(F.when(key.isNull(), "1").otherwise("0"), wide(down), begins, wide(F.xxhash64(*order)), wide(F.xxhash64(F.monotonically_increasing_id())))
+
+
+def range_of(key: Column, bounds: list[str]) -> Column:
+    """How many of the sorted ``bounds`` are not above ``key``, by halving."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.split(F.lit(",".join(bounds)), ",")
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        above = F.coalesce(F.get(listed, mid) > key, F.lit(True))
+        return F.struct(F.when(above, s["lo"]).otherwise(mid + 1).alias("lo"), F.when(above, mid).otherwise(s["hi"]).alias("hi"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda s: s["lo"])
 
 
 def with_next(rows: DataFrame, id_col: str, columns: list[str], order: list[str]) -> DataFrame:
     """``rows`` with ``next_<column>`` of the next row by descending id; after the last row comes the first.
 
-    Ids are cut into ranges of about ``RANGE_ROWS`` rows, more in tables of over 200 million rows, where
-    ``MOST_RANGES`` ranges are made.  A range is one window.  Its last row is followed by the first row of the next
-    lower range that has rows; a copy of that row is placed below it.  Rows with the same id follow each other by
-    ``order``; null ids come after all others.
+    Rows are cut by rank into ranges of about ``RANGE_ROWS`` rows, more in tables of over 30 million rows, where
+    ``MOST_RANGES`` ranges are made; the bounds are quantiles of a sample of the rows' places, so neither gaps between
+    ids nor rows with the same or no id fill a range.  A range is one window.  Its last row is followed by the first
+    row of the next range that has rows; a copy of that one row is placed below it.  Rows with the same id follow
+    each other by the first eight bytes of ``order``, then by its hash; null ids come after all others.
     """
-    key = F.col(id_col).cast("long")
-    bounds = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")).first()
-    lo, hi, n = bounds["lo"] or 0, bounds["hi"] or 0, max(1, bounds["n"])
-    width = max(1, (hi - lo + 1) * max(RANGE_ROWS, n // MOST_RANGES) // n)
-    tagged = rows.withColumn("_id", key).withColumn("_range", F.when(key.isNull(), F.lit(-1)).otherwise(F.floor((key - F.lit(lo)) / F.lit(width))).cast("long"))
-    # the first row of every range by its id: at most MOST_RANGES rows, or one per RANGE_ROWS rows
-    heads = tagged.groupBy("_range").agg(F.max("_id").alias("_head"))
+    n = rows.count()
+    ranges = min(MOST_RANGES, -(-n // RANGE_ROWS))
+    drawn = rows.select(place(id_col, order).alias("key"), F.rand(7).alias("r")).where(F.col("r") < min(1.0, DRAWN * ranges / max(1, n)))
+    # at most some 330,000 short texts
+    keys = sorted(r["key"] for r in drawn.select("key").collect()) if ranges > 1 else []
+    bounds = [keys[k * len(keys) // ranges] for k in range(1, ranges)] if keys else []
+    placed = rows.withColumn("_key", place(id_col, order))
+    # written, as the place of a row must be the same wherever it is read below
+    tagged = cut(placed.withColumn("_range", range_of(F.col("_key"), bounds)), "ranges")
+    # the first row of every range: at most MOST_RANGES rows
+    heads = tagged.groupBy("_range").agg(F.min("_key").alias("_head"))
     every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select("_range", "_head", F.coalesce(F.lead("_range").over(Window.orderBy("_range")), F.first("_range").over(every)).alias("_goes"))
-    first = tagged.join(F.broadcast(heads), "_range").where(F.col("_id").eqNullSafe(F.col("_head")))
-    copies = first.select(*rows.columns, "_id", F.col("_goes").alias("_range"), F.lit(1).alias("_copy"))
+    # its copy goes to the range before, that of the first range to the last
+    heads = heads.select("_range", "_head", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.last("_range").over(every)).alias("_goes"))
+    first = tagged.join(F.broadcast(heads), "_range").where(F.col("_key") == F.col("_head"))
+    copies = first.select(*rows.columns, "_key", F.col("_goes").alias("_range"), F.lit(1).alias("_copy"))
     both = tagged.withColumn("_copy", F.lit(0)).unionByName(copies)
-    inside = Window.partitionBy("_range").orderBy("_copy", F.col("_id").desc_nulls_last(), *order)
+    inside = Window.partitionBy("_range").orderBy("_copy", "_key")
     both = both.withColumns({f"next_{c}": F.lead(c).over(inside) for c in columns})
-    return both.where("_copy = 0").drop("_range", "_id", "_copy")
+    return both.where("_copy = 0").drop("_range", "_key", "_copy")
 
 
 def op10_winnowing(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness."""
     rows = documents(spark, sf_dir).select("doc_id", text_or_empty().alias("text"))
-    rows = with_fingerprint(rows, F.col("text"), "fp")
-    rows = with_next(rows, "doc_id", ["text", "fp"], ["text"])
+    rows = with_next(rows, "doc_id", ["text"], ["text"])
+    # fingerprints are made again rather than carried: they are longer than the compressed texts
+    rows = with_fingerprint(with_fingerprint(rows, F.col("text"), "fp"), F.col("next_text"), "next_fp")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
