@@ -112,3 +112,13 @@ def test_ranges_are_cut_by_rank(spark, monkeypatch):
         seen.add(at)
         (at,) = after[at]
     assert len(seen) == 500 and at == down[0]
+
+
+def test_passages_without_blanks_share_a_gram_at_any_offset(spark):
+    rng = random.Random(5)
+    for first, last in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x0E01, 0x0E2E)):
+        run = lambda n: "".join(chr(rng.randint(first, last)) for _ in range(n))  # noqa: E731, B023
+        passage = run(GRAM + WINDOW - 1)
+        rows = [(i, run(i) + passage + run(50)) for i in range(0, 30, 5)]
+        sets = [set(r["fingerprint"]["hashes"]) for r in fingerprints(frame(spark, rows)).collect()]
+        assert all(a & b for a in sets for b in sets)

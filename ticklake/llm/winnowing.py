@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing, as DataFrame expressions on each row.
 
-A text becomes tokens (runs of visible characters, a long run in pieces of ``RUN`` characters), every token a
-64-bit hash, and ``GRAM`` neighbouring hashes one gram hash, rolled over the text.  Of every ``WINDOW`` neighbouring
+A text becomes tokens (runs of visible characters, a long run in pieces of ``RUN`` characters, every character of a
+script written without blanks by itself), every token a 64-bit hash, and ``GRAM`` neighbouring hashes one gram hash, rolled over the text.  Of every ``WINDOW`` neighbouring
 grams the smallest is selected, the right-most one on ties; a selected gram is written once, with its position.
 Two texts that share a run of ``WINDOW + GRAM - 1`` tokens share a selected gram.  Nothing is shuffled to
 fingerprint, and a text's work is linear in its length.
@@ -21,8 +21,13 @@ RUN = 24
 POSITION_BITS = 26  # tokens of one text that can be told apart: 67 million
 
 
+#: scripts written without blanks between words
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+
+
 def token_hashes(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(f"[^ \t\n\r\x0b\f]{{1,{RUN}}}"), F.lit(0)), lambda w: F.xxhash64(w))
+    pattern = f"[{UNSPACED}]|[^ \t\n\r\x0b\f{UNSPACED}]{{1,{RUN}}}"
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.xxhash64(w))
 
 
 def with_fingerprint(df: DataFrame, text: Column, name: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
