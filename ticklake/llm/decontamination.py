@@ -123,12 +123,12 @@ def contamination(
     )
 
 
-def _without(text: Column, spans: Column) -> Column:
-    """``text`` without the words of ``spans`` and what stands between a removed word and the next word."""
-    own, between = F.regexp_extract_all(text, F.lit(RAW_WORD), F.lit(0)), F.split(text, RAW_WORD)
+def _without(own: str, between: str, spans: str) -> Column:
+    """The text of the words ``own`` and what stands ``between`` them, without the words of ``spans`` and what follows
+    each of them up to the next word.  The arrays are columns: as expressions they would be made anew for every word."""
     gone = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["end"] - 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), gone)
-    return F.concat(F.get(between, F.lit(0)), F.array_join(F.transform(kept, lambda i: F.concat(F.get(own, i), F.get(between, i + 1))), ""))
+    return F.concat(F.get(F.col(between), F.lit(0)), F.array_join(F.transform(kept, lambda i: F.concat(F.get(F.col(own), i), F.get(F.col(between), i + 1))), ""))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "spans", id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
@@ -139,22 +139,31 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
     """
     if remove not in ("spans", "documents"):
         raise ValueError(f"remove: {remove}")
+    found_id, found_key, spans, own, between = (_free(name, docs.columns) for name in ("found_id", "found_key", "spans", "own", "between"))
     found = contamination(docs, benchmark, id_col, text_col, **columns).where("contaminated")
-    found = cut(found.groupBy(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")).agg(F.first("spans").alias("_found_spans")), "contaminated")
-    own = docs[_quoted(text_col)]
-    same = docs[_quoted(id_col)].eqNullSafe(found["_found_id"]) & (F.md5(F.coalesce(own.cast("string"), F.lit("")).cast("binary")) == found["_found_key"])
+    found = cut(found.groupBy(F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key)).agg(F.first("spans").alias(spans)), "contaminated")
+    text = docs[_quoted(text_col)]
+    same = docs[_quoted(id_col)].eqNullSafe(found[found_id]) & (F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")) == found[found_key])
     if remove == "documents":
         return docs.join(found, same, "left_anti")
-    joined = docs.join(found, same, "left")
-    columns_out = [joined[_quoted(c)] for c in docs.columns]
-    spans = F.col("_found_spans")
-    return joined.select(*[F.when(spans.isNull(), own).otherwise(_without(own, spans)).alias(c) if c == text_col else x for c, x in zip(docs.columns, columns_out, strict=True)])
+    hit = F.when(F.col(spans).isNotNull(), F.col(_quoted(text_col)))
+    rows = docs.join(found, same, "left").withColumns({own: F.regexp_extract_all(hit, F.lit(RAW_WORD), F.lit(0)), between: F.split(hit, RAW_WORD)})
+    cleaned = F.when(F.col(spans).isNull(), F.col(_quoted(text_col))).otherwise(_without(own, between, spans))
+    return rows.select(*[cleaned.alias(c) if c == text_col else F.col(_quoted(c)) for c in docs.columns])
 
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """``name`` with as many strokes in front as make it a name of its own."""
+    lower = {t.lower() for t in taken}
+    while name in lower:
+        name = f"_{name}"
+    return name
+
+
 def op11_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
