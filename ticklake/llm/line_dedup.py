@@ -2,14 +2,15 @@
 
 Lines that are not blank are numbered within their document and every three consecutive ones are hashed to 128
 bits.  A window that occurs more than once in the corpus keeps its first occurrence, by document id and line; every
-later occurrence covers its three lines, overlapping coverages merge, and covered lines go.  Counting combines
-map-side, so a passage in a third of all documents is a handful of partial counts; the join back to the
-occurrences reads two shuffles directly, which lets the adaptive skew join split it.
+later occurrence covers its three lines, overlapping coverages merge, and covered lines go.  Only (hash, document id,
+number of the window) is shuffled; the lines a window covers are found again from the text.  Counting combines
+map-side, so a passage in a third of all documents is a handful of partial counts.  Both joins shuffle at every size:
+what they look up grows with the corpus, and the adaptive skew join can split them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, documents, text_or_empty
@@ -17,25 +18,26 @@ from ticklake.llm.common import cut, documents, text_or_empty
 LINES = 3
 
 
+def solid_lines(text: Column) -> Column:
+    """(i, line): the lines that are not blank, without the blanks around them."""
+    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x).alias("line")))
+    return F.filter(numbered, lambda x: x["line"] != "")
+
+
 def window_hashes(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """(doc_id, at, hash, covers): windows of ``lines`` consecutive lines that are not blank; ``covers``: their line numbers."""
-    numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x).alias("line")))
-    rows = docs.withColumn("solid", F.filter(numbered, lambda x: x["line"] != "")).where(F.size("solid") >= lines)
-    window = lambda at: F.slice(F.col("solid"), at, lines)
-    made = F.transform(
-        F.sequence(F.lit(1), F.size("solid") - (lines - 1)),
-        lambda at: F.struct(F.unhex(F.md5(F.array_join(window(at)["line"], "\n").cast("binary"))).alias("hash"), window(at)["i"].alias("covers")),
-    )
-    return rows.select("doc_id", F.posexplode(made).alias("at", "w")).select("doc_id", "at", "w.hash", "w.covers")
-
-
-def covered_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """(doc_id, covered): for every document with later repeats, the numbers of the lines to remove."""
+    """(doc_id, at, hash): windows of ``lines`` consecutive lines that are not blank, numbered from 0."""
+    rows = docs.withColumn("solid", solid_lines(F.col("text"))["line"]).where(F.size("solid") >= lines)
+    made = F.transform(F.sequence(F.lit(1), F.size("solid") - (lines - 1)), lambda at: F.unhex(F.md5(F.array_join(F.slice("solid", at, lines), "\n").cast("binary"))))
+    return rows.select("doc_id", F.posexplode(made).alias("at", "hash"))
+
+
+def later_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
+    """(doc_id, later): for every document with later repeats, the numbers of those windows."""
     seen = window_hashes(docs, lines)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
     repeated = seen.groupBy("hash").agg(F.count("*").alias("n"), F.min(order).alias("first")).where("n > 1").select("hash", "first")
-    later = seen.join(repeated, "hash").where(order > F.col("first"))
-    return later.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("covers"))).alias("covered"))
+    later = seen.join(repeated.hint("merge"), "hash").where(order > F.col("first"))
+    return later.groupBy("doc_id").agg(F.collect_set("at").alias("later"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES) -> DataFrame:
@@ -47,9 +49,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     count as one document as well.  An empty table gives an empty result; further columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    covered = cut(covered_lines(rows, lines), "covered")
-    own = covered.select(F.col("doc_id").alias("d"), "covered")
-    joined = rows.join(own, rows["doc_id"].eqNullSafe(own["d"]), "left")
+    own = cut(later_windows(rows, lines), "later-windows").select(F.col("doc_id").alias("d"), "later")
+    joined = rows.join(own.hint("merge"), rows["doc_id"].eqNullSafe(own["d"]), "left")
+    numbers = F.col("solid")["i"]
+    # a repeated id has windows of all its rows: those beyond the end of this row cover nothing
+    lines_of = F.array_distinct(F.flatten(F.transform("later", lambda at: F.slice(numbers, at + 1, lines))))
+    joined = joined.withColumn("solid", F.when(F.col("later").isNotNull(), solid_lines(F.col("text")))).withColumn("covered", lines_of)
     split = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("covered"))
     return (
