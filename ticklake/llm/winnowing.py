@@ -9,6 +9,8 @@ fingerprint, and a text's work is linear in its length.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,9 +27,17 @@ POSITION_BITS = 26  # tokens of one text that can be told apart: 67 million
 UNSPACED = "".join(rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 
 
+#: every character of these scripts, and others, from the first block of them on
+MAY_BE_UNSPACED = r"[\x{0E00}-\x{10FFFF}]"
+
+
 def token_hashes(text: Column) -> Column:
-    pattern = f"[{UNSPACED}]|[^ \t\n\r\x0b\f{UNSPACED}]{{1,{RUN}}}"
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.xxhash64(w))
+    extract = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # seven script classes on every character are half of the cost: only texts that may hold such characters pay it
+    odd = (F.octet_length(text) > F.length(text)) & text.rlike(MAY_BE_UNSPACED)
+    plain = extract(f"[^ \t\n\r\x0b\f]{{1,{RUN}}}")
+    tokens = F.when(odd, extract(f"[{UNSPACED}]|[^ \t\n\r\x0b\f{UNSPACED}]{{1,{RUN}}}")).otherwise(plain)
+    return F.transform(tokens, lambda w: F.xxhash64(w))
 
 
 def with_fingerprint(df: DataFrame, text: Column, name: str, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -36,7 +46,7 @@ def with_fingerprint(df: DataFrame, text: Column, name: str, gram: int = GRAM, w
     A text with fewer than ``gram`` tokens is one gram of what it has; one without tokens, null or empty, has
     empty arrays.  Equal texts have equal fingerprints.
     """
-    h, g, m = f"_{name}_tokens", f"_{name}_grams", f"_{name}_ranked"
+    h, g, m, p = (f"_{name}_{x}" for x in ("tokens", "grams", "least", "at"))
     df = df.withColumn(h, token_hashes(text))
     many = F.greatest(F.size(h) - (gram - 1), F.least(F.size(h), F.lit(1)))
     at = lambda i, k: F.get(F.col(h), i + F.lit(k))  # noqa: E731  null beyond the end
@@ -45,12 +55,20 @@ def with_fingerprint(df: DataFrame, text: Column, name: str, gram: int = GRAM, w
     # hash above, distance from the end below: the smallest number is the smallest hash, right-most on ties
     mask = (1 << POSITION_BITS) - 1
     df = df.withColumn(m, F.transform(g, lambda x, i: F.shiftleft(F.shiftright(x, POSITION_BITS), POSITION_BITS).bitwiseOR(F.lit(mask) - i.cast("long"))))
+    # minima of 2, 4, 8 … neighbours, then of the window as two such runs; ``least`` passes over what is beyond the end
+    doubled = lambda name, by: F.transform(F.col(name), lambda x, i: F.least(x, F.get(F.col(name), i + F.lit(by))))
+    width, steps = 1, []
+    while width < window:
+        step = min(width, window - width)
+        steps.append(f"{m}_{len(steps)}")
+        df = df.withColumn(steps[-1], doubled(steps[-2] if len(steps) > 1 else m, step))
+        width += step
     windows = F.greatest(F.size(g) - (window - 1), F.least(F.size(g), F.lit(1)))
-    least = F.transform(F.sequence(F.lit(0), windows - 1), lambda i: F.least(*[F.coalesce(F.get(F.col(m), i + F.lit(k)), F.lit((1 << 63) - 1)) for k in range(window)]))
-    df = df.withColumn(f"_{name}_at", F.when(F.size(g) > 0, F.transform(F.array_distinct(least), lambda x: (F.lit(mask) - x.bitwiseAND(F.lit(mask))).cast("int"))))
-    positions = F.coalesce(F.col(f"_{name}_at"), F.array().cast("array<int>"))
+    least = F.slice(steps[-1] if steps else m, 1, windows)
+    df = df.withColumn(p, F.transform(F.array_distinct(least), lambda x: (F.lit(mask) - x.bitwiseAND(F.lit(mask))).cast("int")))
+    positions = F.coalesce(F.col(p), F.array().cast("array<int>"))
     hashes = F.transform(positions, lambda p: F.get(F.col(g), p))
-    return df.withColumn(name, F.struct(positions.alias("positions"), hashes.alias("hashes"))).drop(h, g, m, f"_{name}_at")
+    return df.withColumn(name, F.struct(positions.alias("positions"), hashes.alias("hashes"))).drop(h, g, m, p, *steps)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -103,9 +121,12 @@ def range_of(key: Column, bounds: list[str]) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda s: s["lo"])
 
 
-def with_next(rows: DataFrame, id_col: str, columns: list[str], order: list[str]) -> DataFrame:
+def with_next(rows: DataFrame, id_col: str, columns: list[str], order: list[str], made: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``rows`` with ``next_<column>`` of the next row by descending id; after the last row comes the first.
 
+    ``made`` adds columns to the rows, which may be among ``columns``: once a row, after the shuffle, so that they are
+    not shuffled.
+
     Rows are cut by rank into ranges of about ``RANGE_ROWS`` rows, more in tables of over 30 million rows, where
     ``MOST_RANGES`` ranges are made; the bounds are quantiles of a sample of the rows' places, so neither gaps between
     ids nor rows with the same or no id fill a range.  A range is one window.  Its last row is followed by the first
@@ -129,6 +150,8 @@ def with_next(rows: DataFrame, id_col: str, columns: list[str], order: list[str]
     first = tagged.join(F.broadcast(heads), "_range").where(F.col("_key") == F.col("_head"))
     copies = first.select(*rows.columns, "_key", F.col("_goes").alias("_range"), F.lit(1).alias("_copy"))
     both = tagged.withColumn("_copy", F.lit(0)).unionByName(copies)
+    if made:
+        both = made(both.repartition("_range").sortWithinPartitions("_range", "_copy", "_key"))
     inside = Window.partitionBy("_range").orderBy("_copy", "_key")
     both = both.withColumns({f"next_{c}": F.lead(c).over(inside) for c in columns})
     return both.where("_copy = 0").drop("_range", "_key", "_copy")
@@ -137,9 +160,7 @@ def with_next(rows: DataFrame, id_col: str, columns: list[str], order: list[str]
 def op10_winnowing(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness."""
     rows = documents(spark, sf_dir).select("doc_id", text_or_empty().alias("text"))
-    rows = with_next(rows, "doc_id", ["text"], ["text"])
-    # fingerprints are made again rather than carried: they are longer than the compressed texts
-    rows = with_fingerprint(with_fingerprint(rows, F.col("text"), "fp"), F.col("next_text"), "next_fp")
+    rows = with_next(rows, "doc_id", ["text", "fp"], ["text"], lambda both: with_fingerprint(both, F.col("text"), "fp"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
