@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ticklake.operators import series
+from ticklake.operators import asof, series
 from ticklake.operators.asof import asof_join, by_month, time_bucket
 
 START = dt.datetime(2024, 1, 1)
@@ -124,3 +124,62 @@ def test_asof_rejects_unknown_direction(spark):
     left, right, _, _ = frames(spark)
     with pytest.raises(ValueError):
         asof_join(left, right, ["k"], "d", "at", ["v"], "sideways")
+
+
+def pairs(ticks):
+    """Ticks with prices as the right side, at most one a key and time, and the others as the left."""
+    right = ticks.filter("event_id % 3 = 1").groupBy("kind", "ts").agg(F.max("price").alias("quote")).withColumn("at", F.col("ts"))
+    left = ticks.filter("event_id % 3 <> 1").withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    return left, right
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+@pytest.mark.parametrize("limit", [40, 700, 10**6])
+def test_spread_asof_equals_one_sort(ticks, direction, limit):
+    left, right = pairs(ticks)
+    args = (["kind"], "ts", "at", ["quote"], direction)
+    got, want = asof_join(left, right, *args, spread=limit), asof_join(left, right, *args)
+    assert got.count() == left.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    bucketed = asof_join(left, right, *args, bucket=time_bucket("hour"))
+    assert bucketed.exceptAll(want.select(*bucketed.columns)).count() == 0
+
+
+def test_nearest_equals_a_plain_search(ticks):
+    left, right = pairs(ticks)
+    quotes = {}
+    for r in right.collect():
+        quotes.setdefault(r["kind"], []).append((r["at"], r["quote"]))
+    for r in asof_join(left, right, ["kind"], "ts", "at", ["quote"], "nearest", tolerance_days=0.001).collect():
+        best = None
+        if r["ts"] is not None and r["kind"] is not None:
+            # of two at the same distance the earlier one
+            best = min(((abs((r["ts"] - at).total_seconds()), at, q) for at, q in quotes.get(r["kind"], [])), default=None)
+        assert r["quote"] == (best[2] if best and best[0] <= 86.4 else None)
+
+
+def test_spread_cuts_a_hot_key_into_even_tasks(ticks, monkeypatch):
+    """One key with two thirds of the rows, crowded in time: no task sorts much more than the limit."""
+    crowded = ticks.withColumn("ts", F.when(F.col("event_id") % 2 == 0, F.timestamp_seconds(F.lit(1_704_067_200) + F.col("event_id") / 1000)).otherwise(F.col("ts")))
+    left, right = pairs(crowded)
+    seen = {}
+    real = asof._spread
+    monkeypatch.setattr(asof, "_spread", lambda *a: seen.setdefault("rows", real(*a)))
+    asof.asof_join(left, right, ["kind"], "ts", "at", ["quote"], spread=500).count()
+    sizes = {tuple(r)[:2]: r["count"] for r in seen["rows"].groupBy("_k_kind", "_bucket").count().collect()}
+    hot = [n for (k, b), n in sizes.items() if k == "hot" and b >= 0]
+    assert len(hot) >= 8 and max(hot) <= 1500
+    assert max(n for (k, b), n in sizes.items() if b < 0) <= 10
+
+
+def test_spread_reads_the_left_side_once(ticks):
+    calls = ticks.sparkSession.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+
+    left, right = pairs(ticks)
+    left = left.select("event_id", "kind", "ts").mapInPandas(counted, "event_id bigint, kind string, ts timestamp")
+    assert asof_join(left, right, ["kind"], "ts", "at", ["quote"], spread=500).count() == calls.value

@@ -4,9 +4,11 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from ticklake.bridge import Market
+from ticklake.operators.asof import asof_join
 from ticklake.operators.indicators import features
 from ticklake.plans.registry import QUERIES
 
@@ -45,6 +47,20 @@ def test_adjusted_features_reuse_the_asof_partitioning(spark, sf):
     assert text.count("hashpartitioning(_k_symbol") == 1
 
 
+def test_nearest_is_one_exchange_on_the_key(spark, sf):
+    market = Market(spark, sf)
+    left = market.financials.select("symbol", "period_end_date", "eps")
+    right = market.closes.withColumn("at", F.col("trade_date"))
+    joined = asof_join(left, right, ["symbol"], "period_end_date", "at", ["close"], "nearest")
+    text = plan(joined)
+    assert text.count("hashpartitioning(_k_symbol") == 1 and tree(joined).count("Union") == 1
+
+
+def test_raw_and_adjusted_bars_are_built_once(spark, sf):
+    text = tree(entry_module.queries()["join20_raw_vs_adjusted"](spark, sf))
+    assert "Join" not in text.replace("BroadcastHashJoin", "") and text.count("lineitem") <= 2
+
+
 def test_slices_reach_the_scan(spark, sf):
     text = plan(entry_module.queries()["prj10_price_slice"](spark, sf))
     pushed = next(line for line in text.splitlines() if "PushedFilters" in line)

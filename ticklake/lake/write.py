@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import schemas
+from ticklake.lake import runs
 from ticklake.quality import outcome, rules
+from ticklake.session import fresh_path
 
 CODECS = ("snappy", "gzip", "zstd", "none")
 
@@ -54,24 +59,85 @@ class ValidationFailed(ValueError):
 
 def write_checked(
     df: DataFrame, path: str, partitions: list[str], checks: list[rules.Check], table: str, quarantine_path: str, audit_path: str,
-    stamp: str, fail: bool = False, keep_bad_rows: bool = False,
+    stamp: str, fail: bool = False, keep_bad_rows: bool = False, run_id: str | None = None,
 ) -> dict[str, int]:
     """Validate, quarantine, audit, then write the rows that pass; returns the totals.
 
+    Quarantine and audit of the run lie below ``run=<run_id>``, and its ledger row (below ``_runs`` of the audit) comes
+    last.  A run that is in the ledger is not repeated; one that broke off, or that ``fail`` stopped, replaces what it
+    wrote.  Without ``run_id`` every call is a run of its own.
+
     Totals are observed while the quarantine is written, so the table is read twice in all: once for
     the quarantine and once for the write.  ``keep_bad_rows`` also writes failing rows to the table.
     """
+    spark = df.sparkSession
+    run = runs.checked_id(run_id or uuid.uuid4().hex)
+    done = runs.committed(spark, ledger_path(audit_path), run)
+    if done:
+        return {c: done[c] for c in runs.TOTALS}
     flagged = rules.flag(df, checks)
+    totals = _set_aside(flagged, checks, table, quarantine_path, audit_path, stamp, run)
+    if fail and totals["failed_rows"]:
+        runs.commit(spark, ledger_path(audit_path), run, table, totals, "stopped", stamp)
+        raise ValidationFailed(f"{table}: {totals['failed_rows']} rows failed validation, see {quarantine_path}")
+    write_dataset(flagged.drop(rules.FLAGS) if keep_bad_rows else outcome.good_rows(flagged), path, partitions)
+    runs.commit(spark, ledger_path(audit_path), run, table, totals, "stored", stamp)
+    return totals
+
+
+def ledger_path(audit_path: str) -> str:
+    return f"{audit_path}/_runs"
+
+
+def _set_aside(flagged: DataFrame, checks: list[rules.Check], table: str, quarantine_path: str, audit_path: str, stamp: str, run: str, retry: Column | None = None) -> dict[str, int]:
+    """Write quarantine and audit of the run; returns the totals observed on the way."""
     seen = Observation()
     watched = flagged.observe(seen, *outcome.summary_columns())
-    outcome.quarantine_rows(watched, table, stamp).write.mode("append").parquet(quarantine_path)
+    outcome.quarantine_rows(watched, table, stamp, retry).write.mode("overwrite").parquet(f"{quarantine_path}/run={run}")
     totals = seen.get
     names = tuple(dict.fromkeys(c.rule for c in checks))
-    result = df.sparkSession.createDataFrame([totals], outcome.SUMMARY_SCHEMA)
-    outcome.audit_row(result, table, names, quarantine_path, stamp).write.mode("append").json(audit_path)
-    if fail and totals["failed_rows"]:
-        raise ValidationFailed(f"{table}: {totals['failed_rows']} rows failed validation, see {quarantine_path}")
-    write_dataset(flagged.drop(rules.FLAGS) if keep_bad_rows else outcome.good_rows(flagged), path, partitions)
+    result = flagged.sparkSession.createDataFrame([totals], outcome.SUMMARY_SCHEMA)
+    outcome.audit_row(result, table, names, quarantine_path, stamp).write.mode("overwrite").json(f"{audit_path}/run={run}")
+    return totals
+
+
+def replay_run(
+    spark: SparkSession, run_id: str, replay_id: str, fixes: DataFrame, key: str, path: str, partitions: list[str], checks: list[rules.Check], table: str,
+    quarantine_path: str, audit_path: str, stamp: str,
+) -> dict[str, int]:
+    """Correct the quarantined rows of a run, validate them again and bring those that pass into the table.
+
+    The replay is a run of its own, ``<run_id>~<replay_id>``: one that is in the ledger is not repeated.  Rows that fail
+    again are quarantined under it with a raised retry count, and it supersedes the quarantine of the run it replays.
+    Rows are put into the table by ``key`` (a stored row with that key is replaced), so a replay that broke off after
+    the table was written leaves no second copy.  Only partitions that corrected rows fall into are written.
+    """
+    run = runs.checked_id(f"{run_id}~{replay_id}")
+    book = ledger_path(audit_path)
+    done = runs.committed(spark, book, run)
+    if done:
+        return {c: done[c] for c in runs.TOTALS}
+    if runs.committed(spark, book, runs.checked_id(run_id)) is None:
+        raise ValueError(f"run {run_id} has not been committed")
+    stored = spark.read.parquet(path)
+    bad = spark.read.parquet(f"{quarantine_path}/run={run_id}")
+    again = outcome.replay(bad, fixes, key, stored.columns)
+    retry = F.col("retry_count")
+    flagged = rules.flag(again, checks)
+    totals = _set_aside(flagged, checks, table, quarantine_path, audit_path, stamp, run, retry)
+    accepted = outcome.good_rows(flagged).select(*stored.columns)
+    # staged first, as the table is read and written
+    staged = fresh_path(spark, "replay")
+    accepted.write.parquet(f"{staged}/accepted")
+    accepted = spark.read.schema(accepted.schema).parquet(f"{staged}/accepted")
+    if not accepted.isEmpty():
+        hit = accepted.select(*partitions).distinct()
+        same = [stored[p].eqNullSafe(hit[p]) for p in partitions]
+        kept = stored.join(hit, reduce(lambda a, b: a & b, same), "left_semi") if partitions else stored
+        merged = kept.join(accepted.select(key), key, "left_anti").select(*stored.columns).unionByName(accepted)
+        merged.write.parquet(f"{staged}/merged")
+        write_dataset(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, partitions)
+    runs.commit(spark, book, run, table, totals, "stored", stamp, replays=run_id)
     return totals
 
 
@@ -104,6 +170,11 @@ def prepare_for_serving(df: DataFrame, required: list[str], date_cols: tuple[str
     return out.withColumns({c: F.try_to_date(F.col(c), "yyyy-MM-dd") for c in date_cols if c in out.columns})
 
 
+def load_sample(loaded: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
+    """The first rows of a load in a stated order."""
+    return loaded.orderBy(*order).limit(rows)
+
+
 def verify_load(loaded: DataFrame, expected: DataFrame) -> DataFrame:
     """Actual and expected row counts in one row."""
     want = expected.agg(F.count("*")).scalar()

@@ -71,6 +71,16 @@ def trading_day_shift(calendar: DataFrame, n: int) -> DataFrame:
     return out.select("trade_date", "is_trading_day", F.when(near, F.col("shifted")).alias("shifted"))
 
 
+def with_trading_days(rows: DataFrame, date_col: str, calendar: DataFrame) -> DataFrame:
+    """Rows with the trading flag of their day and the trading days next to it, null beyond the calendar or the search
+    limit.  Only calendar days, bounded by their range, are broadcast."""
+    near = calendar.select("trade_date")
+    for n, name in ((1, "next_trading_day"), (-1, "previous_trading_day")):
+        near = near.join(trading_day_shift(calendar, n).select("trade_date", F.col("shifted").alias(name)), "trade_date")
+    flagged = with_trading_flag(rows, date_col, calendar)
+    return flagged.join(F.broadcast(near.withColumnRenamed("trade_date", "_day")), F.col(date_col) == F.col("_day"), "left").drop("_day")
+
+
 def alignment(rows: DataFrame, entity: str, calendar: DataFrame) -> DataFrame:
     """Per entity: rows on closed days (UNEXPECTED) and trading days without a row (MISSING).
 

@@ -26,27 +26,30 @@ def scd2_build(snapshots: DataFrame, key: str, as_of: str, attributes: list[str]
 
 
 def scd2_merge(history: DataFrame, batch: DataFrame, key: str, as_of: Column, attributes: list[str]) -> DataFrame:
-    """Apply one batch of current attribute values (unique per key) to a version history.
+    """Apply changes (unique per key and ``as_of``) to a version history, in whatever order they arrive.
 
-    Changed keys get their open version closed at ``as_of`` and a new one opened; unknown keys are
-    opened; keys missing from the batch stay as they are.
+    A change holds from ``as_of`` to the next change the history knows, so a late one splits the version that covers its
+    day, or comes before all versions; versions that then follow each other with equal attributes become one.  At
+    equal times the batch replaces the version that starts there.  Gaps between versions stay gaps, unless a change
+    falls into one.  A value that is only confirmed inside a version leaves no mark, so a late change into that version
+    holds to its end.  Keys missing from the batch stay as they are.  Days bound a key's versions.
     """
-    new = batch.select(key, *[F.col(a).alias(f"_n_{a}") for a in attributes], F.lit(True).alias("_in"))
-    open_rows = history.filter(F.col("valid_to").isNull())
-    closed = history.filter(F.col("valid_to").isNotNull())
-    same = F.lit(True)
-    for a in attributes:
-        same = same & F.col(a).eqNullSafe(F.col(f"_n_{a}"))
-    both = open_rows.withColumn("_had", F.lit(True)).join(new, key, "full")
-    changed = F.col("_in").isNotNull() & (F.col("_had").isNull() | ~same)
-    kept = both.filter("_had").select(
-        key, *attributes, "valid_from", F.when(changed, as_of).otherwise(F.col("valid_to")).alias("valid_to")
-    )
-    opened = both.filter(changed).select(
-        key, *[F.col(f"_n_{a}").alias(a) for a in attributes], as_of.alias("valid_from"),
-        F.lit(None).cast("date").alias("valid_to"),
-    )
-    out = closed.select(*kept.columns).unionByName(kept).unionByName(opened)
+    w = Window.partitionBy(key).orderBy("_from")
+    old = history.select(key, *attributes, F.col("valid_from").alias("_from"), "valid_to")
+    new = batch.select(key, *attributes, as_of.alias("_from"), F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"))
+    starts = old.withColumn("_rank", F.lit(1)).unionByName(new.withColumn("_rank", F.lit(0))).withColumn("_gap", F.lit(False))
+    # the end of a version that no other version follows at once
+    following = F.lead("_from").over(w)
+    ends = old.withColumn("_next", following).where("valid_to is not null and (_next is null or _next > valid_to)")
+    nothing = [F.lit(None).cast(history.schema[a].dataType).alias(a) for a in attributes]
+    gaps = ends.select(key, *nothing, F.col("valid_to").alias("_from"), F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"), F.lit(2).alias("_rank"), F.lit(True).alias("_gap"))
+    events = starts.unionByName(gaps).drop("valid_to")
+    # of what begins at one time, the batch counts, then the history, then an end
+    events = events.withColumn("_twin", F.lag("_from").over(Window.partitionBy(key).orderBy("_from", "_rank")))
+    events = events.where("_twin is null or _twin <> _from")
+    digest = F.xxhash64("_gap", *[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attributes])
+    changed = events.withColumn("_h", digest).withColumn("_p", F.lag("_h").over(w)).where("_p is null or _p <> _h")
+    out = changed.select(key, *attributes, F.col("_from").alias("valid_from"), F.lead("_from").over(w).alias("valid_to"), "_gap").where("not _gap").drop("_gap")
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 

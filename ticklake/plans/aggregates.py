@@ -219,6 +219,32 @@ def _(m):
     return moments.join(middle, "ym", "left").withColumn("median", r4("median"))
 
 
+def deal_shares_sql(by: str) -> str:
+    return with_sql("deals", body=f"""SELECT {by}, count(*) AS n, {isum("quantity")} AS quantity, {sql2("sum(value)")} AS total, {sql4("avg(value)")} AS mean, {sql4("min(value)")} AS smallest, {sql4("max(value)")} AS largest,
+ {sql4("median(value)")} AS median, {sql4("sum(value) * 100.0 / sum(sum(value)) OVER ()")} AS share_pct FROM deals GROUP BY 1""")
+
+
+def deal_shares(m, by):
+    """Deals per symbol or client: sizes, exact median and the share of all value."""
+    per = m.deals.groupBy(by).agg(
+        F.count("*").alias("n"), F.sum("quantity").alias("quantity"), F.sum("value").alias("_sum"), r4(F.avg("value")).alias("mean"),
+        r4(F.min("value")).alias("smallest"), r4(F.max("value")).alias("largest"),
+    )
+    middle = stats.exact_median(m.deals, [by], "value").withColumnRenamed(by, "_by")
+    rows = per.join(middle, F.col(by).eqNullSafe(F.col("_by")), "left")
+    return stats.with_share(rows, "_sum", "share_pct").select(by, "n", "quantity", r2("_sum").alias("total"), "mean", "smallest", "largest", r4("median").alias("median"), r4("share_pct").alias("share_pct"))
+
+
+@query("agg08_deals_by_symbol", deal_shares_sql("symbol"))
+def _(m):
+    return deal_shares(m, "symbol")
+
+
+@query("agg08_deals_by_client", deal_shares_sql("client_name"))
+def _(m):
+    return deal_shares(m, "client_name")
+
+
 @query(
     "agg09_backfill_tallies",
     with_sql("deals", body=f"""SELECT coalesce(CAST(year(deal_date) AS VARCHAR), 'TOTAL') AS yr, {icount_if("deal_type = 'BULK'")} AS bulk, {icount_if("deal_type = 'BLOCK'")} AS block,
@@ -424,11 +450,21 @@ def _(m):
     )
 
 
-@query("agg25_quartiles")
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+@query(
+    "agg25_quartiles",
+    with_sql("deals", body=f"""SELECT deal_type, CAST(year(deal_date) AS INTEGER) AS y, count(*) AS n, {', '.join(f"{sql4(f'quantile_cont(value, {p})')} AS q{i + 1}" for i, p in enumerate(QUARTILES))}
+ FROM (SELECT deal_type, deal_date, CASE WHEN deal_type = 'BLOCK' AND year(deal_date) = 1995 THEN NULL ELSE value END AS value FROM deals) GROUP BY 1, 2"""),
+)
 def _(m):
-    """Quartile sketch per metric and period, the part of drift SQL engines sketch differently."""
-    out = stats.profile(m.deals.withColumn("y", F.year("deal_date")), ["deal_type", "y"], "value")
-    return out.select("deal_type", "y", "n", *[r2(F.col("q")[i]).alias(f"q{i + 1}") for i in range(3)])
+    """Exact quartiles per metric and period; one period has no values at all."""
+    rows = m.deals.withColumn("y", F.year("deal_date"))
+    rows = rows.withColumn("value", F.when(~((F.col("deal_type") == "BLOCK") & (F.col("y") == 1995)), F.col("value")))
+    sizes = rows.groupBy("deal_type", "y").agg(F.count("*").alias("n"))
+    found = stats.exact_quantiles(rows, ["deal_type", "y"], "value", list(QUARTILES))
+    return sizes.join(found, ["deal_type", "y"]).select("deal_type", "y", "n", *[r4(F.col("quantiles")[i]).alias(f"q{i + 1}") for i in range(3)])
 
 
 @query(

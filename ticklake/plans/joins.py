@@ -8,8 +8,8 @@ from ticklake.functions.finance import pe_ratio
 from ticklake.functions.rounding import r2, r4, sql2, sql4
 from ticklake.operators import versions
 from ticklake.operators.adjust import adjust_prices, cumulative_factors
-from ticklake.operators.asof import asof_join, by_month, time_bucket
-from ticklake.operators.calendar import alignment, build_calendar, with_trading_flag
+from ticklake.operators.asof import SPREAD_ROWS, asof_join, by_month
+from ticklake.operators.calendar import alignment, build_calendar, with_trading_days
 from ticklake.operators.dedupe import prefer_first_source
 from ticklake.plans.registry import query
 from ticklake.sources.instruments import enrich_instruments, unique_instruments
@@ -106,7 +106,7 @@ def _(m):
     bars = m.closes.select("symbol", "trade_date", F.col("trade_date").alias("quote_date"), F.col("close").alias("quote"))
     out = asof_join(
         m.deals.select("deal_no", "deal_line", "symbol", "deal_date", "value"), bars, ["symbol"], "deal_date",
-        "trade_date", ["quote_date", "quote"], allow_exact=False, tolerance_days=5, collapse=True,
+        "trade_date", ["quote_date", "quote"], allow_exact=False, tolerance_days=5, spread=SPREAD_ROWS,
     )
     return out.withColumn("quote", r4("quote"))
 
@@ -120,9 +120,8 @@ def _(m):
 def _(m):
     clicks = m.ticks.filter("kind = 'click'").select("entity", F.col("ts").alias("at"), F.col("price").alias("last_click"))
     others = m.ticks.filter("kind <> 'click'").select("event_id", "entity", "ts")
-    out = asof_join(others, clicks, ["entity"], "ts", "at", ["last_click"],
-        bucket=time_bucket("day"),
-    )
+    # a limit this low cuts the busy users of the smallest tables as well
+    out = asof_join(others, clicks, ["entity"], "ts", "at", ["last_click"], spread=100)
     return out.select("event_id", "entity", r4("last_click").alias("last_click"))
 
 
@@ -243,6 +242,27 @@ def _(m):
     return versions.scd2_merge(history, batch, "symbol", F.lit("2002-01-01").cast("date"), ["status"])
 
 
+@query(
+    "join12_scd2_late_merge",
+    with_sql("master_changes", body="""
+ , ev AS (SELECT symbol, as_of, status, row_number() OVER (PARTITION BY symbol ORDER BY as_of) AS k FROM (SELECT *, lag(status) OVER (PARTITION BY symbol ORDER BY as_of) AS p FROM master_changes) WHERE p IS NULL OR p <> status),
+ h AS (SELECT symbol, status, as_of FROM (SELECT *, lag(status) OVER (PARTITION BY symbol ORDER BY as_of) AS p FROM ev WHERE k % 3 <> 2) WHERE p IS NULL OR p <> status),
+ late AS (SELECT symbol, status, as_of FROM ev WHERE k % 3 = 2 UNION ALL SELECT symbol, 'X' AS status, min(as_of) - 30 FROM ev GROUP BY 1),
+ a AS (SELECT *, lag(status) OVER (PARTITION BY symbol ORDER BY as_of) AS p FROM (SELECT * FROM h UNION ALL SELECT * FROM late)),
+ v AS (SELECT symbol, status, as_of AS valid_from, lead(as_of) OVER (PARTITION BY symbol ORDER BY as_of) AS valid_to FROM a WHERE p IS NULL OR p <> status)
+ SELECT *, valid_to IS NULL AS is_current FROM v"""),
+)
+def _(m):
+    """Every third change of a symbol, and one before its first, arrive after all others: the history equals a rebuild."""
+    w = Window.partitionBy("symbol").orderBy("as_of")
+    before = F.lag("status").over(w)
+    changes = m.master_changes.withColumn("p", before).filter("p IS NULL OR p <> status").withColumn("k", F.row_number().over(w)).drop("p")
+    first = changes.groupBy("symbol").agg(F.date_sub(F.min("as_of"), 30).alias("as_of")).withColumn("status", F.lit("X"))
+    history = versions.scd2_build(changes.filter("k % 3 <> 2"), "symbol", "as_of", ["status"])
+    late = changes.filter("k % 3 = 2").select("symbol", "as_of", "status").unionByName(first)
+    return versions.scd2_merge(history, late, "symbol", F.col("as_of"), ["status"])
+
+
 @query(
     "join13_yoy",
     with_sql("financials", body=f"""SELECT c.symbol, c.period_end_date AS current_period, c.revenue AS current_revenue, p.revenue AS previous_revenue,
@@ -378,10 +398,10 @@ def _(m):
  FROM ohlc o JOIN adj USING (symbol, trade_date)"""),
 )
 def _(m):
-    adjusted = adjust_prices(m.closes, cumulative_factors(m.ca)).select("symbol", "trade_date", F.col("close").alias("adj_close"))
-    return m.closes.join(adjusted, ["symbol", "trade_date"]).select(
-        "symbol", "trade_date", r4("close").alias("raw_close"), r4("adj_close").alias("adj_close"),
-        r4(F.col("close") / F.col("adj_close")).alias("ratio"),
+    # the raw close travels beside the one that is adjusted
+    adjusted = adjust_prices(m.closes.withColumn("raw_close", F.col("close")), cumulative_factors(m.ca))
+    return adjusted.select(
+        "symbol", "trade_date", r4("raw_close").alias("raw_close"), r4("close").alias("adj_close"), r4(F.col("raw_close") / F.col("close")).alias("ratio")
     )
 
 
@@ -398,13 +418,14 @@ def _(m):
 
 @query(
     "join22_missing_dates",
-    with_sql("calendar", "deals", body="""SELECT trade_date, 'Missing deals data' AS status FROM calendar c WHERE is_trading_day
- AND NOT EXISTS (SELECT 1 FROM deals d WHERE d.deal_date = c.trade_date  AND d.deal_type = 'BULK')"""),
+    with_sql("calendar", "deals", body="""SELECT trade_date, t.deal_type, 'Missing deals data' AS status FROM calendar c, (VALUES ('BULK'), ('BLOCK')) t(deal_type) WHERE is_trading_day
+ AND NOT EXISTS (SELECT 1 FROM deals d WHERE d.deal_date = c.trade_date AND d.deal_type = t.deal_type)"""),
 )
 def _(m):
-    days = calendar_of(m).filter("is_trading_day").select("trade_date")
-    have = m.deals.filter("deal_type = 'BULK'").select(F.col("deal_date").alias("trade_date")).distinct()
-    return days.join(have, "trade_date", "left_anti").withColumn("status", F.lit("Missing deals data"))
+    """Per deal type the trading days without deals."""
+    days = calendar_of(m).filter("is_trading_day").select("trade_date", F.explode(F.array(F.lit("BULK"), F.lit("BLOCK"))).alias("deal_type"))
+    have = m.deals.select(F.col("deal_date").alias("trade_date"), "deal_type").distinct()
+    return days.join(have, ["trade_date", "deal_type"], "left_anti").withColumn("status", F.lit("Missing deals data"))
 
 
 @query(
@@ -432,12 +453,14 @@ def _(m):
 
 @query(
     "join25_calendar_alignment",
-    with_sql("ohlc", "calendar", body="""SELECT symbol, o.trade_date, coalesce(is_trading_day, isodow(o.trade_date) < 6) AS is_trading_day FROM ohlc o
- LEFT JOIN calendar c ON o.trade_date = c.trade_date"""),
+    with_sql("ohlc", "calendar", body="""SELECT symbol, o.trade_date, coalesce(is_trading_day, isodow(o.trade_date) < 6) AS is_trading_day,
+ (SELECT min(t.trade_date) FROM calendar t WHERE t.is_trading_day AND t.trade_date > o.trade_date AND t.trade_date - o.trade_date <= 60) AS next_trading_day,
+ (SELECT max(t.trade_date) FROM calendar t WHERE t.is_trading_day AND t.trade_date < o.trade_date AND o.trade_date - t.trade_date <= 60) AS previous_trading_day
+ FROM ohlc o LEFT JOIN calendar c ON o.trade_date = c.trade_date"""),
 )
 def _(m):
     bars = m.trades.select("symbol", "trade_date").distinct()
-    return with_trading_flag(bars, "trade_date", calendar_of(m)).select("symbol", "trade_date", "is_trading_day")
+    return with_trading_days(bars, "trade_date", calendar_of(m)).select("symbol", "trade_date", "is_trading_day", "next_trading_day", "previous_trading_day")
 
 
 @query(

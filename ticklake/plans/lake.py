@@ -1,11 +1,13 @@
 """SNK: writes, idempotency, compaction, retention and backfill, checked on what was stored."""
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from ticklake import schemas
 from ticklake.bridge import with_sql
 from ticklake.functions.rounding import r4, sql4
-from ticklake.lake import files, manifest
+from ticklake.lake import files, manifest, runs
 from ticklake.lake import write as lw
 from ticklake.operators.indicators import features
 from ticklake.plans.quality import QUARANTINE_RULES, SETTINGS, STAMP, rule_sql
@@ -36,12 +38,15 @@ def _(m):
     with_sql("dirty", body=f"SELECT CASE WHEN b.event_id IS NULL THEN 'stored' ELSE 'quarantined' END AS place, count(*) AS n FROM dirty d LEFT JOIN (SELECT DISTINCT event_id FROM ({rule_sql(QUARANTINE_RULES)})) b ON d.event_id = b.event_id GROUP BY 1"),
 )
 def _(m):
+    """The run is repeated: nothing is doubled."""
     base = fresh_path(m.spark, "checked")
     rows = m.dirty.withColumn("year", F.year("trade_date"))
     checks = rules.checks_for(m.dirty, SETTINGS, QUARANTINE_RULES)
-    lw.write_checked(rows, f"{base}/data", ["year"], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP)
+    for _ in range(2):
+        lw.write_checked(rows, f"{base}/data", ["year"], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP, run_id="day-1")
     stored = read_lake(m.spark, f"{base}/data").select(F.lit("stored").alias("place"))
-    bad = read_lake(m.spark, f"{base}/quarantine").select(F.lit("quarantined").alias("place"))
+    book = runs.ledger(m.spark, lw.ledger_path(f"{base}/audit"))
+    bad = runs.visible(read_lake(m.spark, f"{base}/quarantine"), book).select(F.lit("quarantined").alias("place"))
     return stored.unionByName(bad).groupBy("place").agg(F.count("*").alias("n"))
 
 
@@ -60,6 +65,30 @@ def _(m):
     return read_lake(m.spark, path).groupBy("deal_type", "year", "month").agg(F.count("*").alias("n"))
 
 
+@query("snk04_actions_layout", with_sql("ca", body="SELECT CAST(year(ex_date) AS INTEGER) AS year, action_type, count(*) AS n FROM ca GROUP BY 1, 2"))
+def _(m):
+    path = fresh_path(m.spark, "actions")
+    lw.write_table(m.ca, path, "corporate_actions", sort_by=("symbol",))
+    return read_lake(m.spark, path).groupBy("year", "action_type").agg(F.count("*").alias("n"))
+
+
+@query("snk04_constituent_layout", with_sql("constituents", body="SELECT index_name, CAST(year(effective_date) AS INTEGER) AS year, CAST(month(effective_date) AS INTEGER) AS month, CAST(day(effective_date) AS INTEGER) AS day, count(*) AS n FROM constituents GROUP BY ALL"))
+def _(m):
+    path = fresh_path(m.spark, "constituents")
+    lw.write_table(m.constituents, path, "index_constituent", sort_by=("symbol",))
+    return read_lake(m.spark, path).groupBy("index_name", "year", "month", "day").agg(F.count("*").alias("n"))
+
+
+@query("snk04_chain_layout", "SELECT DATE '2024-01-01' + CAST(p_partkey % 5 AS INTEGER) AS date, p_brand AS symbol, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS strikes FROM part GROUP BY 1, 2")
+def _(m):
+    """One folder per day and underlying."""
+    path = fresh_path(m.spark, "chain")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 5).cast("int"))
+    rows = m.table("part").select(day.alias("date"), F.col("p_brand").alias("symbol"), F.col("p_size").cast("bigint").alias("strike"))
+    lw.write_table(rows, path, "option_chain", sort_by=("strike",))
+    return read_lake(m.spark, path).groupBy("date", "symbol").agg(F.count("*").alias("n"), F.sum("strike").alias("strikes"))
+
+
 @query("snk04_shareholding_layout", with_sql("shareholding", body="SELECT symbol, year, quarter, promoter FROM shareholding"))
 def _(m):
     path = fresh_path(m.spark, "shareholding")
@@ -163,6 +192,14 @@ def _(m):
     return read_lake(m.spark, path).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+@query("snk12_load_sample", with_sql("ohlc", body=f'SELECT symbol AS "TckrSymb", trade_date AS "TradDt", {sql4("close")} AS "ClsPric" FROM ohlc ORDER BY symbol, trade_date LIMIT 5'))
+def _(m):
+    """The five first rows of a load, for a look at what arrived."""
+    path = fresh_path(m.spark, "serving")
+    lw.write_dataset(serving_rows(m), path, [])
+    return lw.load_sample(read_lake(m.spark, path), ["TckrSymb", "TradDt"]).select("TckrSymb", "TradDt", "ClsPric")
+
+
 @query("snk12_verify_load", with_sql("ohlc", body="SELECT count(*) AS actual, count(*) AS expected, true AS complete FROM ohlc"))
 def _(m):
     path = fresh_path(m.spark, "serving")
@@ -194,11 +231,16 @@ def _(m):
     with_sql("dirty", body=f"""SELECT (SELECT count(DISTINCT event_id) FROM ({rule_sql(QUARANTINE_RULES)})) AS quarantined, count(*) AS audited_total, (SELECT count(DISTINCT event_id) FROM ({rule_sql(QUARANTINE_RULES)})) AS audited_failed FROM dirty"""),
 )
 def _(m):
+    """A run that fails is stopped and tried again: one audit row, one copy of each quarantined row."""
     base = fresh_path(m.spark, "checked")
     checks = rules.checks_for(m.dirty, SETTINGS, QUARANTINE_RULES)
-    lw.write_checked(m.dirty, f"{base}/data", [], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP)
-    bad = read_lake(m.spark, f"{base}/quarantine").agg(F.count("*")).scalar()
-    audit = m.spark.read.json(f"{base}/audit")
+    args = (m.dirty, f"{base}/data", [], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP)
+    with contextlib.suppress(lw.ValidationFailed):
+        lw.write_checked(*args, fail=True, run_id="day-1")
+    lw.write_checked(*args, run_id="day-1")
+    book = runs.ledger(m.spark, lw.ledger_path(f"{base}/audit"))
+    bad = runs.visible(read_lake(m.spark, f"{base}/quarantine"), book).agg(F.count("*")).scalar()
+    audit = runs.visible(m.spark.read.json(f"{base}/audit"), book)
     return audit.select(bad.alias("quarantined"), F.col("total_rows").alias("audited_total"), F.col("failed_rows").alias("audited_failed"))
 
 

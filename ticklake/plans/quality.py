@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ticklake import schemas
 from ticklake.bridge import with_sql
 from ticklake.functions.rounding import r4, sql4
+from ticklake.lake import runs
+from ticklake.lake import write as lw
 from ticklake.operators.dedupe import duplicate_keys
 from ticklake.operators.versions import scd2_build
 from ticklake.plans.joins import calendar_of
@@ -305,18 +307,27 @@ def _(m):
 
 @query(
     "dq31_quarantine_replay",
-    with_sql("dirty", body="""SELECT CASE WHEN fixed THEN 'accepted' ELSE 'quarantined' END AS state, CAST(1 AS INTEGER) AS retry_count, count(*) AS n FROM
- (SELECT CAST(substr(symbol, 2) AS BIGINT) % 2 = 0 AS fixed FROM dirty WHERE volume < 0) GROUP BY ALL"""),
+    with_sql("dirty", body="""SELECT CASE WHEN fine THEN 'accepted' ELSE 'quarantined' END AS state, CASE WHEN fine THEN 0 ELSE 1 END AS retry_count, count(*) AS n,
+ CAST(sum(CASE WHEN volume < 0 AND fine THEN 5 ELSE volume END) AS BIGINT) AS volume
+ FROM (SELECT volume, volume IS NULL OR volume >= 0 OR coalesce(TRY_CAST(substr(symbol, 2) AS BIGINT) % 2 = 0, false) AS fine FROM dirty) GROUP BY fine"""),
 )
 def _(m):
-    """Negative volumes are quarantined, half of them corrected, and all of them validated again."""
-    names = ("negative_volume",)
-    bad = outcome.quarantine_rows(flagged(m, names), "normalized_equity_ohlc", STAMP)
+    """Negative volumes are quarantined, half of them corrected, and all of them validated again; run and replay are
+    both repeated, which changes nothing."""
+    base = fresh_path(m.spark, "replayed")
+    rows = m.dirty.withColumn("year", F.year("trade_date"))
+    checks = rules.checks_for(m.dirty, SETTINGS, ("negative_volume",))
+    table, places = "normalized_equity_ohlc", (f"{base}/quarantine", f"{base}/audit")
+    for _ in range(2):
+        lw.write_checked(rows, f"{base}/data", ["year"], checks, table, *places, STAMP, run_id="day-1")
+    bad = m.spark.read.parquet(f"{places[0]}/run=day-1")
     fixes = bad.filter(F.substring("entity_id", 2, 20).rlike("^[0-9]*[02468]:")).select("event_id", F.lit(5).cast("bigint").alias("volume"))
-    again = outcome.replay(bad, fixes, "event_id", m.dirty.columns)
-    verdict = rules.flag(again, rules.checks_for(m.dirty, SETTINGS, names))
-    state = F.when(F.size(rules.FLAGS) == 0, "accepted").otherwise("quarantined")
-    return verdict.groupBy(state.alias("state"), "retry_count").agg(F.count("*").alias("n"))
+    for _ in range(2):
+        lw.replay_run(m.spark, "day-1", "fix-1", fixes, "event_id", f"{base}/data", ["year"], checks, table, *places, STAMP)
+    stored = m.spark.read.parquet(f"{base}/data").select(F.lit("accepted").alias("state"), F.lit(0).alias("retry_count"), "volume")
+    left = runs.still_open(m.spark.read.parquet(places[0]), runs.ledger(m.spark, lw.ledger_path(places[1])))
+    both = stored.unionByName(left.select(F.lit("quarantined").alias("state"), "retry_count", "volume"))
+    return both.groupBy("state", "retry_count").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 
 
 # --- reports over an audit log with one entry per day and deal type, some lines malformed

@@ -65,7 +65,7 @@ def _(m):
 
 GAPS = f""", g AS (SELECT symbol, trade_date, CASE WHEN (dayofyear(trade_date) + suppkey) % 7 <> 0 THEN close END AS close FROM ohlc),
  v AS (SELECT symbol, trade_date, close, count(close) {W}) AS k FROM g), f AS (SELECT symbol, k, trade_date, close FROM v WHERE close IS NOT NULL),
- e AS (SELECT symbol, k, {ema_fold_sql("close", 12, "f")} AS e FROM f)"""
+ e AS (SELECT symbol, k, {ema_fold_sql("close", 12, "f", look=260)} AS e FROM f)"""
 
 
 @query("win03_ema_with_gaps", with_sql("ohlc", body=f"{GAPS} SELECT v.symbol, v.trade_date, {sql4('e')} AS ema_12 FROM v LEFT JOIN e ON v.symbol = e.symbol AND v.k = e.k"))

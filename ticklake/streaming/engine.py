@@ -7,7 +7,8 @@ repeat output.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +41,41 @@ def from_topic(messages: DataFrame, payload: str) -> DataFrame:
     )
 
 
-def run_to_folder(df: DataFrame, base: str, mode: str = "append") -> StreamingQuery:
-    """Process what is available into Parquet below ``base`` and stop."""
-    query = (
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for queries started inside; a started query keeps its own copy."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def run_to_folder(df: DataFrame, base: str, mode: str = "append", keyed_state: bool = False, policy: str | None = None) -> StreamingQuery:
+    """Process what is available into Parquet below ``base`` and stop.
+
+    ``keyed_state`` runs on the RocksDB state store, which operators with state of their own need, and without batches
+    that have no rows: state that expires by the clock would ask for one after the other and the run would not end.
+    ``policy`` names the one of several watermarks that moves the query on, ``min`` or ``max``.
+    """
+    writer = (
         df.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start()
+        .trigger(availableNow=True)
     )
+    with contextlib.ExitStack() as held:
+        if keyed_state:
+            held.enter_context(setting(df.sparkSession, "spark.sql.streaming.stateStore.providerClass", ROCKSDB))
+            held.enter_context(setting(df.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled", "false"))
+        if policy:
+            held.enter_context(setting(df.sparkSession, "spark.sql.streaming.multipleWatermarkPolicy", policy))
+        query = writer.start()
     return _finished(query)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.operators.asof import time_bucket
 from ticklake.operators.series import ema_long, lag_long
 from ticklake.quality import outcome, rules
-from ticklake.session import path_exists
+from ticklake.streaming.state import Buckets
 
 
 def dedupe(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
@@ -23,10 +23,10 @@ def _candle_columns(order: list[str]) -> list[Column]:
     ]
 
 
-def tumbling_candles(df: DataFrame, ts: str, width: str, delay: str, by: list[str], slide: str | None = None) -> DataFrame:
-    """Candles per window, emitted once when the watermark passes the window."""
+def tumbling_candles(df: DataFrame, ts: str, width: str, delay: str | None, by: list[str], slide: str | None = None) -> DataFrame:
+    """Candles per window, emitted once when the watermark passes the window; without ``delay`` the stream has its own."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)
-    out = df.withWatermark(ts, delay).groupBy(w.alias("w"), *by).agg(*_candle_columns([ts, "event_id"]))
+    out = (df.withWatermark(ts, delay) if delay else df).groupBy(w.alias("w"), *by).agg(*_candle_columns([ts, "event_id"]))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "open", "high", "low", "close", "n")
 
 
@@ -77,43 +77,24 @@ def split_step(checks_of, good_path: str, bad_path: str, table: str, stamp: str)
     return step
 
 
-def _state_before(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """Newest state version older than this batch; a repeated batch sees what it saw before."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    found = spark.read.schema(f"{schema}, version bigint").parquet(path).filter(F.col("version") < batch_id)
-    newest = found.agg(F.max("version")).scalar()
-    return found.filter(F.col("version") == newest).drop("version")
-
-
-def latest_step(keys: list[str], version: str, path: str, schema: str):
-    """Micro-batch step that keeps the newest row per key, one state version per batch."""
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        from ticklake.operators.topk import latest
-
-        known = _state_before(batch.sparkSession, path, batch_id, schema)
-        merged = latest(known.unionByName(batch.select(*known.columns)), keys, version)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-
-    return step
-
-
 MOMENTUM_STATE = "entity string, last_ts timestamp, last_id bigint, last_price double, ema double, gain double, loss double"
 
 
-def momentum_step(out_path: str, state_path: str, late_path: str, span: int = 12, n: int = 14, unit: str = "hour"):
-    """Micro-batch step for exponential means and relative strength per entity.
+def momentum_step(out_path: str, state_path: str, late_path: str, span: int = 12, n: int = 14, unit: str = "hour", buckets: int = 64):
+    """Micro-batch step for exponential means and relative strength where one entity may have most rows of a batch.
 
-    State is the last price and means per entity, one version per batch.  A batch continues from the version
-    before it.  Rows are ordered by (``ts``, ``event_id``); those that do not come after an entity's last row go to
-    ``late_path``.  The recursion inside the batch is the block-wise one, numbered by ``unit`` of time, so an entity
-    with most of the rows is not one task.
+    ``state.momentum`` does the same in the state store and works on an entity's rows of a batch together; here the
+    recursion inside the batch is the block-wise one, numbered by ``unit`` of time, so such an entity is not one task.
+    State is the last price and means per entity, in buckets of which a batch rewrites those it touches.  A batch
+    continues from the commit before it.  Rows are ordered by (``ts``, ``event_id``); those that do not come after an
+    entity's last row go to ``late_path``.
     """
+    state = Buckets(state_path, ["entity"], MOMENTUM_STATE, buckets)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _state_before(spark, state_path, batch_id, MOMENTUM_STATE)
+        hit = state.touched(batch)
+        known = state.before(spark, batch_id, hit)
         both = batch.join(known, "entity", "left")
         after = F.col("last_ts").isNull() | (F.col("ts") > F.col("last_ts")) | ((F.col("ts") == F.col("last_ts")) & (F.col("event_id") > F.col("last_id")))
         both.filter(~F.coalesce(after, F.lit(False))).select(*batch.columns).write.mode("overwrite").parquet(f"{late_path}/batch={batch_id}")
@@ -137,21 +118,7 @@ def momentum_step(out_path: str, state_path: str, late_path: str, span: int = 12
         newest = done.groupBy("entity").agg(F.max_by(F.struct("ts", "event_id", "price", "ema", "gain", "loss"), F.struct("ts", "event_id")).alias("s"))
         touched = newest.select("entity", F.col("s.ts").alias("last_ts"), F.col("s.event_id").alias("last_id"), F.col("s.price").alias("last_price"), "s.ema", "s.gain", "s.loss")
         kept = known.join(touched.select("entity"), "entity", "left_anti")
-        kept.unionByName(touched).write.mode("overwrite").parquet(f"{state_path}/version={batch_id}")
-
-    return step
-
-
-def monitor_step(path: str, as_of: str):
-    """Micro-batch step that stores duplicate ids and freshness of the batch as one row."""
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        per_id = batch.groupBy("event_id").agg(F.count("*").alias("n"), F.max("ts").alias("ts"))
-        hours = (F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds(F.max("ts"))) / 3600
-        row = per_id.agg(
-            F.sum("n").alias("events"), F.count_if(F.col("n") > 1).alias("duplicated_ids"), hours.alias("freshness_hours"),
-        )
-        row.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        state.commit(spark, batch_id, kept.unionByName(touched), hit)
 
     return step
 
