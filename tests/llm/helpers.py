@@ -16,7 +16,7 @@ SCHEMA = T.StructType(
 #: names that the operators use themselves
 CLASHING = (
     "kept keep_id group_size hash n id node component digest bytes sha start length ids rank slot spans s f x value score label features "
-    "covered lines d t fingerprint positions hashes next_text _id topic tokens factor probability copies sequence_id offset"
+    "covered lines d t fingerprint positions hashes next_text _id topic tokens factor probability copies sequence_id offset a.b _toxicity kept_key text_key"
 ).split()
 
 

@@ -35,3 +35,11 @@ def test_dropping_keeps_all_columns(spark):
     left = drop_exact_copies(docs)
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 2, 7, 8, 9, 9, 11]
+
+
+def test_an_id_with_two_texts_loses_the_copy_only(spark):
+    docs = frame(spark, [(3, "aaa"), (5, "AAA"), (5, "bbb"), (None, "aaa"), (None, "ccc"), (None, None), (9, ""), (9, "")], CLASHING)
+    left = drop_exact_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left.collect()) == [("3", "aaa"), ("5", "bbb"), ("9", ""), ("9", ""), ("None", "ccc")]
+    assert drop_exact_copies(docs.limit(0)).collect() == []

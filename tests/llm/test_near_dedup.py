@@ -96,3 +96,14 @@ def test_shingles_are_position_sensitive():
     a, b = shingle_hashes([b"a", b"b", b"c", b"d", b"e"], 5), shingle_hashes([b"b", b"a", b"c", b"d", b"e"], 5)
     assert len(a) == len(b) == 1 and a[0] != b[0]
     assert shingle_hashes([], 5).dtype == np.int64 and len(shingle_hashes([b"a", b"b"], 5)) == 1
+
+
+def test_an_id_with_two_texts_loses_the_near_copy_only(spark):
+    base = " ".join(f"w{k}" for k in range(200))
+    near = base.replace("w100 ", "x ")
+    docs = frame(spark, [(3, base), (5, near), (5, "another text of more than five words"), (5, None), (None, base), (7, near), (7, near)], CLASHING)
+    left = drop_near_copies(docs)
+    assert left.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in left.collect())
+    assert got == sorted([("3", base), ("5", "another text of more than five words"), ("5", "None"), ("None", base)])
+    assert drop_near_copies(docs.limit(0)).collect() == []

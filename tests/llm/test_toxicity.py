@@ -2,7 +2,7 @@ import math
 import zlib
 
 from helpers import CLASHING, frame
-from ticklake.llm.toxicity import drop_toxic, fit, op1_toxicity, scored, swaps, text_features, training_rows
+from ticklake.llm.toxicity import counterfactual, drop_toxic, fit, op1_toxicity, score_gap, scored, swaps, text_features, training_rows
 
 
 def labels(spark, rows):
@@ -44,6 +44,38 @@ def test_penalty_evens_out_group_terms(spark):
     assert held.score("the women were present") < 0.5 < held.score("the men were called scum idiots")
 
 
+def test_pairs_act_on_the_given_tables(spark):
+    """The invented prose names no group, so each labelled text gets a pair; the penalty narrows their gap."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    examples = training_rows(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = [r["text"] for r in examples.collect()]
+    # terms that also occur in the tables, among them words that toxic texts hold more often than others
+    seen = {}
+    for r in examples.collect():
+        for w in text_features(r["text"]):
+            if not w.startswith("^"):
+                seen.setdefault(w, [0, 0])[r["label"]] += 1
+    often = [w for w in sorted(seen, key=lambda w: (seen[w][0] * 0.2 - seen[w][1], w)) if sum(seen[w]) >= 5]
+    axes = (*[(a, b) for a, b in zip(often[:20], often[-20:], strict=True)],)
+    free, held = fit(examples, penalty=0.0, axes=axes), fit(examples, penalty=200.0, axes=axes)
+    assert free.pairs == held.pairs > 0.9 * len(texts)
+    assert score_gap(free, texts, axes) > 0.1 and score_gap(held, texts, axes) < 0.5 * score_gap(free, texts, axes)
+    plain = fit(examples)
+    assert plain.pairs > 0.9 * len(texts)
+
+
+def test_a_pair_is_made_where_no_group_is_named():
+    axes = (("men", "women"),)
+    swap = swaps(axes)
+    mine, other = counterfactual("... \nOne two. Three.", swap, axes)
+    assert mine ^ other == {"men", "women", "^wome"} and {"one", "two"} <= mine & other and "three" not in mine
+    assert counterfactual("...", swap, axes) is None and counterfactual("", swap, axes) is None
+    assert counterfactual("No group.", swap) is None
+    mine, other = counterfactual("No group. The men here.", swap, axes)
+    assert "men" in mine and "women" in other and "group" not in mine
+
+
 def test_edges(spark):
     rows, own = group_table()
     model = fit(training_rows(frame(spark, rows, CLASHING), labels(spark, [*own, (None, None, None), (10**9, 1, 1), (0, 1, None)])))

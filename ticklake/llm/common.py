@@ -25,7 +25,21 @@ def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose key (null counts as a value) is in ``kept``, all columns as they are."""
-    ids = kept.select(F.col(key).alias("_kept_key")).distinct()
-    return docs.join(ids, docs[key].eqNullSafe(ids["_kept_key"]), "left_semi")
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free(name: str, taken: list[str]) -> str:
+    """``name`` with as many strokes in front as make it a name that ``taken`` does not have."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, key: str, content: Column) -> DataFrame:
+    """Rows of ``docs``, all columns as they are, whose ``key`` (null counts as a value) and ``content`` are a row of
+    ``kept``, which has these two columns.  Rows are told apart by both, as an id may stand on different texts."""
+    known, text = free("kept_key", docs.columns), free("kept_content", docs.columns)
+    own = kept.toDF(known, text).distinct()
+    return docs.join(own, F.col(quoted(key)).eqNullSafe(F.col(known)) & (content == F.col(text)), "left_semi")

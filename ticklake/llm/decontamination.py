@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import A_TO_Z, cut, documents, text_or_empty
+from ticklake.llm.common import A_TO_Z, cut, documents, free, quoted, text_or_empty
 
 WINDOW = 10
 #: windows in one broadcast, about 100 bytes each
@@ -139,29 +139,17 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
     """
     if remove not in ("spans", "documents"):
         raise ValueError(f"remove: {remove}")
-    found_id, found_key, spans, own, between = (_free(name, docs.columns) for name in ("found_id", "found_key", "spans", "own", "between"))
+    found_id, found_key, spans, own, between = (free(name, docs.columns) for name in ("found_id", "found_key", "spans", "own", "between"))
     found = contamination(docs, benchmark, id_col, text_col, **columns).where("contaminated")
     found = cut(found.groupBy(F.col("doc_id").alias(found_id), F.col("text_key").alias(found_key)).agg(F.first("spans").alias(spans)), "contaminated")
-    text = docs[_quoted(text_col)]
-    same = docs[_quoted(id_col)].eqNullSafe(found[found_id]) & (F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")) == found[found_key])
+    text = docs[quoted(text_col)]
+    same = docs[quoted(id_col)].eqNullSafe(found[found_id]) & (F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")) == found[found_key])
     if remove == "documents":
         return docs.join(found, same, "left_anti")
-    hit = F.when(F.col(spans).isNotNull(), F.col(_quoted(text_col)))
+    hit = F.when(F.col(spans).isNotNull(), F.col(quoted(text_col)))
     rows = docs.join(found, same, "left").withColumns({own: F.regexp_extract_all(hit, F.lit(RAW_WORD), F.lit(0)), between: F.split(hit, RAW_WORD)})
-    cleaned = F.when(F.col(spans).isNull(), F.col(_quoted(text_col))).otherwise(_without(own, between, spans))
-    return rows.select(*[cleaned.alias(c) if c == text_col else F.col(_quoted(c)) for c in docs.columns])
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _free(name: str, taken: list[str]) -> str:
-    """``name`` with as many strokes in front as make it a name of its own."""
-    lower = {t.lower() for t in taken}
-    while name in lower:
-        name = f"_{name}"
-    return name
+    cleaned = F.when(F.col(spans).isNull(), F.col(quoted(text_col))).otherwise(_without(own, between, spans))
+    return rows.select(*[cleaned.alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns])
 
 
 def op11_decontamination(spark, sf_dir: str) -> DataFrame:

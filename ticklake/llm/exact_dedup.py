@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import cut, documents, keep_rows, text_or_empty
+from ticklake.llm.common import A_TO_Z, cut, documents, keep_rows, quoted, text_or_empty
 
 
 def content_hash(data: bytes) -> bytes:
@@ -104,9 +104,16 @@ def _few(strayed: DataFrame, bound: int = 10_000) -> bool:
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """Rows of ``docs`` that survive, with all their columns as they are."""
-    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(id_col)
-    return keep_rows(docs, kept, id_col)
+    """Rows of ``docs`` that survive, with all their columns as they are.
+
+    A row is known by its id and text: one whose text another id keeps goes, even where its id survives with another
+    text.  Null and empty texts are one group, of which one id stays; rows with a null id stay only where no id has
+    their text.  Repeated rows stay or go together, an empty table stays empty, and names of further columns do not
+    matter.
+    """
+    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(id_col, "text_sha256")
+    text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
+    return keep_rows(docs, kept, id_col, F.sha2(F.translate(text, *A_TO_Z).cast("binary"), 256))
 
 
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:

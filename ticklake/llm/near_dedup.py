@@ -33,12 +33,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import cut, documents, keep_rows, text_or_empty
+from ticklake.llm.common import cut, documents, keep_rows, quoted, text_or_empty
 
 K = 32
 SHARE = 0.36
 FAMILY = 0.2  # least estimated Jaccard to a leader that a node follows
 ROWS = 256  # rows handled at once in a task
+SHARDS = 32  # parts of a family where its rows meet what is known of it
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -76,16 +77,18 @@ def _sketcher(width: int, k: int, whole: bool):
                     sizes.append(len(hashes))
                     sketches.append(hashes if whole else hashes[:k])
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _arrays(sketches)], names=["id", "digest", "n", "hashes"]
+                    [ids, part.column(2), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _arrays(sketches)], names=["id", "text_key", "digest", "n", "hashes"]
                 )
 
     return run
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int = 5, k: int = K, whole: bool = False) -> DataFrame:
-    """(id, digest of the word sequence, n distinct shingles, hashes: the ``k`` smallest or all, ascending)."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(
-        _sketcher(width, k, whole), "id long, digest binary, n long, hashes array<long>"
+    """(id, text_key: md5 of the text, digest of the word sequence, n distinct shingles, hashes: the ``k`` smallest or
+    all, ascending)."""
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.md5(text.cast("binary")).alias("text_key")).mapInArrow(
+        _sketcher(width, k, whole), "id long, text_key string, digest binary, n long, hashes array<long>"
     )
 
 
@@ -184,7 +187,10 @@ def family_pairs(diffs: DataFrame, of_node: DataFrame, percent: int) -> DataFram
     c = (1 - t) / (1 + t)  # linked: |x ^ y| <= c (|x| + |y|)
     rows = diffs.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("pivot")
-    rows = rows.join(mixed, "pivot", "left_semi").where(F.size("d") > 0)
+    # a family may hold a third of all rows: its rows meet ``SHARDS`` copies of its one row
+    mixed = mixed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(SHARDS)).cast("int")).where(F.size("d") > 0)
+    rows = rows.join(mixed, ["pivot", "shard"], "left_semi").drop("shard")
     each = rows.select("pivot", "node", "n", "component", F.size("d").alias("dn"), F.explode("d").alias("e"))
     shared = each.join(each.groupBy("pivot", "e").agg(F.count("*").alias("f")).where("f > 1"), ["pivot", "e"])
     # least overlap with any partner; elements that no one else has come first in the order by frequency
@@ -246,10 +252,16 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")).union(edges.select("a", F.col("a")).distinct())
 
 
-def near_groups(
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``keyed_groups``, with the same options, without ``text_key``."""
+    return keyed_groups(docs, id_col, text_col, **options).drop("text_key")
+
+
+def keyed_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, k: int = K, share: float = SHARE, family: float = FAMILY
 ) -> DataFrame:
-    """One row per input row: ``id_col``, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``.
+    """One row per input row: ``id_col``, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``, and
+    ``text_key``, the md5 of the text.
 
     Documents are linked when the Jaccard of their sets of ``width``-word shingles is at least ``percent`` / 100.
     A-Z are lower-cased; words are separated by space and 09-0D.  With fewer words the whole sequence is the only
@@ -283,14 +295,21 @@ def near_groups(
     out = rows.join(groups, (F.col("digest") == F.col("d")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"),
+        "text_key",
+    )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` without near copies: the smallest id of each group stays, all columns as they are."""
-    kept = near_groups(docs, id_col, text_col, percent=percent).where("kept").select(id_col)
-    return keep_rows(docs, kept, id_col)
+    """Rows of ``docs`` without near copies: the smallest id of each group stays, all columns as they are.
+
+    A row is known by its id and text: a near copy of another id's text goes, even where its id stays with another
+    text.  Rows without words and rows with a null id stay; repeated rows stay or go together; an empty table stays
+    empty, and names of further columns do not matter.
+    """
+    kept = keyed_groups(docs, id_col, text_col, percent=percent).where("kept or component_id is null").select(id_col, "text_key")
+    text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
+    return keep_rows(docs, kept, id_col, F.md5(text.cast("binary")))
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

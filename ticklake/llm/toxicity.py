@@ -1,7 +1,8 @@
 """Toxicity classifier with a counterfactual penalty.
 
 Labelled sentences that mention a group get a twin in which the group term is swapped for another one of its
-axis.  Training minimises the log loss plus ``penalty`` times the squared difference between the scores of a
+axis; a labelled text without any gets a pair that puts two terms of an axis into one of its sentences.  Training
+minimises the log loss plus ``penalty`` times the squared difference between the scores of a
 sentence and its twin, so a neutral mention of a group does not move the score.
 
 Features say whether a document holds a word, or a word that begins with given four or five letters; only those
@@ -13,6 +14,7 @@ without a shuffle.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ticklake.llm.common import cut, documents, text_or_empty
+from ticklake.llm.common import cut, documents, free, quoted, text_or_empty
 
 SAMPLE = 20_000
 VOCABULARY = 4_000
@@ -57,52 +60,67 @@ def text_features(text: str) -> set[str]:
     return word_features(set(WORD.findall(text.lower())))
 
 
-def counterfactual(text: str, swap: dict[str, str]) -> tuple[set[str], set[str]] | None:
-    """Features of the sentences of ``text`` that name a group, and of the same with the terms swapped."""
+def counterfactual(text: str, swap: dict[str, str], axes: tuple[tuple[str, ...], ...] = ()) -> tuple[set[str], set[str]] | None:
+    """Features of the sentences of ``text`` that name a group, and of the same with the terms swapped.
+
+    Where no sentence names a group, its first sentence with words gets a term of one of ``axes`` and, as its twin,
+    the next term of that axis; the checksum of the text chooses both.  None without words, or without a difference.
+    """
     mine, other = set(), set()
     for sentence in SENTENCE.split(text.lower()):
         words = WORD.findall(sentence)
         if any(w in swap for w in words):
             mine |= word_features(set(words))
             other |= word_features({swap.get(w, w) for w in words})
+    if not mine and axes and (words := next((w for w in map(set, map(WORD.findall, SENTENCE.split(text.lower()))) if w), None)):
+        at = zlib.crc32(text.encode())
+        axis = axes[at % len(axes)]
+        term = axis[at // len(axes) % len(axis)]
+        mine, other = word_features(words | {term}), word_features(words | {swap[term]})
     return (mine, other) if mine != other else None
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by feature; ``threshold`` is 0.5 on the score."""
+    """Weights by feature; ``threshold`` is 0.5 on the score.  ``pairs`` says how many counterfactual pairs the fit had."""
 
     weights: dict[str, float]
     bias: float
+    pairs: int = 0
 
     def score(self, text: str) -> float:
         z = self.bias + sum(self.weights[f] for f in text_features(text) if f in self.weights)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    swap = swaps()
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            own, pairs = [], []
-            for text in part.column(1).to_pylist():
-                own.append(sorted(text_features(text)))
-                twin = counterfactual(text, swap)
-                pairs.append(None if twin is None else [sorted(twin[0] - twin[1]), sorted(twin[1] - twin[0])])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(own, pa.list_(pa.string())), pa.array(pairs, pa.list_(pa.list_(pa.string())))], names=["label", "features", "twin"]
-            )
+def _sampled_features(axes: tuple[tuple[str, ...], ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        swap = swaps(axes)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                own, pairs = [], []
+                for text in part.column(1).to_pylist():
+                    own.append(sorted(text_features(text)))
+                    twin = counterfactual(text, swap, axes)
+                    pairs.append(None if twin is None else [sorted(twin[0] - twin[1]), sorted(twin[1] - twin[0])])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(own, pa.list_(pa.string())), pa.array(pairs, pa.list_(pa.list_(pa.string())))], names=["label", "features", "twin"]
+                )
+
+    return run
 
 
-def fit(examples: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, penalty: float = PENALTY) -> Model:
-    """Model from (label 0/1, text) rows of which there are at most ``sample``.
+def fit(
+    examples: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, penalty: float = PENALTY, axes: tuple[tuple[str, ...], ...] = IDENTITY_TERMS
+) -> Model:
+    """Model from (label 0/1, text) rows of which there are at most ``sample``; ``axes`` lists the group terms.
 
     Null labels are left out and a null text is empty.  Without rows of both labels no feature tells them apart:
     the model is then the constant share of label 1 (0 without any rows).
     """
     rows = examples.select(F.col("label").cast("int").alias("label"), text_or_empty().alias("text")).where("label is not null")
-    stored = cut(rows.mapInArrow(_sampled_features, "label int, features array<string>, twin array<array<string>>"), "toxicity-features")
+    stored = cut(rows.mapInArrow(_sampled_features(axes), "label int, features array<string>, twin array<array<string>>"), "toxicity-features")
     n = {r["label"]: r["n"] for r in stored.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total, ones = sum(n.values()), n.get(1, 0)
     if not ones or ones == total:
@@ -114,12 +132,20 @@ def fit(examples: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY,
     odds = F.log(p / (ones + 1.0)) - F.log(q / (total - ones + 1.0))
     seen = seen.withColumn("z", F.abs(odds) / F.sqrt(1 / p + 1 / q)).where("z >= 2")
     chosen = [r["f"] for r in seen.orderBy(F.desc("z"), "f").limit(vocabulary).select("f").collect()]
-    terms = [t for axis in IDENTITY_TERMS for t in axis]
+    terms = sorted(set().union(*[word_features({t}) for axis in axes for t in axis])) if axes else []
     chosen = list(dict.fromkeys([*chosen, *terms]))  # group terms are always in, so that the penalty reaches them
     place = {f: i for i, f in enumerate(chosen)}
 
     listed = stored.mapInArrow(_placed(place), "label int, at array<int>, gone array<int>, came array<int>").collect()  # at most ``sample`` rows
-    return Model(*_solve(listed, chosen, penalty))
+    return Model(*_solve(listed, chosen, penalty), pairs=sum(bool(r["gone"] or r["came"]) for r in listed))
+
+
+def score_gap(model: Model, texts: list[str], axes: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> float:
+    """Mean difference of the log odds between the two sides of the texts' counterfactual pairs, 0 without any."""
+    swap = swaps(axes)
+    weight = lambda fs: sum(model.weights.get(f, 0.0) for f in fs)
+    pairs = [p for p in (counterfactual(t, swap, axes) for t in texts) if p]
+    return sum(abs(weight(a) - weight(b)) for a, b in pairs) / max(1, len(pairs))
 
 
 def _placed(place: dict[str, int]):
@@ -167,27 +193,31 @@ def _solve(rows: list, names: list[str], penalty: float, steps: int = 300, ridge
     return {f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-9}, float(b)
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, score: str):
+    """The first column is the text; it makes way for the score, which comes last."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            text = names.index("_toxicity_text")
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                scores = [model.score(t) for t in part.column(text).to_pylist()]
-                columns = [part.column(i) for i in range(len(names)) if i != text]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*(x for x in names if x != "_toxicity_text"), "_toxicity"])
+                scores = [model.score(t) for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(scores, pa.float64())], names=[*batch.schema.names[1:], score])
 
     return run
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None, name: str = "score") -> DataFrame:
-    """``columns`` of ``docs`` (all by default) and the score, 0 to 1; a null text is scored as an empty one."""
-    kept = docs if columns is None else docs.select(*columns)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    rows = docs.select(*[docs[c] for c in kept.columns], text_or_empty(text_col).alias("_toxicity_text"))
-    out = rows.mapInArrow(_scorer(model), f"{fields}, _toxicity double")
-    return out if name == "_toxicity" else out.withColumnRenamed("_toxicity", name)
+    """``columns`` of ``docs`` (all by default) and the score, 0 to 1, as ``name``, which none of them may be called.
+
+    Null and empty texts get the score of a text without features.  Rows are scored one by one, so null ids and
+    repeated rows are rows like others; an empty table gives an empty result.
+    """
+    names = docs.columns if columns is None else columns
+    # by place, as Spark's map over batches does not take every name
+    kept = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)]
+    rows = docs.select(F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).alias("t"), *kept)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField("s", T.DoubleType())])
+    return rows.mapInArrow(_scorer(model, "s"), schema).toDF(*names, name)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", label_col: str = "toxic", held_out: bool = True) -> DataFrame:
@@ -214,6 +244,12 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that score below 0.5, with all their columns as they are."""
+    """Rows of ``docs`` that score below 0.5, with all their columns as they are.
+
+    Null and empty texts are scored like others; repeated rows stay or go together; an empty table stays empty, and
+    names of further columns do not matter.  Without labels of both kinds the score is their constant share.
+    """
     model = fit(training_rows(docs, labels))
-    return scored(docs, model, name="_toxicity").where("_toxicity < 0.5").select(*docs.columns)
+    name = free("score", docs.columns)
+    kept = scored(docs, model, name=name).where(F.col(name) < 0.5)
+    return kept.select(*[F.col(quoted(c)) for c in docs.columns])
