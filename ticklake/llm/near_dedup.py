@@ -307,9 +307,21 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text.  Rows without words and rows with a null id stay; repeated rows stay or go together; an empty table stays
     empty, and names of further columns do not matter.
     """
-    kept = keyed_groups(docs, id_col, text_col, percent=percent).where("kept or component_id is null").select(id_col, "text_key")
-    text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
-    return keep_rows(docs, kept, id_col, F.md5(text.cast("binary")))
+    key = F.md5(F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.col(quoted(text_col)).alias("text"), key.alias("text_key"))
+    of_id = rows.where("id is not null").groupBy("id").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi"))
+    if of_id.where("lo < hi").isEmpty():
+        kept = keyed_groups(rows, "id", "text", percent=percent).where("kept").select("id", "text_key")
+    else:
+        # ids that stand on several texts: (id, text) pairs are numbered in the order of the ids, smaller id, smaller number
+        pairs = rows.where("id is not null").select("id", "text_key").distinct().orderBy("id", "text_key")
+        pairs = cut(pairs.withColumn("number", F.monotonically_increasing_id()), "near-numbers")
+        own = pairs.select(F.col("id").alias("pair_id"), F.col("text_key").alias("pair_key"), "number")
+        numbered = rows.join(own, (F.col("id") == F.col("pair_id")) & (F.col("text_key") == F.col("pair_key")), "left").select("number", "text")
+        stays = keyed_groups(numbered, "number", "text", percent=percent).where("kept and number is not null").select("number").distinct()
+        nameless = rows.where("id is null").select("id", "text_key")
+        kept = pairs.join(stays, "number", "left_semi").select("id", "text_key").unionByName(nameless)
+    return keep_rows(docs, kept, id_col, key)
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
