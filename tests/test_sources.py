@@ -1,3 +1,4 @@
+import gzip
 import uuid
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ticklake import schemas
+from ticklake.functions import finance
 from ticklake.functions.envelope import flatten, nest, uuid5
 from ticklake.functions.text import parse_date, parse_holiday, safe_double, safe_long
 from ticklake.operators.dedupe import first_nonempty, prefer_first_source
@@ -162,6 +164,44 @@ def test_documents_are_read_per_file(spark, tmp_path):
     assert d.count() == 2 and docs.corporate_actions(d).count() == 1 and docs.document_errors(d).count() == 1
 
 
+def test_a_batch_of_files_keeps_the_failures_apart(spark, tmp_path):
+    files = {
+        "a/list.json": '[{"symbol": "A"}, {"symbol": "B"}]', "a/b/object.json": '\ufeff {"result": [{"symbol": "C"}]}', "bad.json": '{"data": [', "none.json": "{}",
+        "ok.xml": '<xbrl xmlns="x"><context id="c"/><Income contextRef="c">5</Income></xbrl>', "bad.xml": "<?xml version='1.0'?><a><b></a>", "empty.txt": " \n", "x.bin": "what is this",
+        "t.html": "<table><tr><td>Promoter</td><td>5</td></tr></table>", "u.html": "<table></table>",
+    }
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    out = docs.batch_outcomes(docs.read_documents(spark, str(tmp_path))).collect()
+    got = {r["doc_id"].rsplit("/", 1)[1]: (r["format"], r["records"], r["error"] is None) for r in out}
+    assert len(out) == len(files) and got == {
+        "list.json": ("json", 2, True), "object.json": ("json", 1, True), "bad.json": ("json", 0, False), "none.json": ("json", 0, True), "ok.xml": ("xml", 1, True), "bad.xml": ("xml", 0, False),
+        "empty.txt": ("empty", 0, False), "x.bin": ("unknown", 0, False), "t.html": ("html", 1, True), "u.html": ("html", 0, False),
+    }
+
+
+def test_headers_are_read_without_a_scan(spark, tmp_path):
+    """Files of two column orders, one of them packed, a name with a blank, and an empty one: no job runs before the read."""
+    (tmp_path / "a 1.csv").write_text("x, y \n1,2\n")
+    (tmp_path / "c.csv").write_text("")
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as f:
+        f.write(" y,x\n4,3\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = feeds._header_groups(spark, str(tmp_path))
+    assert list(tracker.getJobIdsForGroup("headers")) == [] and [len(g) for g in df] == [1, 1]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r["x"], r["y"]) for r in feeds.read_text_csv(spark, str(tmp_path)).collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_screens_take_their_limits(spark):
+    rows = spark.createDataFrame([("a", 20.0, 0.5, 12.0, 60.0, 10.0, 150.0), ("b", 20.0, 0.5, 5.0, 60.0, 10.0, 250.0), ("c", None, 0.5, 50.0, 60.0, 10.0, 1.0)], "symbol string, roe double, debt_to_equity double, net_margin double, promoter double, eps double, close double")
+    names = lambda df: [r["symbol"] for r in df.collect()]
+    assert names(finance.strong_fundamentals(rows)) == ["a"] and names(finance.strong_fundamentals(rows, net_margin=4.0)) == ["a", "b"]
+    assert names(finance.undervalued(rows)) == ["a"] and names(finance.undervalued(rows, pe=30.0)) == ["a", "b"]
+
+
 def test_deal_feed_spellings(spark, tmp_path):
     (tmp_path / "d.csv").write_text('SYMBOL,CLIENT_NAME,BUY_SELL,QTY,PRICE\nA,X,buy,"1,500",10.5\nB,Y,,5,1\n,Z,SELL,5,1\nC,W,SELL,zero,1\n')
     got = feeds.read_deals(spark, str(tmp_path), "BULK").collect()

@@ -30,6 +30,17 @@ def with_ratios(df: DataFrame) -> DataFrame:
     )
 
 
+def strong_fundamentals(rows: DataFrame, roe: float = 15.0, debt_to_equity: float = 1.0, net_margin: float = 10.0, promoter: float = 50.0) -> DataFrame:
+    """Rows (with ratios and the promoters' share) above or, for debt, below the limits; unknown values do not pass."""
+    return rows.filter((F.col("roe") > roe) & (F.col("debt_to_equity") < debt_to_equity) & (F.col("net_margin") > net_margin) & (F.col("promoter") > promoter))
+
+
+def undervalued(rows: DataFrame, pe: float = 20.0, roe: float = 15.0, debt_to_equity: float = 1.0, promoter: float = 50.0) -> DataFrame:
+    """Rows (with ratios, ``eps``, ``close`` and the promoters' share) that are sound and cheap; adds ``pe``."""
+    sound = rows.filter((F.col("roe") > roe) & (F.col("debt_to_equity") < debt_to_equity) & (F.col("promoter") > promoter))
+    return sound.withColumn("pe", pe_ratio(F.col("close"), F.col("eps"))).filter(F.col("pe") < pe)
+
+
 def latest_period(df: DataFrame, column: str) -> DataFrame:
     """Rows of the newest period, found by a scalar subquery."""
     newest = df.agg(F.max(column)).scalar()

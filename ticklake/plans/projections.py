@@ -249,9 +249,10 @@ def _(m):
  ON f.symbol = s.symbol AND f.period_end_date = s.quarter_end_date WHERE roe > 15 AND debt_to_equity < 1 AND net_margin > 4 AND promoter > 50"""),
 )
 def _(m):
-    s = m.shareholding.select("symbol", F.col("quarter_end_date").alias("period_end_date"), "promoter").filter("promoter > 50")
-    f = finance.with_ratios(m.financials).filter("roe > 15 AND debt_to_equity < 1 AND net_margin > 4")
-    return f.join(s, ["symbol", "period_end_date"]).select("symbol", r4("roe").alias("roe"), r4("debt_to_equity").alias("debt_to_equity"), r4("net_margin").alias("net_margin"), "promoter")
+    """With a margin limit below the usual one, which no company of the tables reaches."""
+    s = m.shareholding.select("symbol", F.col("quarter_end_date").alias("period_end_date"), "promoter")
+    rows = finance.strong_fundamentals(finance.with_ratios(m.financials).join(s, ["symbol", "period_end_date"]), net_margin=4.0)
+    return rows.select("symbol", r4("roe").alias("roe"), r4("debt_to_equity").alias("debt_to_equity"), r4("net_margin").alias("net_margin"), "promoter")
 
 
 @query(
@@ -263,11 +264,11 @@ def _(m):
 def _(m):
     from ticklake.operators.asof import asof_join
 
-    s = m.shareholding.select("symbol", F.col("quarter_end_date").alias("period_end_date"), "promoter").filter("promoter > 30")
-    f = finance.with_ratios(m.financials).filter("roe > 15 AND debt_to_equity < 1 AND eps > 0").join(s, ["symbol", "period_end_date"])
-    priced = asof_join(f.select("symbol", "period_end_date", "eps"), m.closes, ["symbol"], "period_end_date", "trade_date", ["close"])
-    pe = finance.pe_ratio(F.col("close"), F.col("eps"))
-    return priced.withColumn("pe", pe).filter("pe < 40").select("symbol", "period_end_date", r4("pe").alias("pe"))
+    s = m.shareholding.select("symbol", F.col("quarter_end_date").alias("period_end_date"), "promoter")
+    f = finance.with_ratios(m.financials).filter("eps > 0").join(s, ["symbol", "period_end_date"])
+    f = f.select("symbol", "period_end_date", "eps", "roe", "debt_to_equity", "promoter").filter("roe > 15 AND debt_to_equity < 1 AND promoter > 30")
+    priced = asof_join(f, m.closes, ["symbol"], "period_end_date", "trade_date", ["close"])
+    return finance.undervalued(priced, pe=40.0, promoter=30.0).select("symbol", "period_end_date", r4("pe").alias("pe"))
 
 
 @query("prj19_financial_anomalies", with_sql("financials", body=f"{RATIO_SQL} SELECT symbol, period_end_date, revenue, net_profit, {sql4('roe')} AS roe, {sql4('debt_to_equity')} AS debt_to_equity FROM fr WHERE revenue < 0 OR net_profit < -10000 OR roe > 100 OR debt_to_equity < 0"))

@@ -213,6 +213,7 @@ def _(m):
   SELECT 'closure_order' FROM c WHERE d % 6 = 0 UNION ALL
   SELECT 'factor_not_positive' FROM c WHERE action_type = 'SPLIT' OR (d % 3 = 0 AND action_type <> 'DIVIDEND') UNION ALL
   SELECT 'purpose_empty' FROM c WHERE d % 4 = 0 UNION ALL
+  SELECT 'ca_id_not_unique' FROM c WHERE d % 11 = 0 UNION ALL
   SELECT 'clearing_before_trade' FROM calendar WHERE weekday = 1 UNION ALL
   SELECT 'settlement_before_clearing' FROM calendar WHERE weekday = 2 UNION ALL
   SELECT 'session_order' FROM calendar WHERE weekday = 3 UNION ALL
@@ -254,9 +255,11 @@ def _(m):
             "pre_open_start": F.lit(540), "pre_open_end": F.when(weekday == 3, 540).otherwise(548), "normal_open": F.lit(555), "normal_close": F.lit(930),
         }
     )
+    named = c.withColumn("ca_id", F.concat_ws(":", "symbol", "ex_date"))
+    twice = duplicate_keys(named.unionByName(named.filter(d % 11 == 0)).select("ca_id"), ["ca_id"]).select(F.lit("ca_id_not_unique").alias("rule"))
     found = broken(v, lambda cols: rules.master_checks(cols, ("F", "O")), "symbol")
     found = found.unionByName(broken(c, rules.action_checks, "symbol")).unionByName(broken(day, rules.calendar_checks, "trade_date"))
-    return found.groupBy("rule").agg(F.count("*").alias("n"))
+    return found.unionByName(twice).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @query(

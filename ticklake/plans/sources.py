@@ -397,3 +397,28 @@ def _(m):
     good = docs.corporate_actions(read).select(F.lit("row").alias("kind"))
     bad = docs.document_errors(read).select(F.col("error").alias("kind"))
     return good.unionByName(bad).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+FILES_SQL = """SELECT symbol, format, records, error FROM (SELECT 'S' || s_suppkey AS symbol, s_suppkey % 7 AS k, 1 + s_suppkey % 3 AS n FROM supplier), (VALUES
+ (0, 'json', NULL), (1, 'json', 'not a JSON document'), (2, 'xml', NULL), (3, 'xml', 'bad'), (4, 'html', NULL), (5, 'html', 'no holder rows'), (6, 'empty', 'empty document')) t(kind, format, error),
+ LATERAL (SELECT CASE kind WHEN 0 THEN n WHEN 2 THEN n WHEN 4 THEN 1 ELSE 0 END AS records) WHERE k = kind"""
+
+
+@query("src22_folder_of_files", FILES_SQL)
+def _(m):
+    """A folder with one file per document, nested by kind, of three formats; some broken, one kind empty."""
+    k, n = F.col("s_suppkey") % 7, (1 + F.col("s_suppkey") % 3).cast("int")
+    name = F.concat(F.lit("S"), "s_suppkey")
+    item = F.concat(F.lit('{"symbol": "'), name, F.lit('", "exDate": "01-Jan-2024"}'))
+    fact = '<RevenueFromOperations contextRef="c" decimals="0">100</RevenueFromOperations>'
+    context = '<?xml version="1.0"?><xbrl><context id="c"><entity><identifier>5</identifier></entity><period><endDate>2024-03-31</endDate></period></context>'
+    doc = (
+        F.when(k == 0, F.concat(F.lit('{"data": ['), F.array_join(F.array_repeat(item, n), ", "), F.lit("]}"))).when(k == 1, "{oops")
+        .when(k == 2, F.concat(F.lit(context), F.repeat(F.lit(fact), n), F.lit("</xbrl>"))).when(k == 3, context)
+        .when(k == 4, "<html><table><tr><td>Promoter</td><td>55.5%</td></tr></table></html>").when(k == 5, "<html><p>moved</p></html>").otherwise("")
+    )
+    path = fresh_path(m.spark, "folder")
+    m.table("supplier").select(k.alias("kind"), name.alias("symbol"), doc.alias("doc")).write.partitionBy("kind", "symbol").text(path)
+    out = docs.batch_outcomes(docs.read_documents(m.spark, path))
+    error = F.when((F.col("format") == "xml") & F.col("error").isNotNull(), "bad").otherwise(F.col("error"))
+    return out.select(F.regexp_extract("doc_id", "symbol=([^/]+)/", 1).alias("symbol"), "format", "records", error.alias("error"))

@@ -43,6 +43,43 @@ def document_errors(docs: DataFrame) -> DataFrame:
     return docs.filter(broken).select("doc_id", F.lit("not a JSON document").alias("error"))
 
 
+FORMATS = ("json", "xml", "html", "empty", "unknown")
+
+
+def document_format(doc: Column) -> Column:
+    """What a document is by how it begins."""
+    text = F.regexp_replace(F.coalesce(doc, F.lit("")), r"^[\uFEFF\s]+", "")
+    return (
+        F.when(text == "", "empty").when(text.rlike(r"^[{\[]"), "json").when(text.rlike(r"(?i)^<(\?xml|([a-z]+:)?xbrl)\b"), "xml")
+        .when(text.startswith("<"), "html").otherwise("unknown")
+    )
+
+
+def batch_outcomes(docs: DataFrame) -> DataFrame:
+    """One row per document of a folder in several formats: ``doc_id``, ``format``, ``records`` and ``error``.
+
+    JSON counts its objects, XBRL its facts, HTML the one record of its holder tables.  A document that cannot be read
+    has no records and the reason; it stops neither the others nor the job.
+    """
+    marked = docs.withColumn("doc", F.regexp_replace("doc", "^\uFEFF", ""))  # a byte order mark is no part of the document
+    typed = marked.withColumn("format", document_format(F.col("doc")))
+    of = {f: typed.filter(F.col("format") == f) for f in FORMATS}
+    objects = F.size(_list_under(F.col("doc"), "data", "corporates", "result", "items"))
+    readable = F.get_json_object("doc", "$").isNotNull()
+    json = of["json"].select(
+        "doc_id", "format", F.when(readable, F.greatest(F.coalesce(objects, F.lit(0)), F.lit(0))).otherwise(0).cast("long").alias("records"),
+        F.when(~readable, "not a JSON document").alias("error"),
+    )
+    facts = xbrl_facts(of["xml"].select("doc_id", "doc")).groupBy("doc_id").agg(F.count("tag").alias("records"), F.max("error").alias("error"))
+    xml = of["xml"].select("doc_id", "format").join(facts, "doc_id", "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    tables = shareholding_tables(of["html"]).select("doc_id", F.lit(1).cast("long").alias("records"))
+    html = of["html"].select("doc_id", "format").join(tables, "doc_id", "left").select(
+        "doc_id", "format", F.coalesce("records", F.lit(0)).cast("long").alias("records"), F.when(F.col("records").isNull(), "no holder rows").alias("error")
+    )
+    none = [of[f].select("doc_id", "format", F.lit(0).cast("long").alias("records"), F.lit(why).alias("error")) for f, why in (("empty", "empty document"), ("unknown", "unknown format"))]
+    return json.unionByName(xml.select("doc_id", "format", "records", "error")).unionByName(html).unionByName(none[0]).unionByName(none[1])
+
+
 def corporate_actions(docs: DataFrame, effective: Column | None = None) -> DataFrame:
     """Corporate-action objects, listed directly or under data / corporates / result / items.
 

@@ -6,6 +6,7 @@ tokens become null before any cast.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from ticklake.functions.envelope import with_envelope
 from ticklake.functions.text import MASTER_NULLS, PRICE_NULLS, clean, parse_date, safe_double, safe_long
 from ticklake.quality.shape import SchemaMismatch, check_columns, column_diff
 
+HEADERS_AT_ONCE = 16
 
 # Formats of the trade date.
 TRADE_DATES = ("yyyy-M-d", "yyyyMMdd")
@@ -41,10 +43,30 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _header_groups(spark: SparkSession, path: str) -> list[list[str]]:
-    """Files below ``path`` by equal first line; one entry per file, the lines themselves stay distributed."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    first = lines.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    return [r["files"] for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()]
+    """Files below ``path`` by equal first line.
+
+    Only first lines are read, one small read a file and many at a time, from the list of files that any read of the
+    folder makes; the data are scanned once, by the read that follows.  Files without a line are left out.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in sorted(spark.read.text(path).inputFiles())]
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file) -> str | None:
+        stream = file.getFileSystem(conf).open(file)
+        codec = codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, header in zip(files, pool.map(first_line, files), strict=True):
+            if header is not None:
+                groups.setdefault(header, []).append(file.toString())
+    return [groups[h] for h in sorted(groups)]
 
 
 def _trimmed(df: DataFrame) -> DataFrame:
