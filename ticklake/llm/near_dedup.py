@@ -187,10 +187,11 @@ def family_pairs(diffs: DataFrame, of_node: DataFrame, percent: int) -> DataFram
     c = (1 - t) / (1 + t)  # linked: |x ^ y| <= c (|x| + |y|)
     rows = diffs.join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("pivot")
-    # a family may hold a third of all rows: its rows meet ``SHARDS`` copies of its one row
+    # a family may hold a third of all rows: its rows meet ``SHARDS`` copies of its one row, never by broadcast, as the
+    # copies are small where they are shuffled and large where they are kept
     mixed = mixed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(SHARDS)).cast("int")).where(F.size("d") > 0)
-    rows = rows.join(mixed, ["pivot", "shard"], "left_semi").drop("shard")
+    rows = rows.join(mixed.hint("merge"), ["pivot", "shard"], "left_semi").drop("shard")
     each = rows.select("pivot", "node", "n", "component", F.size("d").alias("dn"), F.explode("d").alias("e"))
     shared = each.join(each.groupBy("pivot", "e").agg(F.count("*").alias("f")).where("f > 1"), ["pivot", "e"])
     # least overlap with any partner; elements that no one else has come first in the order by frequency
