@@ -54,7 +54,7 @@ RETENTION_YEARS = {
     "macro_indicators": ("indicator_date", 20),
 }
 
-# Partition columns of the lake tables.
+# Partition columns of the lake tables.
 LAYOUTS = {
     "raw_equity_ohlc": ("trade_date", ("year", "month", "day")),
     "normalized_equity_ohlc": ("trade_date", ("year", "month", "day")),
@@ -67,7 +67,7 @@ LAYOUTS = {
     "macro_indicators": ("indicator_date", ("category", "year")),
 }
 
-# Row contract of normalised prices: field -> what a value must satisfy.
+# Row contract of normalised prices, field -> what a value must satisfy.
 NORMALIZED_CONTRACT = {
     "event_id": {"required": True, "type": "string"},
     "event_time": {"required": True, "type": "timestamp"},

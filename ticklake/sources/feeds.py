@@ -253,6 +253,7 @@ RESULT_NAMES = {
     "companyName": "company_name", "financialYear": "year", "filingDate": "filing_date", "fromDate": "period_start",
     "toDate": "period_end_date", "period": "period_type", "isin": "cin",
 }
+# Formats of the dates in results.
 DATE_GUESSES = ("yyyy-M-d", "d-MMM-yyyy", "d-M-yyyy")
 
 
