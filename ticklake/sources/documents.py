@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ticklake.functions.actions import index_category
 from ticklake.functions.envelope import uuid5
@@ -98,23 +99,43 @@ def corporate_actions(docs: DataFrame, effective: Column | None = None) -> DataF
     return rows if effective is None else rows.filter(F.col("ex_date") == effective)
 
 
+# Spellings of the keys of a deal object, by the column they fill.
+DEAL_KEYS = {
+    "symbol": ("symbol", "Symbol", "SYMBOL"),
+    "client_name": ("clientName", "ClientName", "CLIENT_NAME"),
+    "deal_date": ("dealDate", "DealDate"),
+    "bought": ("buyQty", "BuyQty"),
+    "bought_at": ("buyAvgPrice", "BuyAvgPrice"),
+    "sold": ("sellQty", "SellQty"),
+    "sold_at": ("sellAvgPrice", "SellAvgPrice"),
+}
+
+
+def _objects_with(doc: Column, keys: dict[str, tuple[str, ...]], rows: DataFrame, *kept: Column) -> DataFrame:
+    """One row per object of a JSON list, each of ``keys`` the first of its spellings that is not empty.
+
+    All spellings are fields of one declared type, so an object is parsed once and nothing is looked up by name.  Fields
+    that differ in case only have no name of their own in a query; they are renamed by position.
+    """
+    fields = [(name, spelling) for name, spellings in keys.items() for spelling in spellings]
+    object_type = StructType([StructField(spelling, StringType()) for _, spelling in fields])
+    found = rows.select(*kept, F.inline(F.from_json(doc, ArrayType(object_type))))
+    first = len(found.columns) - len(fields)
+    names = [f"_f{i}" for i in range(len(fields))]
+    found = found.toDF(*found.columns[:first], *names)
+    picked = {
+        name: F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n, (of, _) in zip(names, fields) if of == name]) for name in keys
+    }
+    return found.select(*found.columns[:first], *[c.alias(name) for name, c in picked.items()])
+
+
 def deals(docs: DataFrame, deal_type: Column) -> DataFrame:
     """Each deal object gives a BUY row and a SELL row where that side has quantity.
 
     Texts are picked first and cast after the unpivot: the two steps compile to separate small
     methods, which run several times faster than one large one.
     """
-    m = F.col("m")
-    texts = docs.select(F.explode(F.from_json("doc", OBJECTS)).alias("m"), deal_type.alias("deal_type")).select(
-        _first(m, "symbol", "Symbol", "SYMBOL").alias("symbol"),
-        _first(m, "clientName", "ClientName", "CLIENT_NAME").alias("client_name"),
-        _first(m, "dealDate", "DealDate").alias("deal_date"),
-        "deal_type",
-        _first(m, "buyQty", "BuyQty").alias("bought"),
-        _first(m, "buyAvgPrice", "BuyAvgPrice").alias("bought_at"),
-        _first(m, "sellQty", "SellQty").alias("sold"),
-        _first(m, "sellAvgPrice", "SellAvgPrice").alias("sold_at"),
-    )
+    texts = _objects_with(F.col("doc"), DEAL_KEYS, docs, deal_type.alias("deal_type"))
     sides = F.array(
         *[
             F.struct(F.lit(side).alias("transaction_type"), F.col(qty).alias("quantity"), F.col(price).alias("avg_price"))
