@@ -157,6 +157,52 @@ def test_xbrl_guess_fills_an_empty_field(spark):
     assert r["revenue"] == 5.0 and r["metadata"]["MoreRevenue"] == "6"
 
 
+def test_xbrl_facts_of_odd_documents(spark):
+    """Comments, CDATA, references, self-closed facts, prefixes and quotes; broken, null and empty documents; repeated ids."""
+    odd = (
+        "<?xml version='1.0'?><x:xbrl xmlns:x='http://www.xbrl.org/2003/instance' xmlns:i='urn:i'><!-- <i:Gone contextRef='c'>1</i:Gone> -->"
+        "<x:context id='c'><x:entity><x:identifier scheme='s'>http://e/OLD</x:identifier></x:entity><x:period><x:endDate>2023-03-31</x:endDate></x:period></x:context>"
+        '<x:context id="c"><x:entity><x:identifier scheme="s">http://e/NEW</x:identifier></x:entity><x:period><x:endDate>2024-03-31</x:endDate></x:period></x:context>'
+        "<x:unit id='u'><x:measure>iso4217:INR</x:measure></x:unit>"
+        """<i:A decimals="-3"\n contextRef = "c" unitRef='u'> 5<!-- five -->0 </i:A><i:B contextRef='c'/><i:C contextRef='c' unitRef='none'>a &lt;b&gt; &#233; &amp;amp;</i:C>"""
+        f"<i:D contextRef='c' note='1 > 0'><![CDATA[x < y & z]]></i:D><i:E contextRef='gone'>{'long ' * 50000}</i:E><i:F>no context</i:F></x:xbrl>"
+    )
+    d = spark.createDataFrame([("odd", odd), ("none", None), ("empty", ""), ("bad", "<xbrl><Income contextRef='c'>5</xbrl>"), ("bare", "<xbrl/>")], "doc_id string, doc string")
+    rows = docs.xbrl_facts(d).orderBy("doc_id", "pos").collect()
+    assert [(r["doc_id"], r["pos"], r["tag"], r["error"] is None) for r in rows if r["doc_id"] != "odd"] == [(n, -1, None, False) for n in ("bad", "empty", "none")]
+    got = {r["tag"]: (r["unit"], r["decimals"], r["text"], r["entity"], r["period_end"]) for r in rows if r["doc_id"] == "odd"}
+    new = ("http://e/NEW", "2024-03-31")
+    assert got == {
+        "A": ("iso4217:INR", "-3", "50", *new), "B": (None, None, None, *new), "C": ("none", None, "a <b> \u00e9 &amp;", *new),
+        "D": (None, None, "x < y & z", *new), "E": (None, None, ("long " * 50000).strip(), None, None),
+    }
+
+
+def test_xbrl_is_read_without_python(spark):
+    d = documents(spark, xbrl(fact("Equity", "5")))
+    plan = docs.xbrl_records(docs.xbrl_facts(d))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_profit_words_of_tags(spark):
+    tags = {
+        "ProfitBeforeTaxOther": "operating_profit", "ProfitLossBeforeTax": "eps_none", "NetProfitLossBeforeTax": "operating_profit", "NetProfitLossX": "net_profit",
+        "ProfitForPeriodX": "net_profit", "ProfitLossForPeriodX": "eps_none", "ProfitAssets": "none", "ProfitLossAssets": "total_assets", "ReportedEPS": "eps", "Earnings": "eps",
+        "OtherLiabilities": "total_liabilities", "OtherEquity": "equity", "Word": "none",
+    }
+    rows = spark.createDataFrame([(t,) for t in tags], "tag string").select("tag", docs._guess(F.col("tag")).alias("field")).collect()
+    assert {r["tag"]: r["field"] for r in rows} == {t: None if f.endswith("none") else f for t, f in tags.items()}
+
+
+def test_deal_spellings_nulls_and_broken_documents(spark):
+    listed = '[{"symbol": "", "Symbol": " A ", "ClientName": "c", "buyQty": "1,000", "BuyQty": 7, "buyAvgPrice": 2.50, "DealDate": "05-JAN-2024"}, {"SYMBOL": "B", "SellQty": 3}, {"buyQty": 4}, {}]'
+    d = documents(spark, listed, "{oops", "[]", None).withColumn("symbol", F.lit("other"))
+    rows = docs.deals(d, F.lit("BULK")).collect()
+    assert [(r["symbol"], r["client_name"], str(r["deal_date"]), r["transaction_type"], r["quantity"], r["avg_price"]) for r in rows] == [
+        ("A", "c", "2024-01-05", "BUY", 1000, 2.5), ("B", None, "None", "SELL", 3, None),
+    ]
+
+
 def test_documents_are_read_per_file(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"symbol":"A",\n"exDate":"16-Oct-2025"}]')
     (tmp_path / "b.json").write_text("{nope")

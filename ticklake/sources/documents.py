@@ -7,9 +7,8 @@ maps, so spelling variants of a key are plain lookups.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -377,60 +376,97 @@ XBRL_FIELDS = (
     "total_liabilities", "equity", "total_debt", "current_assets", "current_liabilities", "cash_and_equivalents",
     "inventories", "eps",
 )
-XBRL_FACTS = (
-    "doc_id string, pos int, tag string, unit string, decimals string, text string, entity string, "
-    "period_end string, rounding string, error string"
+#: what is read off an XBRL document by name; everything else in it is a fact
+XBRL_TYPE = (
+    "context array<struct<_id string, entity struct<identifier struct<_VALUE string, _scheme string>>, period struct<endDate string>>>, "
+    "unit array<struct<_id string, measure array<string>>>, _broken string"
 )
+XML_ATTRIBUTE = r"""\s+[^\s=<>/]+\s*=\s*(?:"[^"]*"|'[^']*')"""
+#: an opening tag with attributes, and the text up to the next tag; possessive, so that long texts need no stack
+XML_ELEMENT = rf"""(?s)<([^\s<>/!?]+)((?:{XML_ATTRIBUTE})+)\s*(/?)>([^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+)"""
 
 
-def _facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Facts of each XML document in document order; XML nesting is what the JVM side cannot read here."""
-    from xml.etree import ElementTree
-
-    ns = "{http://www.xbrl.org/2003/instance}"
-    columns = [c.split()[0] for c in XBRL_FACTS.split(", ")]
-    for batch in batches:
-        rows = []
-        for doc_id, doc in zip(batch["doc_id"], batch["doc"]):
-            try:
-                root = ElementTree.fromstring(doc)
-            except ElementTree.ParseError as exc:
-                rows.append((doc_id, -1, None, None, None, None, None, None, None, str(exc)))
-                continue
-            owners = {c.get("id"): c.findtext(f"{ns}entity/{ns}identifier") for c in root.iter(f"{ns}context")}
-            ends = {c.get("id"): c.findtext(f"{ns}period/{ns}endDate") for c in root.iter(f"{ns}context")}
-            units = {u.get("id"): u.findtext(f"{ns}measure") for u in root.iter(f"{ns}unit")}
-            named = [(e.tag.rsplit("}", 1)[-1], e) for e in root.iter()]
-            rounding = next((e.text for t, e in named if t == "LevelOfRoundingUsedInFinancialStatements" and e.text), None)
-            for pos, e in enumerate(root):
-                ref = e.get("contextRef")
-                if ref is None:
-                    continue
-                unit = units.get(e.get("unitRef"), e.get("unitRef"))
-                text = (e.text or "").strip() or None
-                rows.append((doc_id, pos, e.tag.rsplit("}", 1)[-1], unit, e.get("decimals"), text, owners.get(ref), ends.get(ref), rounding, None))
-        yield pd.DataFrame(rows, columns=columns)
+def _attribute(attributes: Column, name: str) -> Column:
+    """Value of one attribute, null where it is absent or empty."""
+    return F.nullif(F.regexp_extract(attributes, rf"""(?s)\s{name}\s*=\s*(["'])(.*?)\1""", 2), F.lit(""))
+
+
+def _xml_text(raw: Column) -> Column:
+    """Text of an element with references and CDATA sections resolved, trimmed, null where nothing is left."""
+    read = F.when(raw.rlike("[&<]"), F.xpath_string(F.concat(F.lit("<a>"), raw, F.lit("</a>")), F.lit("/a"))).otherwise(raw)
+    return F.nullif(F.regexp_replace(read, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def xbrl_facts(docs: DataFrame) -> DataFrame:
-    """Long facts per document; everything after this is built-in expressions."""
-    return docs.select("doc_id", "doc").mapInPandas(_facts, XBRL_FACTS)
+    """Long facts per document: ``doc_id``, ``pos`` (document order), ``tag``, ``unit``, ``decimals``, ``text``, ``entity``,
+    ``period_end``, ``rounding`` and ``error``.
+
+    Contexts and units are read by Spark's XML function, which also tells documents that are not well formed: these, and
+    null ones, give one row with ``error`` and no fact.  A fact is any element that refers to a context, whatever its
+    name and namespace, those inside tuples included; it has the text before its first child.  The last of several
+    contexts or units with one id counts.
+    """
+    options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_broken"}
+    parsed = docs.select("doc_id", "doc", F.from_xml("doc", XBRL_TYPE, options).alias("x"))
+    error = F.when(F.col("doc").isNull(), "no document").when(F.col("x").isNull() | F.col("x._broken").isNotNull(), "not a well-formed XML document")
+    body = F.regexp_replace("doc", "(?s)<!--.*?-->", "")
+    level = F.regexp_extract(body, r"<(?:[^\s<>/:]+:)?LevelOfRoundingUsedInFinancialStatements(?:\s[^<>]*[^<>/])?>([^<]+)<", 1)
+    elements = F.filter(F.regexp_extract_all(body, F.lit(XML_ELEMENT), F.lit(0)), lambda e: e.contains("contextRef"))
+    marked = parsed.withColumn("error", error).withColumn("rounding", F.nullif(level, F.lit("")))
+    rows = marked.select(
+        "doc_id", "x", "error", "rounding", F.posexplode_outer(F.when(F.col("error").isNull(), elements)).alias("pos", "element")
+    )
+    element = F.col("element")
+    parts = rows.select(
+        "doc_id", "x", "error", "rounding", "pos", F.regexp_extract(element, XML_ELEMENT, 1).alias("name"), F.regexp_extract(element, XML_ELEMENT, 2).alias("attributes"),
+        F.when(F.regexp_extract(element, XML_ELEMENT, 3) == "", F.regexp_extract(element, XML_ELEMENT, 4)).alias("raw"),
+    )
+    refs = parts.withColumns({n: _attribute(F.col("attributes"), n) for n in ("contextRef", "unitRef", "decimals")})
+    refs = refs.filter(F.col("error").isNotNull() | F.col("contextRef").isNotNull())
+    context = F.try_element_at(F.filter("x.context", lambda c: c["_id"] == F.col("contextRef")), F.lit(-1))
+    unit = F.try_element_at(F.filter("x.unit", lambda u: u["_id"] == F.col("unitRef")), F.lit(-1))
+    found = refs.withColumns({"c": context, "u": unit})
+    return found.select(
+        "doc_id",
+        F.coalesce("pos", F.lit(-1)).alias("pos"),
+        F.when(F.col("error").isNull(), F.substring_index("name", ":", -1)).alias("tag"),
+        F.when(F.col("u").isNotNull(), F.get(F.col("u.measure"), 0)).otherwise(F.col("unitRef")).alias("unit"),
+        "decimals",
+        _xml_text(F.col("raw")).alias("text"),
+        F.col("c.entity.identifier._VALUE").alias("entity"),
+        F.col("c.period.endDate").alias("period_end"),
+        "rounding",
+        "error",
+    )
+
+
+# Words of a tag outside the exact list, words it must not hold, and the field it may fill; the first that
+# applies counts.  A profit that is neither before tax nor net fills nothing.
+TAG_WORDS = (
+    (("revenue",), (), "revenue"),
+    (("profitbefore",), (), "operating_profit"),
+    (("profit", "beforetax"), ("loss",), "operating_profit"),
+    (("profit", "beforetax", "net"), (), "operating_profit"),
+    (("profit", "net"), (), "net_profit"),
+    (("profit", "forperiod"), ("loss",), "net_profit"),
+    (("profit",), ("loss",), None),
+    (("eps",), (), "eps"),
+    (("earnings",), (), "eps"),
+    (("asset",), (), "total_assets"),
+    (("liabil",), (), "total_liabilities"),
+    (("equity",), (), "equity"),
+)
 
 
 def _guess(tag: Column) -> Column:
     """Field a tag outside the exact list may fill, by keyword."""
     t = F.lower(tag)
-    profit = t.contains("profit") & (~t.contains("loss") | t.contains("net") | t.contains("profitbefore"))
-    return (
-        F.when(t.contains("revenue"), "revenue")
-        .when(profit & (t.contains("beforetax") | t.contains("profitbefore")), "operating_profit")
-        .when(profit & (t.contains("net") | t.contains("forperiod")), "net_profit")
-        .when(profit, None)
-        .when(t.contains("eps") | t.contains("earnings"), "eps")
-        .when(t.contains("asset"), "total_assets")
-        .when(t.contains("liabil"), "total_liabilities")
-        .when(t.contains("equity"), "equity")
-    )
+    out = F.lit(None).cast("string")
+    for words, without, field in reversed(TAG_WORDS):
+        applies = reduce(lambda c, w: c & t.contains(w), words, F.lit(True))
+        applies = reduce(lambda c, w: c & ~t.contains(w), without, applies)
+        out = F.when(applies, field).otherwise(out)
+    return out
 
 
 def scaled_value() -> Column:
