@@ -72,6 +72,23 @@ def test_compaction_keeps_every_row(spark, tmp_path, keys):
     assert spark.read.parquet(path).count() == 400
 
 
+def test_compaction_reads_the_planned_partitions_only(spark, tmp_path):
+    """One partition of five has small files, and so has the one of the null key: the scan is pruned to these two."""
+    path = str(tmp_path / "data")
+    rows = spark.range(100).select("id", F.when(F.col("id") % 5 != 4, F.col("id") % 5).cast("int").alias("k"))
+    rows.repartitionByRange(1, "k").write.partitionBy("k").parquet(path)
+    rows.filter("k = 2 or k is null").repartition(1).write.mode("append").partitionBy("k").parquet(path)
+    plan = files.compaction_plan(spark, path, 128, 32)
+    assert sorted(r["partition"] for r in plan.collect()) == ["k=2", f"k={files.NULL_PARTITION}"]
+    wanted = plan.select(files._folder_value("k").try_cast("int").alias("_k_k"), "target_files")
+    wanted.write.parquet(str(tmp_path / "plan"))
+    chosen = files._planned_rows(spark.read.parquet(path), spark.read.parquet(str(tmp_path / "plan")), ["k"])
+    assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["id"], r["k"]) for r in chosen.collect()) == sorted([(i, i % 5 if i % 5 != 4 else None) for i in range(100) if i % 5 in (2, 4)] * 2)
+    files.compact(spark, path, str(tmp_path / "staging"))
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == sorted([*range(100), *[i for i in range(100) if i % 5 in (2, 4)]])
+
+
 def test_compaction_leaves_single_files_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     table(spark).repartition("p").write.partitionBy("p").parquet(path)

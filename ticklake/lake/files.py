@@ -61,8 +61,7 @@ def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128
     before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     wanted = plan.withColumn("_first", F.coalesce(F.sum("target_files").over(before), F.lit(0)))
     wanted = wanted.select(*[_folder_value(k).try_cast(data.schema[k].dataType).alias(f"_k_{k}") for k in keys], "target_files", "_first")
-    same = reduce(lambda c, k: c & data[k].eqNullSafe(wanted[f"_k_{k}"]), keys, F.lit(True))
-    chosen = data.join(wanted, same) if keys else data.join(F.broadcast(wanted))  # without keys the plan is one row
+    chosen = _planned_rows(data, wanted, keys) if keys else data.join(F.broadcast(wanted))  # without keys the plan is one row
     file = F.col("_first") + F.pmod(F.xxhash64(*data.columns), F.col("target_files"))
     rows = chosen.withColumn("_file", file.cast("int")).repartitionById(int(total), "_file").select(*data.columns)
     if keys:
@@ -73,6 +72,17 @@ def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128
     return plan
 
 
+def _planned_rows(data: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the planned partitions, null ones included, with the columns of the plan.
+
+    Partition values are compared as texts under plain equality: a null-safe comparison would keep Spark from pruning the
+    partitions of the scan by the plan, and all of the data would be read to rewrite a few folders.
+    """
+    as_text = lambda c: F.coalesce(c.cast("string"), F.lit(NULL_PARTITION))
+    same = reduce(lambda c, k: c & (as_text(data[k]) == as_text(wanted[f"_k_{k}"])), keys, F.lit(True))
+    return data.join(wanted.filter("target_files > 0"), same)
+
+
 def _folder_value(key: str) -> Column:
     """Value of ``key`` in a folder path, with its escapes undone."""
     raw = F.regexp_extract("partition", f"(?:^|/){key}=([^/]+)", 1)

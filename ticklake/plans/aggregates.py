@@ -75,6 +75,23 @@ def _(m):
     )
 
 
+@query(
+    "agg04_approximate_error_band",
+    with_sql("trades", body="""SELECT CAST(year(trade_date) AS INTEGER) AS year, count(*) AS days, count(*) AS days_in_band, CAST(sum(symbols) AS BIGINT) AS symbol_days
+ FROM (SELECT trade_date, count(DISTINCT symbol) AS symbols FROM trades GROUP BY 1) GROUP BY 1"""),
+)
+def _(m):
+    """Per year the days whose sketched number of symbols lies within five standard errors of the exact one."""
+    error = 0.02
+    per = m.trades.groupBy("trade_date", "symbol").agg(F.lit(1).alias("one")).groupBy("trade_date").agg(
+        F.count("*").alias("symbols"), F.approx_count_distinct("symbol", error).alias("sketched")
+    )
+    close = F.abs(F.col("sketched") - F.col("symbols")) <= 5 * error * F.col("symbols")
+    return per.groupBy(F.year("trade_date").alias("year")).agg(
+        F.count("*").alias("days"), F.count_if(close).alias("days_in_band"), F.sum("symbols").alias("symbol_days")
+    )
+
+
 @query(
     "agg05_top_symbols",
     with_sql("ohlc", body=f"""SELECT symbol, {isum("volume")} AS total_volume, {sql4("avg(close)")} AS avg_price FROM ohlc
