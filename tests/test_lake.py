@@ -348,3 +348,20 @@ def test_pages_are_checked(spark):
         topk.page(table(spark), [F.col("k")], 0, 10)
     assert [r["k"] for r in topk.page(table(spark), [F.col("k")], 2, 3).collect()] == [3, 4, 5]
     assert [r["k"] for r in topk.page_after(table(spark), "k", 96, 10).collect()] == [97, 98, 99]
+
+
+def test_compaction_to_many_small_files_needs_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("p"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("a b/"), F.col("id") % 3)).alias("q"))
+    rows.repartition(3).write.partitionBy("p", "q").parquet(path)
+    spark.sparkContext.setJobGroup("compaction", "compaction")
+    plan = files.compact(spark, path, str(tmp_path / "s"), target_mb=0.0002)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = {r["partition"]: r["target_files"] for r in plan.collect()}
+    got = {r["partition"]: r["n"] for r in files.list_files(spark, path).groupBy("partition").agg(F.count("*").alias("n")).collect()}
+    assert got == want and sum(want.values()) > 100
+    status = spark.sparkContext.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("compaction") for s in status.getJobInfo(j).stageIds if status.getStageInfo(s)]
+    assert max(tasks) < 20
+    assert spark.read.parquet(path).select(*rows.columns).exceptAll(rows).isEmpty() and spark.read.parquet(path).count() == 4000
+    assert not [x for x in (tmp_path / "t").iterdir() if x.name.startswith(".compaction")]

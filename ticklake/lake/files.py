@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
+import uuid
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +16,9 @@ from ticklake.functions.text import parse_date
 
 MB = 1024 * 1024
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: most files, and about the most megabytes, that one task of a compaction writes
+FILES_PER_TASK = 64
+FILES_PER_TASK_MB = 128
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -46,9 +53,10 @@ def compaction_plan(spark: SparkSession, path: str, target_mb: float, min_mb: fl
 def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128, min_mb: float = 32) -> DataFrame:
     """Rewrite the planned partitions as the planned number of files; returns the plan that was carried out.
 
-    All partitions are rewritten by one job: every (partition, file) is one task, rows are dealt to the files of
-    their partition by hash.  Partitioned data is written once; the writer keeps new files apart until all are complete
-    and then replaces the old ones, so a job that dies loses nothing.  A folder without partitions is staged first.
+    All partitions are rewritten by one job: rows are dealt to the files of their partition by hash, and a task writes
+    one file after the other, up to ``FILES_PER_TASK`` small ones.  Partitioned data is written once, below a hidden
+    folder of ``path``; when all new files are complete they replace the old ones folder by folder, so a job that dies
+    loses nothing.  A folder without partitions is staged first.
     """
     compaction_plan(spark, path, target_mb, min_mb).write.mode("overwrite").parquet(f"{staging}/plan")
     plan = spark.read.parquet(f"{staging}/plan")
@@ -63,15 +71,61 @@ def compact(spark: SparkSession, path: str, staging: str, target_mb: float = 128
     wanted = wanted.select(*[_folder_value(k).try_cast(data.schema[k].dataType).alias(f"_k_{k}") for k in keys], "target_files", "_first")
     chosen = _planned_rows(data, wanted, keys) if keys else data.join(F.broadcast(wanted))  # without keys the plan is one row
     file = F.col("_first") + F.pmod(F.xxhash64(*data.columns), F.col("target_files"))
-    rows = chosen.withColumn("_file", file.cast("int")).repartitionById(int(total), "_file").select(*data.columns)
+    dealt = chosen.withColumn("_file", file.cast("int"))
     if keys:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+        each = max(1, min(FILES_PER_TASK, int(FILES_PER_TASK_MB / target_mb)))
+        dealt = dealt.withColumn("_task", (F.col("_file") / each).cast("int"))
+        rows = dealt.repartitionById(math.ceil(total / each), "_task").select(*data.columns, "_file")
+        hidden = f"{path}/.compaction-{uuid.uuid4().hex}"
+        # nobody reads the hidden folder before the job is done, so tasks may put their files in place by themselves
+        rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy(*keys, "_file").parquet(f"{hidden}/written")
+        _replace_folders(spark, path, hidden, len(keys))
     else:
+        rows = dealt.repartitionById(int(total), "_file").select(*data.columns)
         rows.write.mode("overwrite").parquet(f"{staging}/data")
         spark.read.schema(data.schema).parquet(f"{staging}/data").write.mode("overwrite").parquet(path)
     return plan
 
 
+def _replace_folders(spark: SparkSession, path: str, hidden: str, depth: int) -> None:
+    """Put the files of ``hidden``/written/<partition>/_file=<n>/ in place of the partition's old ones; ``depth`` is the number
+    of partition columns.
+
+    The new files of every partition are first brought together in one folder each, then each old folder makes way for
+    its new one.  Only listings and renames happen here, as in the commit of a write.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(hidden).getFileSystem(spark._jsc.hadoopConfiguration())
+    run = uuid.uuid4().hex
+    at = re.sub(r"([\\*?\[\]{}])", r"\\\1", f"{hidden}/written")
+    # one glob: it lists folders inside the JVM and, unlike a listing of located files, asks for no file's owner
+    found = hadoop.FileUtil.stat2Paths(fs.globStatus(hadoop.Path(at + "/*" * depth + "/_file=*/part-*")))
+    names = (found[i].toString() for i in range(len(found)))
+
+    def rename(old: str, new: str) -> None:
+        if not fs.rename(hadoop.Path(old), hadoop.Path(new)):
+            raise OSError(f"{old} could not be renamed to {new}")
+
+    folders: set[str] = set()
+    with ThreadPoolExecutor(16) as pool:
+        moves = deque()
+        for old in names:
+            folder, number, name = re.search(r"/written(/.*)/_file=(\d+)/([^/]+)$", old).groups()
+            if folder not in folders:
+                folders.add(folder)
+                fs.mkdirs(hadoop.Path(f"{hidden}/ready{folder}"))
+            new = f"part-{int(number):05d}-{run}{name[name.index('.') :]}"
+            moves.append(pool.submit(rename, old, f"{hidden}/ready{folder}/{new}"))
+            if len(moves) > 1000:
+                moves.popleft().result()
+        for move in moves:
+            move.result()
+    for folder in sorted(folders):
+        fs.delete(hadoop.Path(f"{path}{folder}"), True)
+        rename(f"{hidden}/ready{folder}", f"{path}{folder}")
+    fs.delete(hadoop.Path(hidden), True)
+
+
 def _planned_rows(data: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the planned partitions, null ones included, with the columns of the plan.
 
