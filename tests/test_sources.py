@@ -292,3 +292,12 @@ def test_missing_tokens_wherever_they_are_listed(spark, tokens):
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(clean(F.col("t"), tokens)).collect()
     want = [None if t is None or t.strip(" ") in tokens else t.strip(" ") for t in texts]
     assert [r[0] for r in got] == want
+
+
+def test_documents_of_a_folder_are_opened_once(spark, tmp_path):
+    """Every format has its own reader, but none of them goes back to the files."""
+    for i, text in enumerate(['[{"symbol": "A"}]', "<?xml version='1.0'?><xbrl/>", "<html><p>x</p></html>", "\n", "plain"]):
+        (tmp_path / f"{i}.txt").write_text(text)
+    out = docs.batch_outcomes(docs.read_documents(spark, str(tmp_path)))
+    assert "Scan text" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["format"] for r in out.collect()) == ["empty", "html", "json", "unknown", "xml"]

@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from ticklake.functions.actions import index_category
 from ticklake.functions.envelope import uuid5
 from ticklake.functions.text import clean, last_segment, parse_date, parse_holiday, safe_double, safe_long
+from ticklake.session import fresh_path
 
 OBJECT = "map<string,string>"
 OBJECTS = "array<map<string,string>>"
@@ -60,9 +61,15 @@ def batch_outcomes(docs: DataFrame) -> DataFrame:
 
     JSON counts its objects, XBRL its facts, HTML the one record of its holder tables.  A document that cannot be read
     has no records and the reason; it stops neither the others nor the job.
+
+    Opening many small files costs more than what is in them, so each is read once: the documents are written by
+    format first, and every reader below sees only its own.
     """
     marked = docs.withColumn("doc", F.regexp_replace("doc", "^\uFEFF", ""))  # a byte order mark is no part of the document
     typed = marked.withColumn("format", document_format(F.col("doc")))
+    path = fresh_path(docs.sparkSession, "documents")
+    typed.hint("rebalance", "format").write.partitionBy("format").parquet(path)
+    typed = docs.sparkSession.read.schema(typed.schema).parquet(path)
     of = {f: typed.filter(F.col("format") == f) for f in FORMATS}
     objects = F.size(_list_under(F.col("doc"), "data", "corporates", "result", "items"))
     readable = F.get_json_object("doc", "$").isNotNull()
