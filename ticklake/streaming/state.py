@@ -8,6 +8,7 @@ batch rewrites the buckets its keys fall into, and a commit names the version of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,11 +23,18 @@ MOMENTUM_STATE = "last_us bigint, last_id bigint, last_price double, ema double,
 MOMENTUM_ROWS = "event_id bigint, entity string, us bigint, price double, ema double, gain double, loss double, rsi double, late boolean"
 
 
-def _mean(values: pd.Series, seed: float | None, span: int) -> pd.Series:
-    """Exponential means that go on from ``seed``; a row without value shows the mean so far."""
-    started = values if seed is None else pd.concat([pd.Series([seed]), values])
-    means = started.ewm(alpha=2.0 / (span + 1), adjust=False, ignore_na=True).mean()
-    return means if seed is None else means.iloc[1:]
+def _mean(values: list[float | None], seed: float | None, span: int) -> list[float]:
+    """Exponential means that go on from ``seed``; a row without value shows the mean so far, nan before the first."""
+    alpha, mean, out = 2.0 / (span + 1), seed, []
+    for x in values:
+        if x is not None:
+            mean = x if mean is None else (1.0 - alpha) * mean + alpha * x
+        out.append(math.nan if mean is None else mean)
+    return out
+
+
+def _number(x: float | None) -> float | None:
+    return None if x is None or math.isnan(x) else float(x)
 
 
 class Momentum(StatefulProcessor):
@@ -41,28 +49,30 @@ class Momentum(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  names of the interface
         known = self.state.get() if self.state.exists() else (None,) * 6
         last_us, last_id, last_price, ema, gain, loss = known
-        batch = pd.concat(list(rows)).sort_values(["us", "event_id"], kind="stable", ignore_index=True)
-        late = pd.Series(False, index=batch.index)
-        if last_us is not None:
-            late = (batch["us"] < last_us) | ((batch["us"] == last_us) & (batch["event_id"] <= last_id))
-        fresh = batch[~late].reset_index(drop=True)
-        if len(fresh):
-            price = fresh["price"].astype(float)
-            held = price.ffill() if last_price is None else price.ffill().fillna(last_price)
-            before = held.shift(1) if last_price is None else held.shift(1, fill_value=last_price)
-            # the very first price has neither gain nor loss; a row without price moves no mean
-            diff = (price - before).where(before.notna(), 0.0).where(price.notna())
-            fresh["ema"] = _mean(price, ema, self.span).to_numpy()
-            fresh["gain"] = _mean(diff.clip(lower=0), gain, self.n).to_numpy()
-            fresh["loss"] = _mean((-diff).clip(lower=0), loss, self.n).to_numpy()
-            fresh["rsi"] = (100.0 - 100.0 / (1.0 + fresh["gain"] / fresh["loss"])).where(fresh["loss"] > 0)
-            end = fresh.iloc[-1]
-            number = lambda x: None if pd.isna(x) else float(x)
-            self.state.update((int(end["us"]), int(end["event_id"]), number(held.iloc[-1]), *(number(end[c]) for c in ("ema", "gain", "loss"))))
-        rejected = batch[late].assign(ema=None, gain=None, loss=None, rsi=None)
-        for part, flag in ((fresh, False), (rejected, True)):
-            if len(part):
-                yield part.assign(entity=key[0], late=flag)[[c.split()[0] for c in MOMENTUM_ROWS.split(", ")]].astype({c: float for c in ("price", "ema", "gain", "loss", "rsi")})
+        # most entities have a few rows a batch: plain lists cost a fraction of the table operations they replace
+        ordered = sorted((r for part in rows for r in zip(part["us"].tolist(), part["event_id"].tolist(), part["price"].tolist(), strict=True)), key=lambda r: r[:2])
+        late = [] if last_us is None else [r for r in ordered if r[:2] <= (last_us, last_id)]
+        fresh = ordered[len(late) :]
+        if fresh:
+            prices, changes, held = [_number(r[2]) for r in fresh], [], last_price
+            for price in prices:
+                # the very first price has neither gain nor loss; a row without price moves no mean
+                changes.append(None if price is None else 0.0 if held is None else price - held)
+                held = held if price is None else price
+            emas = _mean(prices, ema, self.span)
+            gains = _mean([None if d is None else max(d, 0.0) for d in changes], gain, self.n)
+            losses = _mean([None if d is None else max(-d, 0.0) for d in changes], loss, self.n)
+            rsis = [100.0 - 100.0 / (1.0 + g / x) if x > 0 else math.nan for g, x in zip(gains, losses, strict=True)]
+            self.state.update((int(fresh[-1][0]), int(fresh[-1][1]), held, *(_number(c[-1]) for c in (emas, gains, losses))))
+        else:
+            emas = gains = losses = rsis = []
+        none, both = [math.nan] * len(late), fresh + late
+        yield pd.DataFrame(
+            {
+                "event_id": [r[1] for r in both], "entity": key[0], "us": [r[0] for r in both], "price": [math.nan if r[2] is None else float(r[2]) for r in both],
+                "ema": emas + none, "gain": gains + none, "loss": losses + none, "rsi": rsis + none, "late": [False] * len(fresh) + [True] * len(late),
+            }
+        )
 
     def close(self) -> None:
         pass
