@@ -175,7 +175,8 @@ def _(m):
 def _(m):
     """Files of a dataset validated in one job and summed per file group."""
     path = fresh_path(m.spark, "batch-validation")
-    m.dirty.withColumn("y", F.year("trade_date")).repartition("y").write.partitionBy("y").parquet(path)
+    # a year is as large as the data makes it: the hint splits one that is too large for a task into several files
+    m.dirty.withColumn("y", F.year("trade_date")).hint("rebalance", "y").write.partitionBy("y").parquet(path)
     files = m.spark.read.option("recursiveFileLookup", True).parquet(path).withColumn("file", F.col("_metadata.file_path"))
     out = rules.flag(files, rules.checks_for(files, SETTINGS, QUARANTINE_RULES))
     per_file = out.groupBy("file").agg(F.count("*").alias("total"), F.count_if(F.size(rules.FLAGS) > 0).alias("failed"))
