@@ -76,3 +76,25 @@ def test_feature_columns_in_order(spark):
 def test_serving_period_is_limited(spark):
     with pytest.raises(ValueError):
         ind.sma(bars(spark, [1]), windows=(201,), partial=True)
+
+
+def test_means_of_means_need_two_sorts(spark):
+    rows = bars(spark, range(1, 701))
+    plan = ind.macd(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") <= 2
+    full = rows.selectExpr("*", "close + 1 AS high", "close - 1 AS low", "1L AS volume")
+    wide = ind.features_wide(full, "v", 1)
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Sort [") <= 2
+    assert [c for c in wide.columns if c.startswith("_")] == []
+
+
+def test_means_skip_rows_without_value_over_several_blocks(spark):
+    closes = [None if i < 300 or i % 7 == 3 or 600 <= i < 1000 else 100.0 + i * 37 % 101 for i in range(1500)]
+    start = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("A", start + dt.timedelta(days=i), c) for i, c in enumerate(closes)], "symbol string, trade_date date, close double")
+    out = ind.macd(df).orderBy("trade_date").toPandas()
+    close = pd.Series(closes, dtype=float)
+    want = close.ewm(span=12, adjust=False, ignore_na=True).mean() - close.ewm(span=26, adjust=False, ignore_na=True).mean()
+    assert list(out["macd"])[300:] == pytest.approx(list(want)[300:], rel=1e-9, abs=1e-9) and out["macd"][:300].isna().all()
+    signal = want.ewm(span=9, adjust=False, ignore_na=True).mean()
+    assert list(out["macd_signal"])[300:] == pytest.approx(list(signal)[300:], rel=1e-9, abs=1e-9)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators.series import daily, ema
+from ticklake.operators.series import daily, ema, with_blocks
 
 
 MAX_SERVING_PERIOD = 200
@@ -79,10 +79,10 @@ def features(df: DataFrame, version: str, stamp_ms: int) -> DataFrame:
 def features_wide(df: DataFrame, version: str, stamp_ms: int) -> DataFrame:
     """Every column of the wide feature table, for bars with high, low, close and volume."""
     out = sma(df, windows=(5, 10, 20, 50, 100, 200))
-    out = obv(vwap(atr(stochastic(bollinger(out)))))
+    out = with_blocks(obv(vwap(atr(stochastic(bollinger(gains_losses(out)))))))
     out = ema(out, {f"ema_{n}": ("close", n) for n in (12, 26, 50)})
     out = out.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    out = ema(gains_losses(out), {"macd_signal": ("macd", 9), "_g": ("gain", 14), "_l": ("loss", 14)})
+    out = ema(out, {"macd_signal": ("macd", 9), "_g": ("gain", 14), "_l": ("loss", 14)})
     rsi = F.when(F.col("_l") > 0, 100.0 - 100.0 / (1.0 + F.col("_g") / F.col("_l")))
     return out.withColumns(
         {
@@ -91,14 +91,14 @@ def features_wide(df: DataFrame, version: str, stamp_ms: int) -> DataFrame:
             "feature_version": F.lit(version),
             "feature_timestamp": F.lit(stamp_ms).cast("bigint"),
         }
-    ).drop("_g", "_l", "gain", "loss")
+    ).drop("_g", "_l", "gain", "loss", "_blk")
 
 
 def macd(df: DataFrame) -> DataFrame:
     """EMA12 - EMA26, its EMA9 signal and their difference."""
-    out = emas(df).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+    out = emas(with_blocks(df)).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
     out = ema(out, {"macd_signal": ("macd", 9)})
-    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("ema_12", "ema_26")
+    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("ema_12", "ema_26", "_blk")
 
 
 def bollinger(df: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:

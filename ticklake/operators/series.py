@@ -106,6 +106,18 @@ def _decay(keep: float):
     return lambda acc, total: acc * F.lit(keep) + total
 
 
+def _after_block(name: str, q: float):
+    """Fold step over blocks, oldest first: the mean after a block of ``n`` values."""
+    return lambda mean, block: mean * F.pow(F.lit(q), block["n"].cast("double")) + block[name]
+
+
+def with_blocks(df: DataFrame, by: str = "symbol", order: str = "trade_date") -> DataFrame:
+    """``df`` with ``_blk``, the block of 256 rows a row of its series lies in; one that has it stays as it is."""
+    if "_blk" in df.columns:
+        return df
+    return df.withColumn("_blk", F.floor((F.row_number().over(daily(by, order)) - 1) / BLOCK_ROWS).cast("int"))
+
+
 def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol", order: str = "trade_date") -> DataFrame:
     """Exponential means ``{name: (column, span)}`` over daily bars, seeded with the first value.
 
@@ -113,33 +125,34 @@ def ema(df: DataFrame, columns: dict[str, tuple[str, int]], by: str = "symbol",
     before the first value.
 
     e_t = q e_{t-1} + a x_t.  Inside a block of 256 rows e_t is a running sum of x_i q^-i scaled
-    back by q^t, which cannot overflow at that length; the totals of earlier blocks are folded
-    into the value a block starts from.  All of it stays in one partitioning by ``by``.
+    back by q^t, which cannot overflow at that length; what a block starts from is folded from the totals of the
+    blocks before it, of which there is one small row each.  The order (by, block, day) serves every
+    window here, so however many means are asked for, rows are sorted once for the blocks and once for the means
+    (``with_blocks`` shares both among several calls), and all of it stays in one partitioning by ``by``.
     """
-    w = daily(by, order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    blocked = with_blocks(df, by, order)
     whole = _whole(columns)
-    numbered = {"_p": F.sum(whole.cast("int")).over(upto) - 1}
-    numbered |= {f"_x0_{name}": F.first(F.when(whole, F.col(column)), ignorenulls=True).over(upto) for name, (column, _) in columns.items()}
-    out = df.withColumns(numbered)
-    out = out.withColumns({"_b": F.floor(F.col("_p") / BLOCK_ROWS), "_i": F.col("_p") % BLOCK_ROWS})
-    run = Window.partitionBy(by, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    series = Window.partitionBy(by).orderBy("_blk", order)
+    upto = series.rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy(by, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = blocked.withColumn("_i", F.sum(whole.cast("int")).over(run) - 1)
+    firsts = {f"_x0_{name}": F.first(F.when(whole, F.col(column)), ignorenulls=True).over(upto) for name, (column, _) in columns.items()}
     step = {}
     for name, (column, span) in columns.items():
         a, q = _alpha(span)
-        scaled = F.sum(F.when(whole, F.col(column) * F.pow(F.lit(q), -F.col("_i")))).over(run)
+        scaled = F.coalesce(F.sum(F.when(whole, F.col(column) * F.pow(F.lit(q), -F.col("_i")))).over(run), F.lit(0.0))
         step[f"_in_{name}"] = F.lit(a) * F.pow(F.lit(q), F.col("_i").cast("double")) * scaled
     out = out.withColumns(step)
-    full = whole & (F.col("_i") == BLOCK_ROWS - 1)
-    out = out.withColumns(
-        {f"_tot_{n}": F.collect_list(F.when(full, F.col(f"_in_{n}"))).over(earlier) for n in columns}
-    )
+    # the last row of a block is the one before a row of the next
+    last = F.lead("_blk").over(series) != F.col("_blk")
+    out = out.withColumn("_last", last)
+    earlier = series.rowsBetween(Window.unboundedPreceding, -1)
+    total = F.struct((F.col("_i") + 1).alias("n"), *[F.col(f"_in_{n}").alias(n) for n in columns])
+    out = out.withColumns({"_tot": F.collect_list(F.when(F.col("_last"), total)).over(earlier), **firsts})
     final = {}
     for name, (_, span) in columns.items():
         _, q = _alpha(span)
-        keep = q**BLOCK_ROWS
-        carry = F.aggregate(f"_tot_{name}", F.col(f"_x0_{name}"), _decay(keep))
+        carry = F.aggregate("_tot", F.col(f"_x0_{name}"), _after_block(name, q))
         final[name] = F.pow(F.lit(q), F.col("_i") + 1.0) * carry + F.col(f"_in_{name}")
     return out.withColumns(final).select(*df.columns, *columns)
 
