@@ -241,6 +241,21 @@ def test_scd2_changes_in_any_order(spark, history, changes, want):
     assert merged(spark, history, changes) == sorted(want, key=str)
 
 
+def test_scd2_merge_reads_the_history_once_and_sorts_its_events_once(spark):
+    h = spark.createDataFrame([("a", "x", day(0), None)], VERSION_ROWS)
+    c = spark.createDataFrame([("a", "y", day(5))], "symbol string, status string, at date")
+    out = versions.scd2_merge(h, c, "symbol", F.col("at"), ["status"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one sort for the ends of the history, one for all events
+    assert plan.count("Scan ExistingRDD") == 2 and plan.count("Sort [") == 2
+
+
+def test_scd2_ends_of_overlapping_versions(spark):
+    """A version that the next one covers has no end of its own."""
+    history = [("a", "x", 0, 10), ("a", "y", 5, 10), ("b", "x", 0, 10), ("b", "y", 5, 8)]
+    assert merged(spark, history, []) == [("a", "x", 0, 5), ("a", "y", 5, 10), ("b", "x", 0, 5), ("b", "y", 5, 8)]
+
+
 def test_scd2_batches_equal_a_plain_rebuild(spark):
     """Batch by batch in any order: what the history has and the batch brings, sorted, equal neighbours as one."""
     rng = random.Random(4)

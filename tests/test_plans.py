@@ -80,3 +80,8 @@ def test_bars_are_hash_aggregated(spark, sf):
 def test_top_k_is_limited_before_the_shuffle(spark, sf):
     text = tree(entry_module.queries()["win13_volume_leaders_per_day"](spark, sf))
     assert text.count("WindowGroupLimit") == 2
+
+
+def test_late_merge_keeps_its_number_of_tasks(spark, sf):
+    """Its stage reads one small shuffle several times, which would be merged into a few large tasks."""
+    assert "REPARTITION_BY_NUM" in plan(QUERIES["join12_scd2_late_merge"](spark, sf))

@@ -35,16 +35,17 @@ def scd2_merge(history: DataFrame, batch: DataFrame, key: str, as_of: Column, at
     holds to its end.  Keys missing from the batch stay as they are.  Days bound a key's versions.
     """
     w = Window.partitionBy(key).orderBy("_from")
-    old = history.select(key, *attributes, F.col("valid_from").alias("_from"), "valid_to")
-    new = batch.select(key, *attributes, as_of.alias("_from"), F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"))
-    starts = old.withColumn("_rank", F.lit(1)).unionByName(new.withColumn("_rank", F.lit(0))).withColumn("_gap", F.lit(False))
-    # the end of a version that no other version follows at once
-    following = F.lead("_from").over(w)
-    ends = old.withColumn("_next", following).where("valid_to is not null and (_next is null or _next > valid_to)")
-    nothing = [F.lit(None).cast(history.schema[a].dataType).alias(a) for a in attributes]
-    gaps = ends.select(key, *nothing, F.col("valid_to").alias("_from"), F.lit(None).cast(history.schema["valid_to"].dataType).alias("valid_to"), F.lit(2).alias("_rank"), F.lit(True).alias("_gap"))
-    events = starts.unionByName(gaps).drop("valid_to")
-    # of what begins at one time, the batch counts, then the history, then an end
+    # a version is its start and, where no other version follows at once, its end: the history is read once
+    old = history.select(key, *attributes, F.col("valid_from").alias("_from"), "valid_to").withColumn("_next", F.lead("_from").over(w))
+    ended = F.col("valid_to").isNotNull() & (F.col("_next").isNull() | (F.col("_next") > F.col("valid_to")))
+    start = F.struct(F.col("_from").alias("at"), F.lit(1).alias("rank"))
+    end = F.struct(F.col("valid_to").alias("at"), F.lit(2).alias("rank"))
+    old = old.select(key, *attributes, F.explode(F.when(ended, F.array(start, end)).otherwise(F.array(start))).alias("_edge"))
+    gap = F.col("_edge.rank") == 2
+    old = old.select(key, *[F.when(~gap, F.col(a)).alias(a) for a in attributes], F.col("_edge.at").alias("_from"), F.col("_edge.rank").alias("_rank"))
+    new = batch.select(key, *attributes, as_of.alias("_from"), F.lit(0).alias("_rank"))
+    events = old.unionByName(new).withColumn("_gap", F.col("_rank") == 2)
+    # of what begins at one time, the batch counts, then the history, then an end; the order serves the later windows too
     events = events.withColumn("_twin", F.lag("_from").over(Window.partitionBy(key).orderBy("_from", "_rank")))
     events = events.where("_twin is null or _twin <> _from")
     digest = F.xxhash64("_gap", *[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attributes])

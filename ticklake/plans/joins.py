@@ -12,6 +12,7 @@ from ticklake.operators.asof import SPREAD_ROWS, asof_join, by_month
 from ticklake.operators.calendar import alignment, build_calendar, with_trading_days
 from ticklake.operators.dedupe import prefer_first_source
 from ticklake.plans.registry import query
+from ticklake.session import dealt
 from ticklake.sources.instruments import enrich_instruments, unique_instruments
 
 CUM = """, f AS (SELECT symbol, ex_date, product(adjustment_factor) OVER (PARTITION BY symbol ORDER BY ex_date DESC,
@@ -256,7 +257,7 @@ def _(m):
     """Every third change of a symbol, and one before its first, arrive after all others: the history equals a rebuild."""
     w = Window.partitionBy("symbol").orderBy("as_of")
     before = F.lag("status").over(w)
-    changes = m.master_changes.withColumn("p", before).filter("p IS NULL OR p <> status").withColumn("k", F.row_number().over(w)).drop("p")
+    changes = dealt(m.master_changes, "symbol").withColumn("p", before).filter("p IS NULL OR p <> status").withColumn("k", F.row_number().over(w)).drop("p")
     first = changes.groupBy("symbol").agg(F.date_sub(F.min("as_of"), 30).alias("as_of")).withColumn("status", F.lit("X"))
     history = versions.scd2_build(changes.filter("k % 3 <> 2"), "symbol", "as_of", ["status"])
     late = changes.filter("k % 3 = 2").select("symbol", "as_of", "status").unionByName(first)

@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -51,6 +51,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ticklake/{label}-{uuid.uuid4().hex}"
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many tasks as the session shuffles into.
+
+    The adaptive planner merges partitions by the bytes of one shuffle; a stage that reads it several times, or holds
+    far more in memory than was shuffled, is left with a few large tasks.  It keeps a number that is stated.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether something is stored there; a damaged folder exists and raises when it is read."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
