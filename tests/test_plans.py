@@ -85,3 +85,16 @@ def test_top_k_is_limited_before_the_shuffle(spark, sf):
 def test_late_merge_keeps_its_number_of_tasks(spark, sf):
     """Its stage reads one small shuffle several times, which would be merged into a few large tasks."""
     assert "REPARTITION_BY_NUM" in plan(QUERIES["join12_scd2_late_merge"](spark, sf))
+
+
+def test_nearest_reads_no_key_again_for_every_row(spark, sf):
+    text = plan(QUERIES["join04_asof_nearest"](spark, sf))
+    assert "unboundedfollowing" not in text.lower() and text.lower().count("lead(") > 0
+
+
+def test_nearest_looks_past_rows_without_a_right_side(spark):
+    left = spark.createDataFrame([("a", t, i) for i, t in enumerate((1, 4, 4, 6, 9, None))] + [("b", 5, 6), (None, 5, 7)], "k string, d int, i int")
+    right = spark.createDataFrame([("a", 4, "at"), ("a", 8, "after"), (None, 5, "none")], "k string, e int, v string")
+    day = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), F.col(c))
+    out = asof_join(left.withColumn("d", day("d")), right.withColumn("e", day("e")), ["k"], "d", "e", ["v"], "nearest").collect()
+    assert {r["i"]: r["v"] for r in out} == {0: "at", 1: "at", 2: "at", 3: "at", 4: "after", 5: None, 6: None, 7: None}

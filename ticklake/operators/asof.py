@@ -91,8 +91,9 @@ def asof_join(
     behind = F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     matched = rows.withColumn("_m", behind)
     if both:
-        ahead = F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-        matched = matched.withColumn("_n", ahead)
+        # a frame up to the last row would be read again for every row; LEAD steps through the key once
+        by_key = f"PARTITION BY {', '.join(f'`{c}`' for c in part)} " if part else ""
+        matched = matched.withColumn("_n", F.expr(f"lead(_r) IGNORE NULLS OVER ({by_key}ORDER BY _t, _side)"))
         nearer = _apart(F.col("_n._rt"), F.col("_t")) < _apart(F.col("_t"), F.col("_m._rt"))
         # rows without time match nothing, though they sort before all others
         timed = F.col("_t").isNotNull()
