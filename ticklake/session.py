@@ -6,12 +6,16 @@ master without that setting falls back to a fresh temporary folder.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: rows that one task of ``dealt`` may get
+ROWS_PER_TASK = 500_000
+
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """Local session for tests and bench; on a cluster the submitter supplies the session."""
@@ -51,13 +55,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ticklake/{label}-{uuid.uuid4().hex}"
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` by ``keys`` in as many tasks as the session shuffles into.
+def dealt(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
+    """``df`` by ``keys`` in as many tasks as the session shuffles into, more where ``rows`` ask for it.
 
     The adaptive planner merges partitions by the bytes of one shuffle; a stage that reads it several times, or holds
     far more in memory than was shuffled, is left with a few large tasks.  It keeps a number that is stated.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(tasks, math.ceil(rows / ROWS_PER_TASK)), *keys)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
