@@ -2,11 +2,13 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from ticklake import session
 from ticklake.bridge import Market
 from ticklake.operators.asof import asof_join
 from ticklake.operators.indicators import features
@@ -98,3 +100,14 @@ def test_nearest_looks_past_rows_without_a_right_side(spark):
     day = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), F.col(c))
     out = asof_join(left.withColumn("d", day("d")), right.withColumn("e", day("e")), ["k"], "d", "e", ["v"], "nearest").collect()
     assert {r["i"]: r["v"] for r in out} == {0: "at", 1: "at", 2: "at", 3: "at", 4: "after", 5: None, 6: None, 7: None}
+
+
+@pytest.mark.parametrize("name", ["agg07_symbol_activity", "agg08_deals_by_client"])
+def test_deals_are_dealt_by_rows(name, spark, sf, monkeypatch):
+    """No task of the join gets more line items than a task may hold, whatever the number of shuffle partitions."""
+    lines = Market(spark, sf).lines
+    monkeypatch.setattr(session, "ROWS_PER_TASK", lines // 50)
+    keys = {"agg07_symbol_activity": ["l_orderkey", "symbol"], "agg08_deals_by_client": ["l_orderkey"]}[name]
+    text = plan(QUERIES[name](spark, sf))
+    for key in keys:
+        assert re.search(rf"hashpartitioning\({key}#[^\n]*, 5[0-9]\), REPARTITION_BY_NUM", text)
