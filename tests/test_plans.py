@@ -111,3 +111,7 @@ def test_deals_are_dealt_by_rows(name, spark, sf, monkeypatch):
     text = plan(QUERIES[name](spark, sf))
     for key in keys:
         assert re.search(rf"hashpartitioning\({key}#[^\n]*, 5[0-9]\), REPARTITION_BY_NUM", text)
+
+
+def test_defects_are_planted_in_bars_built_once(spark, sf):
+    assert tree(Market(spark, sf).dirty).count("Scan parquet") == 1

@@ -23,9 +23,9 @@ def date_parts(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def write_dataset(
-    df: DataFrame, path: str, partitions: list[str], codec: str = "zstd", rows_per_file: int = 0, sort_by: tuple[str, ...] = ()
+    df: DataFrame, path: str, partitions: list[str], codec: str = "zstd", rows_per_file: int = 0, sort_by: tuple[str, ...] = (), add: bool = False
 ) -> None:
-    """Replace exactly the partitions present in ``df`` and leave all others.
+    """Replace exactly the partitions present in ``df`` and leave all others; with ``add`` put the rows beside those there.
 
     The rebalance hint groups rows by partition before the write and lets the adaptive planner split
     a partition that is too large for one task, so a hot partition becomes several files and a cold
@@ -36,7 +36,7 @@ def write_dataset(
     rows = df.hint("rebalance", *partitions) if partitions else df
     if sort_by:
         rows = rows.sortWithinPartitions(*partitions, *sort_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec)
+    writer = rows.write.mode("append" if add else "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partitions:
@@ -110,7 +110,8 @@ def replay_run(
     The replay is a run of its own, ``<run_id>~<replay_id>``: one that is in the ledger is not repeated.  Rows that fail
     again are quarantined under it with a raised retry count, and it supersedes the quarantine of the run it replays.
     Rows are put into the table by ``key`` (a stored row with that key is replaced), so a replay that broke off after
-    the table was written leaves no second copy.  Only partitions that corrected rows fall into are written.
+    the table was written leaves no second copy.  Only partitions that corrected rows fall into are written, and of these
+    only such with a row to replace as a whole.
     """
     run = runs.checked_id(f"{run_id}~{replay_id}")
     book = ledger_path(audit_path)
@@ -131,16 +132,35 @@ def replay_run(
     accepted.write.parquet(f"{staged}/accepted")
     accepted = spark.read.schema(accepted.schema).parquet(f"{staged}/accepted")
     if not accepted.isEmpty():
-        hit = accepted.select(*partitions).distinct()
-        same = [stored[p].eqNullSafe(hit[p]) for p in partitions]
-        kept = stored.join(hit, reduce(lambda a, b: a & b, same), "left_semi") if partitions else stored
-        merged = kept.join(accepted.select(key), key, "left_anti").select(*stored.columns).unionByName(accepted)
-        merged.write.parquet(f"{staged}/merged")
-        write_dataset(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, partitions)
+        _put(spark, stored, accepted, key, path, partitions, staged)
     runs.commit(spark, book, run, table, totals, "stored", stamp, replays=run_id)
     return totals
 
 
+def _put(spark: SparkSession, stored: DataFrame, accepted: DataFrame, key: str, path: str, partitions: list[str], staged: str) -> None:
+    """Bring ``accepted`` into the table: partitions that hold one of their keys are written again without the rows
+    they replace, in the others the rows are added.  Only the keys of the table are read to tell them apart."""
+
+    def within(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
+        same = [rows[p].eqNullSafe(places[p]) for p in partitions]
+        return rows.join(places, reduce(lambda a, b: a & b, same, F.lit(True)), how)
+
+    keys = accepted.select(key)
+    hit = accepted.select(*partitions).distinct()
+    held = within(stored.select(key, *partitions), hit, "left_semi") if partitions else stored.select(key)
+    held.join(keys, key, "left_semi").select(*partitions, F.lit(True).alias("_held")).distinct().write.parquet(f"{staged}/held")
+    held = spark.read.parquet(f"{staged}/held")  # a row a partition
+    fresh = accepted
+    if not held.isEmpty():
+        old, again = (within(stored, held, "left_semi"), within(accepted, held, "left_semi")) if partitions else (stored, accepted)
+        merged = old.join(keys, key, "left_anti").select(*stored.columns).unionByName(again)
+        merged.write.parquet(f"{staged}/merged")
+        write_dataset(spark.read.schema(merged.schema).parquet(f"{staged}/merged"), path, partitions)
+        fresh = within(accepted, held, "left_anti") if partitions else accepted.limit(0)
+    if not fresh.isEmpty():
+        write_dataset(fresh, path, partitions, add=True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
