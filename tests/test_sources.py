@@ -301,3 +301,9 @@ def test_documents_of_a_folder_are_opened_once(spark, tmp_path):
     out = docs.batch_outcomes(docs.read_documents(spark, str(tmp_path)))
     assert "Scan text" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["format"] for r in out.collect()) == ["empty", "html", "json", "unknown", "xml"]
+
+
+def test_xbrl_documents_are_parsed_once(spark):
+    d = documents(spark, xbrl(fact("Equity", "5")))
+    plan = docs.xbrl_records(docs.xbrl_facts(d))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1

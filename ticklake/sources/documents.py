@@ -390,7 +390,8 @@ XBRL_TYPE = (
 )
 XML_ATTRIBUTE = r"""\s+[^\s=<>/]+\s*=\s*(?:"[^"]*"|'[^']*')"""
 #: an opening tag with attributes, and the text up to the next tag; possessive, so that long texts need no stack
-XML_ELEMENT = rf"""(?s)<([^\s<>/!?]+)((?:{XML_ATTRIBUTE})+)\s*(/?)>([^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+)"""
+XML_HEAD = rf"""(?s)<[^\s<>/!?]+(?:{XML_ATTRIBUTE})+\s*/?>"""
+XML_ELEMENT = rf"""{XML_HEAD}[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+"""
 
 
 def _attribute(attributes: Column, name: str) -> Column:
@@ -414,29 +415,29 @@ def xbrl_facts(docs: DataFrame) -> DataFrame:
     contexts or units with one id counts.
     """
     options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_broken"}
-    parsed = docs.select("doc_id", "doc", F.from_xml("doc", XBRL_TYPE, options).alias("x"))
+    # exploded, a document is parsed once: a condition on the result would else be pushed down with the parsing in it
+    parsed = docs.select("doc_id", "doc", F.explode(F.array(F.from_xml("doc", XBRL_TYPE, options))).alias("x"))
     error = F.when(F.col("doc").isNull(), "no document").when(F.col("x").isNull() | F.col("x._broken").isNotNull(), "not a well-formed XML document")
     body = F.regexp_replace("doc", "(?s)<!--.*?-->", "")
     level = F.regexp_extract(body, r"<(?:[^\s<>/:]+:)?LevelOfRoundingUsedInFinancialStatements(?:\s[^<>]*[^<>/])?>([^<]+)<", 1)
     elements = F.filter(F.regexp_extract_all(body, F.lit(XML_ELEMENT), F.lit(0)), lambda e: e.contains("contextRef"))
     marked = parsed.withColumn("error", error).withColumn("rounding", F.nullif(level, F.lit("")))
-    rows = marked.select(
-        "doc_id", "x", "error", "rounding", F.posexplode_outer(F.when(F.col("error").isNull(), elements)).alias("pos", "element")
-    )
-    element = F.col("element")
-    parts = rows.select(
-        "doc_id", "x", "error", "rounding", "pos", F.regexp_extract(element, XML_ELEMENT, 1).alias("name"), F.regexp_extract(element, XML_ELEMENT, 2).alias("attributes"),
-        F.when(F.regexp_extract(element, XML_ELEMENT, 3) == "", F.regexp_extract(element, XML_ELEMENT, 4)).alias("raw"),
-    )
-    refs = parts.withColumns({n: _attribute(F.col("attributes"), n) for n in ("contextRef", "unitRef", "decimals")})
-    refs = refs.filter(F.col("error").isNotNull() | F.col("contextRef").isNotNull())
+    # one match gives the opening tag; name, attributes and text are cut off it
+    cut = F.transform(elements, lambda e: F.struct(e.alias("element"), F.regexp_extract(e, XML_HEAD, 0).alias("head")))
+    rows = marked.select("doc_id", "x", "error", "rounding", F.posexplode_outer(F.when(F.col("error").isNull(), cut)).alias("pos", "e"))
+    tagged = rows.select("doc_id", "x", "error", "rounding", "pos", "e.element", "e.head")
+    head = F.col("head")
+    name = F.substring_index(F.regexp_extract(head, r"^<([^\s<>/!?]+)", 1), ":", -1)
+    raw = F.when(~head.endswith("/>"), F.expr("substr(element, length(head) + 1)"))
+    parts = tagged.select("doc_id", "x", "error", "rounding", "pos", name.alias("name"), raw.alias("raw"), *[_attribute(head, n).alias(n) for n in ("contextRef", "unitRef", "decimals")])
+    refs = parts.filter(F.col("error").isNotNull() | F.col("contextRef").isNotNull())
     context = F.try_element_at(F.filter("x.context", lambda c: c["_id"] == F.col("contextRef")), F.lit(-1))
     unit = F.try_element_at(F.filter("x.unit", lambda u: u["_id"] == F.col("unitRef")), F.lit(-1))
     found = refs.withColumns({"c": context, "u": unit})
     return found.select(
         "doc_id",
         F.coalesce("pos", F.lit(-1)).alias("pos"),
-        F.when(F.col("error").isNull(), F.substring_index("name", ":", -1)).alias("tag"),
+        F.when(F.col("error").isNull(), F.col("name")).alias("tag"),
         F.when(F.col("u").isNotNull(), F.get(F.col("u.measure"), 0)).otherwise(F.col("unitRef")).alias("unit"),
         "decimals",
         _xml_text(F.col("raw")).alias("text"),
