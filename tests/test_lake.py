@@ -161,6 +161,27 @@ def test_a_stopped_run_may_be_tried_again(spark, tmp_path):
     assert spark.read.parquet(bad).count() == 2 and spark.read.json(audit).count() == 1 and spark.read.parquet(data).count() == 3
 
 
+def test_totals_and_reasons_of_a_checked_write(spark, tmp_path):
+    """Two broken rules on one row, an unknown verdict, a column with a dot; then rules that nothing breaks, and none."""
+    df = spark.createDataFrame([("e1", -5, -1, 1), ("e2", 5, 1, 2), ("e3", None, None, 3), ("e4", 0, 7, 4)], "event_id string, volume bigint, trades bigint, `a.b` int")
+    settings, stamp = rules.Settings(as_of="2024-01-01 00:00:00"), "2024-01-01 00:00:00"
+    trades = rules.Check("negative_trades", rules.WARNING, "trades", F.col("trades") < 0, F.lit("trades below 0"))
+    checks = [*rules.checks_for(df, settings, ["negative_volume", "trades_without_volume"]), trades]
+
+    def totals(name, checks, rows=df):
+        base = str(tmp_path / name)
+        got = lw.write_checked(rows, f"{base}/d", [], checks, "t", f"{base}/q", f"{base}/a", stamp, run_id="r1")
+        return tuple(got[c] for c in runs.TOTALS), spark.read.parquet(f"{base}/d").count(), spark.read.parquet(f"{base}/q").count()
+
+    assert totals("some", checks) == ((4, 2, 2, 3, 1), 2, 2)
+    bad = {r["event_id"]: (r["rules"], r["error_types"], r["a.b"]) for r in spark.read.parquet(str(tmp_path / "some" / "q")).collect()}
+    assert bad == {"e1": ("negative_volume,negative_trades", "critical,warning", 1), "e4": ("trades_without_volume", "critical", 4)}
+    assert totals("good", checks, df.filter("event_id = 'e2'")) == ((1, 1, 0, 0, 0), 1, 0)
+    assert totals("unchecked", []) == ((4, 4, 0, 0, 0), 4, 0)
+    always = [rules.Check("always", rules.CRITICAL, "volume", F.lit(True), F.lit("bad"))]
+    assert totals("all", always) == ((4, 0, 4, 4, 0), 0, 4)
+
+
 def test_rows_of_a_run_without_ledger_row_are_not_visible(spark, tmp_path):
     df, checks, (data, bad, audit) = checked_run(spark, tmp_path)
     lw.write_checked(df, data, [], checks, "t", bad, audit, "2024-01-01 00:00:00", run_id="r1")

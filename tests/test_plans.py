@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from ticklake import session
 from ticklake.bridge import Market
+from ticklake.lake import write as lw
 from ticklake.operators.asof import asof_join
 from ticklake.operators.indicators import features
 from ticklake.plans.registry import QUERIES
@@ -84,6 +85,14 @@ def test_top_k_is_limited_before_the_shuffle(spark, sf):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_tries_of_a_checked_write_build_no_bars(spark, sf, monkeypatch):
+    """A stopped run, its second try and the write behind it read bars that were stored once."""
+    inputs, write = [], lw.write_checked
+    monkeypatch.setattr(lw, "write_checked", lambda df, *args, **more: inputs.append(tree(df)) or write(df, *args, **more))
+    QUERIES["snk15_quarantine_and_audit"](spark, sf)
+    assert len(inputs) == 2 and not any("Aggregate" in text or "Exchange" in text for text in inputs)
+
+
 def test_late_merge_keeps_its_number_of_tasks(spark, sf):
     """Its stage reads one small shuffle several times, which would be merged into a few large tasks."""
     assert "REPARTITION_BY_NUM" in plan(QUERIES["join12_scd2_late_merge"](spark, sf))

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.session import dealt
+from ticklake.session import dealt, stored
 from ticklake.sources.lake import read_table
 
 
@@ -72,6 +72,12 @@ class Market:
         the filter reaches the Parquet scan."""
         return Market(self.spark, self.dir, (first, last), suppkeys)
 
+    def with_stored_bars(self) -> Market:
+        """The same relations over bars that are built and stored once, for a query whose jobs read them several times."""
+        market = Market(self.spark, self.dir, self.days, self.suppkeys)
+        market.ohlc = stored(self.ohlc, "built-bars")
+        return market
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.dir}/{name}.parquet")
 

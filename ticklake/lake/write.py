@@ -68,19 +68,19 @@ def write_checked(
     wrote.  Without ``run_id`` every call is a run of its own.
 
     Totals are observed while the quarantine is written, so the table is read twice in all: once for
-    the quarantine and once for the write.  ``keep_bad_rows`` also writes failing rows to the table.
+    the quarantine and once for the write.  Reasons are put together for failing rows only.  ``keep_bad_rows``
+    also writes failing rows to the table.
     """
     spark = df.sparkSession
     run = runs.checked_id(run_id or uuid.uuid4().hex)
     done = runs.committed(spark, ledger_path(audit_path), run)
     if done:
         return {c: done[c] for c in runs.TOTALS}
-    flagged = rules.flag(df, checks)
-    totals = _set_aside(flagged, checks, table, quarantine_path, audit_path, stamp, run)
+    totals = _set_aside(df, checks, table, quarantine_path, audit_path, stamp, run)
     if fail and totals["failed_rows"]:
         runs.commit(spark, ledger_path(audit_path), run, table, totals, "stopped", stamp)
         raise ValidationFailed(f"{table}: {totals['failed_rows']} rows failed validation, see {quarantine_path}")
-    write_dataset(flagged.drop(rules.FLAGS) if keep_bad_rows else outcome.good_rows(flagged), path, partitions)
+    write_dataset(df if keep_bad_rows else df.filter(~rules.breaks_any(checks)), path, partitions)
     runs.commit(spark, ledger_path(audit_path), run, table, totals, "stored", stamp)
     return totals
 
@@ -89,14 +89,18 @@ def ledger_path(audit_path: str) -> str:
     return f"{audit_path}/_runs"
 
 
-def _set_aside(flagged: DataFrame, checks: list[rules.Check], table: str, quarantine_path: str, audit_path: str, stamp: str, run: str, retry: Column | None = None) -> dict[str, int]:
+def _set_aside(df: DataFrame, checks: list[rules.Check], table: str, quarantine_path: str, audit_path: str, stamp: str, run: str, retry: Column | None = None) -> dict[str, int]:
     """Write quarantine and audit of the run; returns the totals observed on the way."""
-    seen = Observation()
-    watched = flagged.observe(seen, *outcome.summary_columns())
-    outcome.quarantine_rows(watched, table, stamp, retry).write.mode("overwrite").parquet(f"{quarantine_path}/run={run}")
-    totals = seen.get
+    seen, failed = Observation(), Observation()
+    # every row passes the first observation, but only a failing one with its columns; no filter is pushed below it
+    row = F.when(rules.breaks_any(checks), F.struct("*")).alias("_row")
+    bad = df.select(row).observe(seen, F.count(F.lit(1)).alias("total_rows")).filter("_row IS NOT NULL").select("_row.*")
+    flagged = rules.flag(bad, checks).observe(failed, *outcome.summary_columns())
+    outcome.quarantine_rows(flagged, table, stamp, retry).write.mode("overwrite").parquet(f"{quarantine_path}/run={run}")
+    n = seen.get["total_rows"]
+    totals = {**failed.get, "total_rows": n, "valid_rows": n - failed.get["failed_rows"]}
     names = tuple(dict.fromkeys(c.rule for c in checks))
-    result = flagged.sparkSession.createDataFrame([totals], outcome.SUMMARY_SCHEMA)
+    result = df.sparkSession.createDataFrame([totals], outcome.SUMMARY_SCHEMA)
     outcome.audit_row(result, table, names, quarantine_path, stamp).write.mode("overwrite").json(f"{audit_path}/run={run}")
     return totals
 
@@ -124,9 +128,8 @@ def replay_run(
     bad = spark.read.parquet(f"{quarantine_path}/run={run_id}")
     again = outcome.replay(bad, fixes, key, stored.columns)
     retry = F.col("retry_count")
-    flagged = rules.flag(again, checks)
-    totals = _set_aside(flagged, checks, table, quarantine_path, audit_path, stamp, run, retry)
-    accepted = outcome.good_rows(flagged).select(*stored.columns)
+    totals = _set_aside(again, checks, table, quarantine_path, audit_path, stamp, run, retry)
+    accepted = again.filter(~rules.breaks_any(checks)).select(*stored.columns)
     # staged first, as the table is read and written
     staged = fresh_path(spark, "replay")
     accepted.write.parquet(f"{staged}/accepted")

@@ -233,8 +233,9 @@ def _(m):
 def _(m):
     """A run that fails is stopped and tried again: one audit row, one copy of each quarantined row."""
     base = fresh_path(m.spark, "checked")
-    checks = rules.checks_for(m.dirty, SETTINGS, QUARANTINE_RULES)
-    args = (m.dirty, f"{base}/data", [], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP)
+    rows = m.with_stored_bars().dirty  # three jobs read them
+    checks = rules.checks_for(rows, SETTINGS, QUARANTINE_RULES)
+    args = (rows, f"{base}/data", [], checks, "normalized_equity_ohlc", f"{base}/quarantine", f"{base}/audit", STAMP)
     with contextlib.suppress(lw.ValidationFailed):
         lw.write_checked(*args, fail=True, run_id="day-1")
     lw.write_checked(*args, run_id="day-1")

@@ -256,6 +256,11 @@ class Registry:
         return out
 
 
+def breaks_any(checks: list[Check]) -> Column:
+    """Whether a row breaks any rule, for steps that need no reasons; an unknown (null) verdict is not a violation."""
+    return reduce(lambda a, b: a | b, [F.coalesce(c.bad, F.lit(False)) for c in checks], F.lit(False))
+
+
 def flag(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Add the array of broken rules; an unknown (null) verdict is not a violation."""
     each = [

@@ -55,6 +55,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ticklake/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read from there, for rows that are dear to build and read several times."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dealt(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
     """``df`` by ``keys`` in as many tasks as the session shuffles into, more where ``rows`` ask for it.
 
