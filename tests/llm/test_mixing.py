@@ -3,6 +3,7 @@ from collections import defaultdict
 import pytest
 
 from helpers import CLASHING, frame, plan
+from ticklake.llm import mixing
 from ticklake.llm.mixing import EXPONENTS, labelled, mix, op5_mixing, sample_documents
 
 
@@ -77,3 +78,28 @@ def test_scarce_values_stay_whole_and_the_others_meet_their_targets(spark):
         got[r["lang"]] += r["probability"]
     assert got["a"] == pytest.approx(400, rel=0.01) and got["b"] == pytest.approx(200, rel=0.01) and got["c"] == pytest.approx(50)
     assert got["en"] == pytest.approx(325, rel=0.01) and got["de"] == pytest.approx(325, rel=0.01)
+
+
+def many_cells(spark):
+    return frame(spark, [(i, "one two three" + " four" * (i % 5), f"l{i % 11}", f"s{i % 7}") for i in range(800)])
+
+
+def test_few_cells_are_fitted_without_a_shuffle_for_every_step(spark):
+    context = spark.sparkContext
+    context.setJobGroup("mixing", "jobs of one sample")
+    try:
+        sample_documents(many_cells(spark)).collect()
+        jobs = context.statusTracker().getJobIdsForGroup("mixing")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert 0 < len(jobs) < 70
+
+
+def test_one_partition_and_many_give_the_same(spark, monkeypatch):
+    key = lambda r: r["doc_id"]
+    one = sorted(mix(labelled(many_cells(spark))).collect(), key=key)
+    monkeypatch.setattr(mixing, "CELLS_PER_TASK", 0)
+    many = sorted(mix(labelled(many_cells(spark))).collect(), key=key)
+    assert [(r["doc_id"], r["copies"]) for r in one] == [(r["doc_id"], r["copies"]) for r in many]
+    assert [r["probability"] for r in one] == pytest.approx([r["probability"] for r in many], abs=1e-8)

@@ -4,6 +4,9 @@ Token weights are summed into cells of source, language and topic, and the cells
 the target share of every source, language and topic.  Only cells are iterated over; documents are read twice,
 for the sums and for the sampling.  A document is then kept with the probability of its cell, decided by a hash
 of its id: the same document always gets the same decision, on any partitioning.  All of it is DataFrame code.
+
+Every step of the fit sums by another dimension.  Up to ``CELLS_PER_TASK`` cells are one partition throughout, so a
+step needs no shuffle; more are dealt out anew for every step.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ RATE = 1.0
 #: As ``rate`` of ``mix``: the largest at which no document is expected twice.  The scarcest cell sets it.
 LARGEST = "largest"
 CUT_EVERY = 4
+CELLS_PER_TASK = 100_000
 NONE = "(none)"
 
 #: Topic by the form of a text, the first that holds; (name, SQL pattern).  Texts without any of them are prose.
@@ -69,9 +73,16 @@ def stated(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFr
     return own.join(F.broadcast(total)).select(dimension, F.coalesce(F.try_divide("share", "total"), F.lit(0.0)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, whole: bool = False) -> DataFrame:
+def dealt_cells(table: DataFrame, one: bool) -> DataFrame:
+    """``table`` as one partition where ``one``.  What is summed by any key is in one place then: each shuffle saved is
+    a job, its stages and a thread less on the driver."""
+    return table.coalesce(1) if one else table
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, whole: bool = False, one: bool = False) -> DataFrame:
     """``cells`` with ``fitted``: shares that meet the targets of every dimension, one dimension after the other.
-    With ``whole`` no cell is fitted above what it holds, and the others make up for it.
+    With ``whole`` no cell is fitted above what it holds, and the others make up for it; with ``one`` the cells are few
+    enough for one partition.
 
     The windows run over cells, not documents: a source has as many rows as languages times topics, however many
     documents it holds.  The last dimension is met exactly, the others up to what the sweeps leave.
@@ -80,29 +91,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     state = cells.join(F.broadcast(total)).withColumn("held", F.col("tokens") / F.col("total")).withColumn("fitted", F.col("held")).drop("total")
     for dimension, target in targets.items():
         state = state.join(target.withColumnRenamed("target", f"target_{dimension}"), dimension)
-    state = cut(state, "cells")
+    state = dealt_cells(cut(state, "cells"), one)
     for sweep in range(1, sweeps + 1):
         for dimension in targets:
             mass = F.sum("fitted").over(Window.partitionBy(dimension))
             scaled = F.col("fitted") * F.coalesce(F.try_divide(f"target_{dimension}", mass), F.lit(0.0))
             state = state.withColumn("fitted", F.least("held", scaled) if whole else scaled)
         if sweep % CUT_EVERY == 0 or sweep == sweeps:
-            state = cut(state, "cells")
+            state = dealt_cells(cut(state, "cells"), one)
     return state
 
 
-def reachable(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE) -> tuple[dict[str, DataFrame], float]:
+def reachable(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE, one: bool = False) -> tuple[dict[str, DataFrame], float]:
     """Masses per dimension, as shares of all tokens, that documents kept at most once can fill, and their common sum.
 
     A value gets the smaller of what it holds and a multiple of its target.  The multiple is at most ``rate``, and
     such that all dimensions sum to the same.  A scarce value stays whole and moves the sum by no more than its own
-    target.  The window runs over the values of a dimension.
+    target.  The window runs over the values of a dimension, which with ``one`` are one partition, like the cells.
     """
     total = F.broadcast(cells.agg(F.sum("tokens").cast("double").alias("total")))
     held = {}
     for d, target in targets.items():
         own = cells.groupBy(d).agg(F.sum("tokens").alias("mass")).join(total).select(d, (F.col("mass") / F.col("total")).alias("mass"))
-        held[d] = cut(own.join(target, d), "masses")
+        held[d] = dealt_cells(cut(own.join(target, d), "masses"), one)
     sums = [held[d].agg(F.sum(F.least("mass", F.lit(rate) * F.col("target")))).first()[0] or 0.0 for d in targets]
     common = min(sums, default=0.0)
     out = {}
@@ -138,12 +149,14 @@ def mix(rows: DataFrame, targets: dict[str, float | dict[str, float]] | None = N
     """
     targets = EXPONENTS if targets is None else targets
     cells = cut(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    one = cells.count() <= CELLS_PER_TASK
+    cells = dealt_cells(cells, one)
     wanted = {d: tempered(cells, d, t) if isinstance(t, (int, float)) else stated(cells, d, t) for d, t in targets.items()}
     observed = cells.agg(F.sum("tokens").cast("double").alias("total"))
     once = rate is None
     if once:
-        wanted, rate = reachable(cells, wanted)
-    fitted = rake(cells, wanted, sweeps, whole=once).join(F.broadcast(observed))
+        wanted, rate = reachable(cells, wanted, one=one)
+    fitted = rake(cells, wanted, sweeps, whole=once, one=one).join(F.broadcast(observed))
     if once:
         fitted = fitted.withColumn("fitted", F.coalesce(F.try_divide("fitted", F.lit(rate)), F.lit(0.0)))
     fitted = cut(fitted.select(*DIMENSIONS, (F.col("fitted") * F.col("total") / F.col("tokens")).alias("factor")), "factors")
