@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from helpers import CLASHING, frame, near_components
+from ticklake.llm import near_dedup
 from ticklake.llm.near_dedup import components, drop_near_copies, near_groups, shingle_hashes
 
 
@@ -92,6 +93,15 @@ def test_components_of_long_chains(spark):
     assert got == {**{i: 100 for i in range(100, 141)}, 1: 1, 2: 1, 7: 1, 8: 8, 9: 8}
 
 
+def test_no_round_that_changes_nothing(spark, monkeypatch):
+    labels, cut = [], near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df, label: labels.append(label) or cut(df, label))
+    links = spark.createDataFrame([(1, 2), (3, 1), (1, 4), (7, 8), (5, 5), (8, 7)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7} and labels.count("small-star") == 1
+    assert components(links.where("a > 9")).collect() == [] and labels.count("small-star") == 2
+
+
 def test_shingles_are_position_sensitive():
     a, b = shingle_hashes([b"a", b"b", b"c", b"d", b"e"], 5), shingle_hashes([b"b", b"a", b"c", b"d", b"e"], 5)
     assert len(a) == len(b) == 1 and a[0] != b[0]

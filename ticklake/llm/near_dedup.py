@@ -202,6 +202,7 @@ def family_pairs(diffs: DataFrame, of_node: DataFrame, percent: int) -> DataFram
         .select("pivot", "node", "n", "component", "dn", "s", F.explode(F.expr("slice(by_length, 1, cast(take as int))")).alias("x"))
         .select("pivot", F.col("x.e").alias("e"), F.struct("node", "n", "component", "dn", "s").alias("m"))
     )
+    listed = cut(listed, "near-listed")  # read by both sides of the join
     x, y = F.col("x"), F.col("y")
     needed = (x["dn"] + y["dn"] - c * (x["n"] + y["n"])) / 2
     may = (x["node"] < y["node"]) & (x["component"] != y["component"]) & sizes_allow(x["n"], y["n"], percent) & (needed <= F.least(x["s"], y["s"]) + 1e-6)
@@ -232,9 +233,12 @@ def other_pairs(lists: DataFrame, pivots: DataFrame, of_node: DataFrame, percent
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component: smallest node reachable) for every node of a link, in logarithmically many rounds."""
+    """(node, component: smallest node reachable) for every node of a link, in logarithmically many rounds.
+
+    The rounds end as soon as every node is either a smallest one or linked with one only: another round would change
+    nothing then, and each costs the driver the plans, jobs and stages of five shuffles.
+    """
     edges = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
-    seen = None
     while True:
         # large star: larger neighbours of a node move to the smallest of its neighbourhood
         both = edges.union(edges.select("b", "a").toDF("a", "b"))
@@ -246,10 +250,9 @@ def components(links: DataFrame) -> DataFrame:
         low = lower.groupBy("u").agg(F.min("w").alias("low"))
         moved = lower.join(low, "u").where("w > low").select(F.col("low").alias("a"), F.col("w").alias("b"))
         edges = cut(moved.union(low.select(F.col("low").alias("a"), F.col("u").alias("b"))).distinct(), "small-star")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high")).union(edges.select("b", F.lit(0), F.lit(1)))
+        if ends.groupBy("node").agg(F.max("low").alias("low"), F.sum("high").alias("high")).where("low + high > 1").isEmpty():
             break
-        seen = tuple(state)
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")).union(edges.select("a", F.col("a")).distinct())
 
 
@@ -290,7 +293,7 @@ def keyed_groups(
         wanted = others.select(F.explode(F.array("a", "b")).alias("node"))
         inside = inside.union(cut(exact_links(others, full_sets(wanted, docs, id_col, text_col, nodes, width), percent), "near-links"))
     if not inside.isEmpty():
-        of_node = cut(components(links.union(inside)), "near-components")
+        of_node = cut(components(of_node.select("component", "node").toDF("a", "b").union(inside)), "near-components")
 
     groups = copies.join(of_node, "node", "left").select(F.col("digest").alias("d"), F.coalesce("component", "node").alias("component"))
     out = rows.join(groups, (F.col("digest") == F.col("d")) & F.col("id").isNotNull(), "left")
