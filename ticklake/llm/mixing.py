@@ -75,7 +75,7 @@ def stated(cells: DataFrame, dimension: str, shares: dict[str, float]) -> DataFr
 
 def dealt_cells(table: DataFrame, one: bool) -> DataFrame:
     """``table`` as one partition where ``one``.  What is summed by any key is in one place then: each shuffle saved is
-    a job, its stages and a thread less on the driver."""
+    a job and its stages less on the driver."""
     return table.coalesce(1) if one else table
 
 
